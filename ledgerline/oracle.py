@@ -158,3 +158,120 @@ def trend_case(col: str) -> str:
         f"WHEN {col} = 0 THEN '{t['stable']}' WHEN {col} < 0 THEN '{t['decline']}' "
         f"ELSE '{t['no_data']}' END"
     )
+
+
+_SILVER_OUT = "uf, codigo_municipio, nome_municipio, nis_favorecido, nome_favorecido, valor_parcela, ano, mes"
+_PARSE = "TRY_CAST(replace(replace(VALOR_PARCELA, '.', ''), ',', '.') AS DOUBLE)"
+_RENAMED = (
+    "MES_COMPETENCIA AS competencia, UF AS uf, CODIGO_MUNICIPIO_SIAFI AS codigo_municipio, "
+    "NOME_MUNICIPIO AS nome_municipio, CPF_FAVORECIDO AS cpf_favorecido, "
+    "NIS_FAVORECIDO AS nis_favorecido, NOME_FAVORECIDO AS nome_favorecido"
+)
+_FEED_PERIOD = (
+    "TRY_CAST(substring(MES_COMPETENCIA, 1, 4) AS INTEGER) AS ano, "
+    "TRY_CAST(substring(MES_COMPETENCIA, 5, 2) AS INTEGER) AS mes"
+)
+_SUM = "CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
+def _gold_sql(spark_sql: str) -> str:
+    """Report text over ``gold.<table>`` -> the same text over the oracle CTEs."""
+    body = (
+        spark_sql.replace("gold.serie_temporal_brasil", "gold_serie")
+        .replace("gold.transferencias_por_uf_mes", "gold_uf_mes")
+        .replace("gold.top_municipios_beneficios", "gold_mun")
+        .strip()
+    )
+    if body.upper().startswith("WITH "):  # merge its CTEs into the base list
+        return BASE + ",\n" + body[5:]
+    return BASE + " " + body
+
+
+def oracle_queries() -> dict[str, str]:
+    from ledgerline.plans.catalog import REPLACED_PERIODS, SCAN_MONTH, SCAN_YEAR  # noqa: F401
+    from ledgerline.plans.reports import SQL as REPORT_SQL
+    from ledgerline.schemas import GOLD_TABLES, RETENTION_THRESHOLD
+
+    q: dict[str, str] = {}
+    q["silver_rename"] = f"{RAW_BASE} SELECT {_RENAMED}, VALOR_PARCELA AS valor_parcela_raw FROM feed"
+    q["silver_parse_valor"] = f"{RAW_BASE} SELECT {_RENAMED}, {_PARSE} AS valor_parcela FROM feed"
+    q["silver_periodo"] = (
+        f"{RAW_BASE} SELECT {_RENAMED}, {_PARSE} AS valor_parcela, {_FEED_PERIOD} FROM feed"
+    )
+    q["silver_normalize"] = f"{TYPED_BASE} SELECT * FROM typed"
+    q["silver_filter_invalid"] = f"{BASE} SELECT * FROM valid"
+    q["silver_filter_nulls"] = f"{BASE} SELECT * FROM complete"
+    q["silver_dedup"] = f"{BASE} SELECT * EXCLUDE (_rank) FROM ranked WHERE _rank = 1"
+    q["silver_full"] = f"{BASE} SELECT {_SILVER_OUT}, '1.0' AS _silver_version FROM silver"
+    q["silver_funnel"] = f"""{BASE}
+        SELECT CAST((SELECT COUNT(*) FROM typed) AS BIGINT) AS raw,
+               CAST(0 AS BIGINT) AS foreign_period,
+               CAST((SELECT COUNT(*) FROM typed WHERE NOT coalesce({VALID_COND}, FALSE)) AS BIGINT) AS invalid,
+               CAST((SELECT COUNT(*) FROM valid) - (SELECT COUNT(*) FROM complete) AS BIGINT) AS nulls,
+               CAST((SELECT COUNT(*) FROM complete) - (SELECT COUNT(*) FROM silver) AS BIGINT) AS duplicates,
+               CAST((SELECT COUNT(*) FROM silver) AS BIGINT) AS kept"""
+    q["gold_por_uf_mes"] = f"{BASE} SELECT * FROM gold_uf_mes"
+    q["gold_top_municipios"] = f"{BASE} SELECT * FROM gold_mun"
+    q["gold_serie_temporal"] = f"{BASE} SELECT * FROM gold_serie"
+    q["gold_typed_contract"] = f"""{BASE}
+        SELECT ano, nome_municipio AS municipio, uf, codigo_municipio AS codigo_ibge,
+               total_beneficios, CAST(total_valor_brl AS DECIMAL(18,2)) AS total_valor_brl,
+               ranking_nacional
+        FROM gold_mun"""
+    q["gold_typed_uf_mes"] = f"""{BASE}
+        SELECT ano, mes, uf, total_beneficios,
+               CAST(total_valor_brl AS DECIMAL(18,2)) AS total_valor_brl,
+               CAST(media_valor_brl AS DECIMAL(12,2)) AS media_valor_brl
+        FROM gold_uf_mes"""
+    q["gold_typed_serie"] = f"""{BASE}
+        SELECT ano_mes, total_beneficios, CAST(total_valor_brl AS DECIMAL(18,2)) AS total_valor_brl,
+               CAST(variacao_pct AS DECIMAL(8,4)) AS variacao_pct
+        FROM gold_serie"""
+    for k in ("report_q1", "report_q2", "report_q3", "report_q4", "report_q5", "report_q6"):
+        q[k] = _gold_sql(REPORT_SQL[k])
+    q["report_top_ufs"] = (
+        f"{BASE} SELECT uf, {_SUM.format(c='total_valor_brl')} AS total FROM gold_uf_mes "
+        "GROUP BY uf ORDER BY total DESC, uf LIMIT 5"
+    )
+    q["report_growth_raw"] = f"{BASE} SELECT ano_mes, total_beneficios, variacao_pct FROM gold_serie"
+    q["report_top10"] = (
+        f"{BASE} SELECT ano, ranking_nacional, nome_municipio AS municipio, uf, total_beneficios "
+        "FROM gold_mun WHERE ranking_nacional <= 10"
+    )
+    q["nb_top_ufs"] = (
+        f"{BASE} SELECT uf, total_beneficios, total_valor_brl, media_valor_brl FROM gold_uf_mes "
+        "ORDER BY total_valor_brl DESC, ano, mes, uf LIMIT 10"
+    )
+    q["nb_top_municipios"] = (
+        f"{BASE} SELECT ano, ranking_nacional, nome_municipio, uf, total_beneficios, total_valor_brl "
+        "FROM gold_mun WHERE ranking_nacional <= 20"
+    )
+    q["nb_serie"] = f"{BASE} SELECT ano_mes, total_beneficios, total_valor_brl, variacao_pct FROM gold_serie"
+    gold_rows = " UNION ALL ".join(
+        f"SELECT 'gold.{t}_rows' AS \"check\", CAST(COUNT(*) AS DOUBLE) AS value, COUNT(*) > 0 AS passed "
+        f"FROM {c}"
+        for t, c in zip(GOLD_TABLES, ["gold_uf_mes", "gold_mun", "gold_serie"])
+    )
+    q["dq_report"] = f"""{BASE},
+        counts AS (SELECT CAST((SELECT COUNT(*) FROM feed) AS DOUBLE) AS b,
+                          CAST((SELECT COUNT(*) FROM silver) AS DOUBLE) AS s)
+        SELECT 'bronze_rows' AS "check", b AS value, b > 0 AS passed FROM counts
+        UNION ALL
+        SELECT 'silver_retention', s / b, s / b >= CAST({RETENTION_THRESHOLD} AS DOUBLE) FROM counts WHERE b > 0
+        UNION ALL {gold_rows}"""
+    q["bronze_csv_roundtrip"] = f"{RAW_BASE} SELECT {RAW_COLS} FROM feed"
+    q["bronze_audit"] = (
+        f"{RAW_BASE} SELECT {RAW_COLS}, 'landing' AS _source, {_FEED_PERIOD}, TRUE AS has_file_hash FROM feed"
+    )
+    q["scan_period"] = (
+        f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD} FROM feed "
+        f"WHERE MES_COMPETENCIA = '{SCAN_YEAR}{SCAN_MONTH:02d}'"
+    )
+    q["scan_year"] = f"{BASE} SELECT {_SILVER_OUT}, '1.0' AS _silver_version FROM silver WHERE ano = {SCAN_YEAR}"
+    q["bronze_partition_replace"] = f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD} FROM feed"
+    q["bronze_idempotent"] = q["bronze_partition_replace"]
+    q["silver_partition_replace"] = f"{BASE} SELECT {_SILVER_OUT} FROM silver"
+    q["gold_table_roundtrip"] = f"{BASE} SELECT * FROM gold_mun"
+    q["pipeline_multi_month"] = f"{BASE} SELECT * FROM gold_uf_mes"
+    q["report_sql_q4"] = q["report_q4"]
+    return q

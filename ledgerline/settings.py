@@ -22,10 +22,11 @@ class Layout:
     root: str
     fmt: str = "parquet"
     dataset: str = "bolsa_familia"
+    landing_dir: str | None = None  # files may land outside the lake root
 
     @property
     def landing(self) -> str:
-        return f"{self.root}/landing/{self.dataset}"
+        return self.landing_dir or f"{self.root}/landing/{self.dataset}"
 
     @property
     def bronze(self) -> str:
