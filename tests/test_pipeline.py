@@ -1,0 +1,83 @@
+import os
+
+import pytest
+
+from ledgerline.operators import quality as Q
+from ledgerline.plans import pipeline as P
+from ledgerline.schemas import GOLD_TABLES, RAW_COLUMNS
+from ledgerline.settings import Layout
+
+from test_sources_sinks import _land
+
+
+def _lake(spark, tmp_lake):
+    lay = Layout(root=tmp_lake)
+    _land(lay.landing, "202301", [
+        "202301;SP;3550308;sao paulo;c;12345678901;maria;218,00",
+        "202301;SP;3550308;SAO PAULO;c;12345678901;MARIA;250,00",
+        "202301;RJ;3304557;RIO;c;98765432100;JOSE;300,50",
+        "202301;XX;9;X;c;1;T;-50,00",
+    ])
+    _land(lay.landing, "202302", [
+        "202302;SP;3550308;SAO PAULO;c;12345678901;MARIA;260,00",
+        "202302;MG;3106200;BH;c;11122233344;ANA;400,75",
+    ])
+    return lay
+
+
+def test_run_all_layers(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    res = P.run(spark, lay, [(2023, 1), (2023, 2)])
+    assert res["ok"]
+    assert res["layers"]["bronze"]["rows"] == 6
+    assert res["layers"]["silver"]["rows"] == 4
+    f = res["layers"]["silver"]["funnel"]
+    assert (f["raw"], f["invalid"], f["duplicates"], f["kept"]) == (6, 1, 1, 4)
+    assert res["layers"]["gold"]["tables"]["serie_temporal_brasil"] == 2
+    serie = spark.read.parquet(lay.gold("serie_temporal_brasil")).orderBy("ano_mes").collect()
+    assert serie[1]["variacao_pct"] == 0.0
+
+
+def test_run_reports_error_then_raises(spark, tmp_lake):
+    lay = Layout(root=tmp_lake)  # nothing landed
+    res = P.run(spark, lay, [(2023, 1)], raise_on_error=False)
+    assert not res["ok"] and res["layers"]["bronze"]["status"] == "error"
+    with pytest.raises(RuntimeError):
+        P.run(spark, lay, [(2023, 1)])
+
+
+def test_build_gold_empty_year(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1)], layers=("bronze", "silver"))
+    assert P.build_gold(spark, lay, 1999) == {}
+
+
+def test_register_gold_sql(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)])
+    names = P.register_gold(spark, lay)
+    assert len(names) == 3
+    assert spark.sql("SELECT COUNT(*) AS n FROM gold.transferencias_por_uf_mes").first()["n"] == 4
+
+
+def test_dq_report_and_gate(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)])
+    bronze = spark.read.parquet(lay.bronze)
+    silver = spark.read.parquet(lay.silver)
+    gold = P.read_gold(spark, lay)
+    rep = Q.dq_report(bronze, silver, gold)
+    rows = {r["check"]: r for r in rep.collect()}
+    assert set(rows) == {"bronze_rows", "silver_retention"} | {f"gold.{t}_rows" for t in GOLD_TABLES}
+    assert rows["silver_retention"]["value"] == pytest.approx(4 / 6)
+    with pytest.raises(ValueError, match="silver_retention"):
+        Q.assert_quality(rep)  # 67 % < 70 %
+    ok = Q.dq_report(bronze, bronze, gold)
+    assert len(Q.assert_quality(ok)) == 5
+
+
+def test_dq_without_bronze_rows(spark):
+    empty = spark.createDataFrame([], ",".join(f"{c} string" for c in RAW_COLUMNS))
+    rep = {r["check"]: r["passed"] for r in Q.dq_report(empty, empty, {}).collect()}
+    assert "silver_retention" not in rep
+    assert rep["bronze_rows"] is False
