@@ -23,11 +23,12 @@ def _col(c: Column | str) -> Column:
 def parse_brl(c: Column | str) -> Column:
     """``'1.234,56'`` -> ``1234.56``; text that is not a number gives NULL.
 
-    Thousands dots are removed, the decimal comma becomes a dot, and the cast
-    is a ``try_cast`` so one malformed value cannot fail the job under ANSI.
+    One ``translate`` pass deletes the thousands dots and turns the decimal
+    comma into a dot (same result as removing dots, then replacing commas;
+    no regex per row). The cast is a ``try_cast`` so one malformed value
+    cannot fail the job under ANSI.
     """
-    cleaned = F.regexp_replace(F.regexp_replace(_col(c), r"\.", ""), ",", ".")
-    return cleaned.try_cast("double")
+    return F.translate(_col(c), ",.", ".").try_cast("double")
 
 
 def exact_sum(c: Column | str) -> Column:

@@ -38,20 +38,26 @@ def pre_aggregate(silver: DataFrame) -> DataFrame:
     )
 
 
-def _ensure_pre(df: DataFrame) -> DataFrame:
-    return df if _N in df.columns and _S in df.columns else pre_aggregate(df)
-
-
-def _rollup(pre: DataFrame, keys: list[str]) -> DataFrame:
-    return pre.groupBy(*keys).agg(
-        F.sum(_N).cast("long").alias("total_beneficios"),
-        F.sum(_S).cast("decimal(38,2)").alias(_S),
+def _is_pre(df: DataFrame) -> bool:
+    return _N in df.columns and _S in df.columns
+
+
+def _rollup(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Count and exact sum at ``keys``, from Silver rows (one shuffle) or
+    from the pre-aggregate (summing its partial counts and sums)."""
+    if _is_pre(df):
+        n, s = F.sum(_N), F.sum(_S)
+    else:
+        n, s = F.count("nis_favorecido"), exact_sum("valor_parcela")
+    return df.groupBy(*keys).agg(
+        n.cast("long").alias("total_beneficios"),
+        s.cast("decimal(38,2)").alias(_S),
     )
 
 
 def agg_por_uf_mes(df: DataFrame) -> DataFrame:
     """Per ``ano, mes, uf``: beneficiaries, total value, mean value (2 dp)."""
-    out = _rollup(_ensure_pre(df), ["ano", "mes", "uf"]).select(
+    out = _rollup(df, ["ano", "mes", "uf"]).select(
         "ano",
         "mes",
         "uf",
@@ -68,7 +74,7 @@ def agg_top_municipios(df: DataFrame) -> DataFrame:
     The rank restarts per year (the Gold job always runs on one year), so the
     window is partitioned by ``ano`` rather than gathered into one task.
     """
-    agg = _rollup(_ensure_pre(df), ["ano", "nome_municipio", "uf", "codigo_municipio"]).select(
+    agg = _rollup(df, ["ano", "nome_municipio", "uf", "codigo_municipio"]).select(
         "ano",
         "nome_municipio",
         "uf",
@@ -83,7 +89,7 @@ def agg_top_municipios(df: DataFrame) -> DataFrame:
 def agg_serie_temporal(df: DataFrame) -> DataFrame:
     """National monthly series with % change of beneficiaries vs. the
     previous available month (gaps are not filled)."""
-    monthly = _rollup(_ensure_pre(df), ["ano", "mes"]).select(
+    monthly = _rollup(df, ["ano", "mes"]).select(
         ano_mes_label("ano", "mes").alias("ano_mes"),
         "total_beneficios",
         to_double(_S).alias("total_valor_brl"),

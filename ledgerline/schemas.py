@@ -68,7 +68,7 @@ RETENTION_THRESHOLD = 0.70
 # Columns that must be non-null for a Silver row.
 CRITICAL_COLUMNS = ["nis_favorecido", "uf", "valor_parcela", "ano", "mes"]
 # Natural key of a payment.
-NATURAL_KEY = ["nis_favorecido", "ano", "mes"]
+NATURAL_KEY = ["ano", "mes", "nis_favorecido"]  # month first: the dedup sort then also serves the (ano, mes) partitioned write
 
 GOLD_TABLES = [
     "transferencias_por_uf_mes",
