@@ -21,7 +21,7 @@ class Layout:
 
     root: str
     fmt: str = "parquet"
-    dataset: str = "bolsa_familia"
+    dataset: str = "pagamentos"
     landing_dir: str | None = None  # files may land outside the lake root
 
     @property
