@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -106,7 +107,8 @@ def silver_plan(bronze: DataFrame, periods: list[Period], run_ts: _dt.datetime |
     requested months are dropped and counted: under partition overwrite they
     would otherwise replace a month nobody asked to rewrite.
     """
-    obs = {k: Observation(f"silver_{k}_{id(bronze)}") for k in ("raw", "period", "valid", "complete", "kept")}
+    tag = uuid.uuid4().hex[:12]
+    obs = {k: Observation(f"silver_{k}_{tag}") for k in ("raw", "period", "valid", "complete", "kept")}
     count = F.count(F.lit(1)).alias("n")
     typed = S.prepare(bronze.drop("ano", "mes")).observe(obs["raw"], count)
     in_period = typed.filter(S.in_periods(periods)).observe(obs["period"], count)

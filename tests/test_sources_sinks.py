@@ -120,3 +120,11 @@ def test_silver_drops_foreign_period_rows(spark, tmp_lake):
 def test_jdbc_options_truncate():
     opts = jdbc_options(url="jdbc:postgresql://h/db", table="gold.t", user="u", password="p", driver="org.postgresql.Driver")
     assert opts["truncate"] == "true" and opts["dbtable"] == "gold.t"
+
+
+def test_quoted_newline_needs_multiline(spark, tmp_lake):
+    land = tmp_lake + "/landing"
+    _land(land, "202301", ['202301;SP;1;"SAO\nPAULO";c;1;N;10,00', "202301;RJ;2;RIO;c;2;N;20,00"])
+    df = R.read_landing(spark, land, multi_line=True)
+    rows = {r["NIS_FAVORECIDO"]: r for r in df.collect()}
+    assert len(rows) == 2 and rows["1"]["NOME_MUNICIPIO"] == "SAO\nPAULO"
