@@ -60,7 +60,7 @@ def ingest_bronze(
     overwrite: bool = False,
     run_ts: _dt.datetime | None = None,
     source_label: str | None = None,
-    file_hash: bool = True,
+    file_hash: str | bool | None = "md5",
     multi_line: bool = False,
 ) -> DataFrame:
     """Land the requested months into Bronze and return their Bronze rows.

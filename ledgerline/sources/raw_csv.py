@@ -120,6 +120,29 @@ def file_hashes(spark: SparkSession, landing: str, periods: list[tuple[int, int]
     return files.select(F.col("path").alias("_hash_path"), F.md5("content").alias("_file_hash"))
 
 
+def row_fingerprints(raw: DataFrame) -> DataFrame:
+    """``(path, fingerprint)`` per file from its rows, computed in parallel.
+
+    The fingerprint is the exact (decimal) sum of a 64-bit hash of every row
+    (all columns, NULL-aware) plus the row count: independent of row order and
+    split boundaries, so a very large file is hashed by many tasks with a
+    map-side partial sum. It identifies content, but it is not an MD5.
+    """
+    cols = [c for c in raw.columns if c != PERIOD_DIR]
+    h = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in cols], F.lit(len(cols)))
+    return (
+        raw.select(F.col("_metadata.file_path").alias("_hash_path"), h.alias("_h"))
+        .groupBy("_hash_path")
+        .agg(F.sum(F.col("_h").cast("decimal(20,0)")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+        .select(
+            "_hash_path",
+            F.concat_ws(":", F.lit("rows"), F.col("_s").cast("string"), F.col("_n").cast("string")).alias(
+                "_file_hash"
+            ),
+        )
+    )
+
+
 def with_bronze_audit(
     spark: SparkSession,
     raw: DataFrame,
@@ -128,10 +151,16 @@ def with_bronze_audit(
     *,
     run_ts: _dt.datetime | None = None,
     source_label: str | None = None,
-    file_hash: bool = True,
+    file_hash: str | bool | None = "md5",
 ) -> DataFrame:
     """Add ``_source``, ``_file_name``, ``_ingested_at``, ``_file_hash``,
-    ``ano``, ``mes``; drop the folder column."""
+    ``ano``, ``mes``; drop the folder column.
+
+    ``file_hash``: ``"md5"`` (MD5 of the original bytes; each file is read
+    whole by one task, so files must stay below 2 GB), ``"rows"`` (parallel
+    row fingerprint, any file size, see ``row_fingerprints``) or None.
+    """
+    mode = "md5" if file_hash is True else (None if file_hash is False else file_hash)
     ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     df = raw.withColumns(
         {
@@ -143,13 +172,16 @@ def with_bronze_audit(
             "mes": F.expr(f"CAST({PERIOD_DIR} AS INT) % 100").cast("int"),
         }
     )
-    if file_hash:
-        hashes = file_hashes(spark, landing, periods)
-        n_files = hashes.select("_hash_path").count()  # listing only, content not read
+    if mode in ("md5", "rows"):
+        hashes = file_hashes(spark, landing, periods) if mode == "md5" else row_fingerprints(raw)
+        listing = file_hashes(spark, landing, periods).select("_hash_path")
+        n_files = listing.count()  # file listing only, content not read
         side = F.broadcast(hashes) if n_files <= MAX_BROADCAST_FILES else hashes
         df = df.join(side, df["_hash_key"] == side["_hash_path"], "left").drop("_hash_path")
-    else:
+    elif mode is None:
         df = df.withColumn("_file_hash", F.lit(None).cast("string"))
+    else:
+        raise ValueError(f"unknown file_hash mode {file_hash!r}")
     extra = [c for c in raw.columns if c not in RAW_COLUMNS and c != PERIOD_DIR]
     return df.select(
         *RAW_COLUMNS, *extra, "_source", "_file_name", "_ingested_at", "_file_hash", "ano", "mes"

@@ -128,3 +128,17 @@ def test_quoted_newline_needs_multiline(spark, tmp_lake):
     df = R.read_landing(spark, land, multi_line=True)
     rows = {r["NIS_FAVORECIDO"]: r for r in df.collect()}
     assert len(rows) == 2 and rows["1"]["NOME_MUNICIPIO"] == "SAO\nPAULO"
+
+
+def test_row_fingerprint_ignores_order_and_splits(spark, tmp_lake):
+    land = tmp_lake + "/landing"
+    lines = [f"202301;SP;1;A;c;{i};N;{i},00" for i in range(50)]
+    _land(land, "202301", lines, name="a.csv")
+    _land(land, "202302", [l.replace("202301", "202302") for l in lines], name="b.csv")
+    _land(land, "202303", list(reversed(lines)), name="c.csv")
+    raw = R.read_landing(spark, land)
+    fp = {r["_hash_path"].rsplit("/", 1)[-1]: r["_file_hash"] for r in R.row_fingerprints(raw).collect()}
+    assert fp["a.csv"] == fp["c.csv"] != fp["b.csv"]
+    assert fp["a.csv"].endswith(":50")
+    b = R.with_bronze_audit(spark, raw.repartition(7), land, None, file_hash="rows")
+    assert b.filter(F.col("_file_hash").isNull()).count() == 0
