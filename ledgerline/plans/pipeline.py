@@ -20,7 +20,7 @@ from ledgerline.operators import gold as G
 from ledgerline.operators import silver as S
 from ledgerline.schemas import GOLD_TABLES
 from ledgerline.settings import Layout, checkpoint_dir
-from ledgerline.sinks.tables import existing_periods, read_table, write_partitioned, write_table
+from ledgerline.sinks.tables import existing_periods, read_table, write_jdbc, write_partitioned, write_table
 from ledgerline.sources import raw_csv as R
 
 Period = tuple[int, int]
@@ -170,9 +170,14 @@ def build_gold(
     month: int | None = None,
     *,
     write: bool = True,
+    jdbc: dict | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuild the three Gold tables from Silver for ``year`` (or one month).
 
+    ``jdbc`` (``url``, ``user``, ``password``, optional ``schema`` (default
+    ``gold``), ``driver``, ``best_effort``) also copies each written table, in
+    the typed SQL contract, to ``<schema>.<table>`` after its table write.
+
     A list of years builds them in one pass (rankings restart per year).
 
     Silver is read once into the small pre-aggregate, which is checkpointed
@@ -202,6 +207,10 @@ def build_gold(
     for name, df in tables.items():
         write_table(df, layout.gold(name), fmt=layout.fmt)
         out[name] = spark.read.format(layout.fmt).load(layout.gold(name))
+        if jdbc:
+            opts = dict(jdbc)
+            schema = opts.pop("schema", "gold")
+            write_jdbc(G.typed_contract(out[name], name), table=f"{schema}.{name}", **opts)
     return out
 
 

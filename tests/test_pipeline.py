@@ -81,3 +81,14 @@ def test_dq_without_bronze_rows(spark):
     rep = {r["check"]: r["passed"] for r in Q.dq_report(empty, empty, {}).collect()}
     assert "silver_retention" not in rep
     assert rep["bronze_rows"] is False
+
+
+def test_gold_jdbc_copy_best_effort(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1)], layers=("bronze", "silver"))
+    # no database here: the copy fails and, being best effort, Gold is still built
+    out = P.build_gold(spark, lay, 2023, jdbc={"url": "jdbc:postgresql://127.0.0.1:1/none", "user": "u",
+                                               "password": "p", "best_effort": True})
+    assert set(out) == set(GOLD_TABLES)
+    with pytest.raises(Exception):
+        P.build_gold(spark, lay, 2023, jdbc={"url": "jdbc:postgresql://127.0.0.1:1/none", "user": "u", "password": "p"})
