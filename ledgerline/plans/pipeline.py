@@ -20,7 +20,14 @@ from ledgerline.operators import gold as G
 from ledgerline.operators import silver as S
 from ledgerline.schemas import GOLD_TABLES
 from ledgerline.settings import Layout, checkpoint_dir
-from ledgerline.sinks.tables import existing_periods, read_table, write_jdbc, write_partitioned, write_table
+from ledgerline.sinks.tables import (
+    existing_periods,
+    read_periods,
+    read_table,
+    write_jdbc,
+    write_partitioned,
+    write_table,
+)
 from ledgerline.sources import raw_csv as R
 
 Period = tuple[int, int]
@@ -36,9 +43,15 @@ def _period_cond(periods: list[Period]):
 
 
 def scan_periods(spark: SparkSession, path: str, periods: list[Period], fmt: str = "parquet") -> DataFrame:
-    """Layer rows of the given months; the predicate prunes partitions."""
-    df = spark.read.format(fmt).load(path)
-    return df.filter(_period_cond(periods))
+    """Layer rows of the given months, listing only their partition folders.
+
+    When none of them exists yet, an empty frame with the stored schema (or
+    an error if the table itself does not exist).
+    """
+    df = read_periods(spark, path, periods, fmt)
+    if df is None:
+        return spark.read.format(fmt).load(path).filter(_period_cond(periods))
+    return df
 
 
 def scan_year(spark: SparkSession, path: str, year: int, month: int | None = None, fmt: str = "parquet") -> DataFrame:

@@ -64,24 +64,62 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
         raise
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def partition_dirs(spark: SparkSession, path: str, periods: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
+    """Folders ``<path>/ano=Y/mes=M`` of the requested months that exist.
+
+    One metadata call per month on the driver; nothing else of the table is
+    listed, so the cost does not grow with the months already stored.
+    """
+    out = {}
+    for y, m in sorted(set(periods)):
+        d = f"{path.rstrip('/')}/ano={y}/mes={m}"
+        fs, p = _fs(spark, d)
+        if fs.exists(p):
+            out[(y, m)] = d
+    return out
+
+
+def read_periods(
+    spark: SparkSession, path: str, periods: list[tuple[int, int]], fmt: str = "parquet"
+) -> DataFrame | None:
+    """Rows of the requested months, listing only their folders.
+
+    File formats read the month folders directly (``basePath`` keeps ``ano``
+    and ``mes`` as columns); delta reads the table and prunes by its log.
+    Returns None when none of the months exists.
+    """
+    keys = sorted({y * 100 + m for y, m in periods})
+    cond = (F.col("ano") * 100 + F.col("mes")).isin(keys)
+    if fmt == "delta":
+        df = read_table(spark, path, fmt)
+        return None if df is None else df.filter(cond)
+    dirs = partition_dirs(spark, path, periods)
+    if not dirs:
+        return None
+    return spark.read.format(fmt).option("basePath", path).load(list(dirs.values())).filter(cond)
+
+
 def existing_periods(
     spark: SparkSession, path: str, periods: list[tuple[int, int]], fmt: str = "parquet"
 ) -> set[tuple[int, int]]:
     """Which of ``periods`` already have rows at ``path``.
 
-    A pruned read of the partition columns only: the result has at most
-    ``len(periods)`` rows, so collecting it is bounded.
+    A read of the requested months' partition columns only (a month folder
+    without rows does not count): at most ``len(periods)`` rows come back,
+    so collecting them is bounded.
     """
-    df = read_table(spark, path, fmt)
-    if df is None or not periods:
+    if not periods:
         return set()
-    keys = sorted({y * 100 + m for y, m in periods})
-    found = (
-        df.select(*PARTITION_COLUMNS)
-        .filter((F.col("ano") * 100 + F.col("mes")).isin(keys))
-        .distinct()
-        .collect()
-    )
+    df = read_periods(spark, path, periods, fmt)
+    if df is None:
+        return set()
+    found = df.select(*PARTITION_COLUMNS).distinct().collect()
     return {(r["ano"], r["mes"]) for r in found}
 
 

@@ -142,3 +142,14 @@ def test_row_fingerprint_ignores_order_and_splits(spark, tmp_lake):
     assert fp["a.csv"].endswith(":50")
     b = R.with_bronze_audit(spark, raw.repartition(7), land, None, file_hash="rows")
     assert b.filter(F.col("_file_hash").isNull()).count() == 0
+
+
+def test_read_periods_lists_only_requested_months(spark, tmp_lake):
+    from ledgerline.sinks.tables import read_periods
+
+    path = tmp_lake + "/t"
+    write_partitioned(_two_months(spark, tmp_lake), path)
+    df = read_periods(spark, path, [(2023, 2), (2024, 5)])
+    assert df.count() == 4 and set(df.columns) >= {"ano", "mes", "UF"}
+    assert all("mes=2" in f for f in df.inputFiles())
+    assert read_periods(spark, path, [(2030, 1)]) is None
