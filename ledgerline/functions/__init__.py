@@ -6,7 +6,6 @@ from ledgerline.functions.money import (
     parse_brl,
     pct_change,
     round_half_up,
-    safe_ratio,
     to_double,
 )
 from ledgerline.functions.text import (
@@ -30,7 +29,6 @@ __all__ = [
     "period_year",
     "region_of",
     "round_half_up",
-    "safe_ratio",
     "to_double",
     "trend_label",
 ]

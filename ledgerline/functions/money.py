@@ -49,12 +49,6 @@ def to_double(c: Column | str) -> Column:
     return _col(c).cast("double")
 
 
-def safe_ratio(num: Column | str, den: Column | str) -> Column:
-    """``num / den`` as double, NULL when ``den`` is NULL or 0."""
-    n, d = _col(num), _col(den)
-    return F.when(d.isNotNull() & (d != 0), n.cast("double") / d.cast("double"))
-
-
 def pct_change(cur: Column | str, prev: Column | str, scale: int = 4) -> Column:
     """``(cur - prev) / prev * 100`` rounded; NULL when prev is NULL or 0."""
     c, p = _col(cur), _col(prev)

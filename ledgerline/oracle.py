@@ -9,7 +9,7 @@ exact decimal sums, and ``round(cast(x AS decimal(28,8)), n)`` elsewhere.
 
 from __future__ import annotations
 
-from ledgerline.schemas import REGIONS, TREND_LABELS, VALID_UFS
+from ledgerline.schemas import VALID_UFS
 from ledgerline.sources.feed import (
     BAD_UF_EVERY,
     FEED_UFS,
@@ -146,20 +146,6 @@ RAW_BASE = with_ctes(FEED)
 TYPED_BASE = with_ctes(FEED, TYPED)
 
 
-def region_case(col: str) -> str:
-    parts = [f"WHEN {col} IN ({_quoted(ufs)}) THEN '{region}'" for region, ufs in REGIONS.items()]
-    return "CASE " + " ".join(parts) + " ELSE 'Outros' END"
-
-
-def trend_case(col: str) -> str:
-    t = TREND_LABELS
-    return (
-        f"CASE WHEN {col} > 5 THEN '{t['strong_growth']}' WHEN {col} > 0 THEN '{t['growth']}' "
-        f"WHEN {col} = 0 THEN '{t['stable']}' WHEN {col} < 0 THEN '{t['decline']}' "
-        f"ELSE '{t['no_data']}' END"
-    )
-
-
 _SILVER_OUT = "uf, codigo_municipio, nome_municipio, nis_favorecido, nome_favorecido, valor_parcela, ano, mes"
 _PARSE = "TRY_CAST(replace(replace(VALOR_PARCELA, '.', ''), ',', '.') AS DOUBLE)"
 _RENAMED = (

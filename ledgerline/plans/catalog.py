@@ -37,10 +37,6 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     return payments_feed(spark, sf)
 
 
-def silver_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return S.clean(feed(spark, sf)).select(*SILVER_OUT)
-
-
 def gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return G.gold_tables(S.clean(feed(spark, sf)))
 

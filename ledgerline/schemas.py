@@ -82,8 +82,6 @@ GOLD_TABLES = [
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
-BRONZE_AUDIT_COLUMNS = ["_source", "_file_name", "_ingested_at", "_file_hash"]
-
 BRONZE_SCHEMA = T.StructType(
     list(RAW_SCHEMA.fields)
     + [

@@ -34,8 +34,3 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
-
-def apply_pipeline_conf(spark: SparkSession) -> None:
-    """Set the SQL options above on an existing session (idempotent)."""
-    for k, v in PIPELINE_CONF.items():
-        spark.conf.set(k, v)

@@ -62,9 +62,9 @@ def test_silver_and_gold_equal_brute_force(spark, rows):
     silver = S.clean(df).select(
         "uf", "codigo_municipio", "nome_municipio", "nis_favorecido", "nome_favorecido", "valor_parcela", "ano", "mes"
     )
-    got = sorted(tuple(sorted(r.asDict().items(), key=lambda kv: kv[0])) for r in silver.collect())
+    got = sorted((tuple(sorted(r.asDict().items())) for r in silver.collect()), key=repr)
     exp_rows = brute_silver(rows)
-    exp = sorted(tuple(sorted(r.items(), key=lambda kv: kv[0])) for r in exp_rows)
+    exp = sorted((tuple(sorted(r.items())) for r in exp_rows), key=repr)
     assert got == exp
 
     if not exp_rows:
@@ -73,7 +73,7 @@ def test_silver_and_gold_equal_brute_force(spark, rows):
     pdf["cents"] = pdf["valor_parcela"].map(lambda v: Decimal(repr(v)).quantize(Decimal("0.01")))
     g = pdf.groupby(["ano", "mes", "uf"]).agg(n=("nis_favorecido", "count"), s=("cents", "sum")).reset_index()
     exp_uf = sorted(
-        (r.ano, r.mes, r.uf, r.n, float(r.s), half_up(float(r.s) / r.n, 2)) for r in g.itertuples()
+        ((r.ano, r.mes, r.uf, r.n, float(r.s), half_up(float(r.s) / r.n, 2)) for r in g.itertuples()), key=repr
     )
-    got_uf = sorted(tuple(r) for r in G.agg_por_uf_mes(S.clean(df)).collect())
+    got_uf = sorted((tuple(r) for r in G.agg_por_uf_mes(S.clean(df)).collect()), key=repr)
     assert got_uf == exp_uf

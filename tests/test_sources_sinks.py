@@ -153,3 +153,14 @@ def test_read_periods_lists_only_requested_months(spark, tmp_lake):
     assert df.count() == 4 and set(df.columns) >= {"ano", "mes", "UF"}
     assert all("mes=2" in f for f in df.inputFiles())
     assert read_periods(spark, path, [(2030, 1)]) is None
+
+
+def test_bronze_table_follows_contract(spark, tmp_lake):
+    from ledgerline.schemas import BRONZE_SCHEMA
+
+    lay = Layout(root=tmp_lake)
+    _land(lay.landing, "202301", ["202301;SP;1;A;c;1;N;10,00"])
+    df = P.ingest_bronze(spark, lay, [(2023, 1)])
+    assert sorted(df.columns) == sorted(f.name for f in BRONZE_SCHEMA.fields)
+    types = dict(df.dtypes)
+    assert all(types[f.name] == f.dataType.simpleString() for f in BRONZE_SCHEMA.fields)
