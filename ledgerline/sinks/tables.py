@@ -70,19 +70,26 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def existing_dirs(spark: SparkSession, dirs: list[str]) -> list[str]:
+    """The folders of ``dirs`` that exist (one metadata call each, on the
+    driver; nothing else is listed)."""
+    out = []
+    for d in dirs:
+        fs, p = _fs(spark, d)
+        if fs.exists(p):
+            out.append(d)
+    return out
+
+
 def partition_dirs(spark: SparkSession, path: str, periods: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
     """Folders ``<path>/ano=Y/mes=M`` of the requested months that exist.
 
-    One metadata call per month on the driver; nothing else of the table is
-    listed, so the cost does not grow with the months already stored.
+    Nothing else of the table is listed, so the cost of a run does not grow
+    with the months already stored.
     """
-    out = {}
-    for y, m in sorted(set(periods)):
-        d = f"{path.rstrip('/')}/ano={y}/mes={m}"
-        fs, p = _fs(spark, d)
-        if fs.exists(p):
-            out[(y, m)] = d
-    return out
+    want = {(y, m): f"{path.rstrip('/')}/ano={y}/mes={m}" for y, m in sorted(set(periods))}
+    found = set(existing_dirs(spark, list(want.values())))
+    return {k: d for k, d in want.items() if d in found}
 
 
 def read_periods(

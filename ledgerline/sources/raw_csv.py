@@ -74,22 +74,41 @@ def period_filter(periods: list[tuple[int, int]] | None):
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     encoding: str = "ISO-8859-1",
     multi_line: bool = False,
+    base: str | None = None,
 ) -> DataFrame:
     """All-string rows of every file under ``path`` with canonical names.
 
-    Partition folders (``competencia=...``) come back as trailing columns.
+    Partition folders (``competencia=...``) come back as trailing columns
+    (``base`` is the folder they are relative to when ``path`` lists some).
     """
-    df = spark.read.options(**csv_options(encoding, multi_line)).csv(path)
+    reader = spark.read.options(**csv_options(encoding, multi_line))
+    if base is not None:
+        reader = reader.option("basePath", base)
+    df = reader.csv(path)
     part_cols = [c for c in df.columns if c == PERIOD_DIR]
     data_cols = [c for c in df.columns if c not in part_cols]
     canon = check_header(data_cols)
     return df.toDF(*canon, *part_cols)
 
 
+def month_dirs(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> list[str] | None:
+    """Existing ``competencia=YYYYMM`` folders of the requested months (None:
+    read the whole landing folder). Only these folders are listed."""
+    if not periods:
+        return None
+    from ledgerline.sinks.tables import existing_dirs
+
+    wanted = [f"{landing.rstrip('/')}/{PERIOD_DIR}={y * 100 + m}" for y, m in sorted(set(periods))]
+    found = existing_dirs(spark, wanted)
+    if not found:
+        raise ValueError(f"nothing landed for {sorted(set(periods))} under {landing}")
+    return found
+
+
 def read_landing(
     spark: SparkSession,
     landing: str,
@@ -100,7 +119,8 @@ def read_landing(
 ) -> DataFrame:
     """Raw rows of the requested months (all months when ``periods`` is None),
     with the file's period as ``ano``/``mes`` and ``_metadata`` available."""
-    df = read_raw(spark, landing, encoding=encoding, multi_line=multi_line)
+    dirs = month_dirs(spark, landing, periods)
+    df = read_raw(spark, landing if dirs is None else dirs, encoding=encoding, multi_line=multi_line, base=landing)
     cond = period_filter(periods)
     if cond is not None:
         df = df.filter(cond)
@@ -113,7 +133,13 @@ def file_hashes(spark: SparkSession, landing: str, periods: list[tuple[int, int]
     Each file is read whole into one row, so this suits monthly files below
     2 GB; pass ``file_hash=False`` to ``with_bronze_audit`` for larger ones.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing)
+    dirs = month_dirs(spark, landing, periods)
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.csv")
+        .option("basePath", landing)
+        .load(landing if dirs is None else dirs)
+    )
     cond = period_filter(periods)
     if cond is not None:
         files = files.filter(cond)
@@ -174,9 +200,9 @@ def with_bronze_audit(
     )
     if mode in ("md5", "rows"):
         hashes = file_hashes(spark, landing, periods) if mode == "md5" else row_fingerprints(raw)
-        # Size check from the driver's file index (no job): every landed
-        # file, an upper bound on the rows of the hash table.
-        n_files = len(spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(landing).inputFiles())
+        # Size check from the driver's file index (no job): the files of the
+        # requested months, the rows of the hash table.
+        n_files = len(file_hashes(spark, landing, periods).inputFiles())
         side = F.broadcast(hashes) if n_files <= MAX_BROADCAST_FILES else hashes
         df = df.join(side, df["_hash_key"] == side["_hash_path"], "left").drop("_hash_path")
     elif mode is None:
