@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION_COLUMNS = ["ano", "mes"]
+# Up to this many months a read lists only their folders; a larger backfill
+# lists the table once and prunes by partition filter (Spark lists more than
+# this many paths with a distributed job anyway).
+MAX_EXPLICIT_MONTHS = 32
 
 
 def write_partitioned(
@@ -103,7 +107,7 @@ def read_periods(
     """
     keys = sorted({y * 100 + m for y, m in periods})
     cond = (F.col("ano") * 100 + F.col("mes")).isin(keys)
-    if fmt == "delta":
+    if fmt == "delta" or len(set(periods)) > MAX_EXPLICIT_MONTHS:
         df = read_table(spark, path, fmt)
         return None if df is None else df.filter(cond)
     dirs = partition_dirs(spark, path, periods)

@@ -96,11 +96,13 @@ def read_raw(
 
 
 def month_dirs(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> list[str] | None:
-    """Existing ``competencia=YYYYMM`` folders of the requested months (None:
-    read the whole landing folder). Only these folders are listed."""
-    if not periods:
-        return None
-    from ledgerline.sinks.tables import existing_dirs
+    """Existing ``competencia=YYYYMM`` folders of the requested months, so
+    only these are listed; None (read the whole landing folder, pruned by the
+    period filter) for all months or a large backfill."""
+    from ledgerline.sinks.tables import MAX_EXPLICIT_MONTHS, existing_dirs
+
+    if not periods or len(set(periods)) > MAX_EXPLICIT_MONTHS:
+        return None  # whole folder, pruned by the period filter
 
     wanted = [f"{landing.rstrip('/')}/{PERIOD_DIR}={y * 100 + m}" for y, m in sorted(set(periods))]
     found = existing_dirs(spark, wanted)
