@@ -57,7 +57,7 @@ def payments_feed(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -
     uf_code = F.element_at(F.array(*[F.lit(u) for u in FEED_UFS]), F.col("n_nationkey") + 1)
     brl = _brl_text(F.col("o_totalprice"))
     cols = [
-        F.date_format("o_orderdate", "yyyyMM").alias("MES_COMPETENCIA"),
+        F.date_format(F.col("o_orderdate").cast("date"), "yyyyMM").alias("MES_COMPETENCIA"),
         F.when(k % BAD_UF_EVERY == 0, F.lit("XX"))
         .otherwise(F.concat(F.lit(" "), F.lower(uf_code)))
         .alias("UF"),
