@@ -104,3 +104,19 @@ def test_dedup_is_deterministic_across_partitionings(spark):
 def test_dedup_plans_partial_limit_before_shuffle(raw_fixture):
     plan = S.clean(raw_fixture)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_hot_key_third_of_rows(spark):
+    # one beneficiary holds a third of the rows, spread over every input partition
+    hot = [("202301", "SP", str(i % 5), "M", "c", "99", f"N{i:04d}", f"{i % 700},{i % 100:02d}") for i in range(3000)]
+    cold = [("202301", "RJ", "1", "M", "c", str(1000 + i), "N", "10,00") for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, RAW_SCHEMA).repartition(12)
+    out = S.clean(df)
+    assert out.count() == 6001
+    r = out.filter(F.col("nis_favorecido") == "99").collect()
+    assert len(r) == 1
+    # the highest value, 699,99, occurs at i = 699, 1399, 2099, 2799: the lowest code among them wins
+    assert r[0]["valor_parcela"] == 699.99
+    assert r[0]["codigo_municipio"] == str(min(i % 5 for i in (699, 1399, 2099, 2799)))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Partial" in plan or "WindowGroupLimit" in plan
