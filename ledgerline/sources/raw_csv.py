@@ -220,11 +220,12 @@ def with_bronze_audit(
 def write_landing(df: DataFrame, landing: str, encoding: str = "ISO-8859-1") -> None:
     """Land raw rows as payment files, one folder per ``MES_COMPETENCIA``.
 
-    Used to stage test feeds: one file per month, like the monthly download.
+    Used to stage test feeds. No repartition by month (that would send a
+    whole month to one task): each task writes its rows into the month
+    folders it holds.
     """
     (
         df.select(*RAW_COLUMNS, F.col("MES_COMPETENCIA").alias(PERIOD_DIR))
-        .repartition(PERIOD_DIR)
         .write.mode("overwrite")
         .options(**writer_options(encoding))
         .partitionBy(PERIOD_DIR)
