@@ -20,6 +20,13 @@ PARTITION_COLUMNS = ["ano", "mes"]
 MAX_EXPLICIT_MONTHS = 32
 
 
+def replace_where(periods: list[tuple[int, int]]) -> str:
+    """Delta ``replaceWhere`` predicate covering exactly ``periods``."""
+    if not periods:
+        raise ValueError("delta overwrite needs the periods it replaces")
+    return " OR ".join(f"(ano = {int(y)} AND mes = {int(m)})" for y, m in sorted(set(periods)))
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -41,10 +48,7 @@ def write_partitioned(
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if mode == "overwrite":
         if fmt == "delta":
-            if not periods:
-                raise ValueError("delta overwrite needs the periods it replaces")
-            cond = " OR ".join(f"(ano = {y} AND mes = {m})" for y, m in sorted(set(periods)))
-            w = w.option("replaceWhere", cond).option("overwriteSchema", "false")
+            w = w.option("replaceWhere", replace_where(periods or [])).option("overwriteSchema", "false")
         else:
             w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)

@@ -164,3 +164,11 @@ def test_bronze_table_follows_contract(spark, tmp_lake):
     assert sorted(df.columns) == sorted(f.name for f in BRONZE_SCHEMA.fields)
     types = dict(df.dtypes)
     assert all(types[f.name] == f.dataType.simpleString() for f in BRONZE_SCHEMA.fields)
+
+
+def test_delta_replace_where_predicate():
+    from ledgerline.sinks.tables import replace_where
+
+    assert replace_where([(2023, 2), (2023, 1), (2023, 1)]) == "(ano = 2023 AND mes = 1) OR (ano = 2023 AND mes = 2)"
+    with pytest.raises(ValueError):
+        replace_where([])
