@@ -9,8 +9,10 @@ replaced whole.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION_COLUMNS = ["ano", "mes"]
@@ -38,11 +40,19 @@ def write_partitioned(
 ) -> None:
     """Write ``df`` partitioned by ``ano, mes``.
 
-    ``overwrite`` replaces only the months present (parquet: dynamic
-    partition overwrite; delta: ``replaceWhere`` on ``periods``);
-    ``append`` adds files. No repartition: each task writes its own slice,
-    so a large month is written by many tasks in parallel.
+    ``overwrite`` replaces months (parquet: dynamic partition overwrite;
+    delta: ``replaceWhere`` on ``periods``); with ``periods`` given, a
+    requested month for which ``df`` has no rows is emptied as well, so the
+    call means "these months now hold exactly ``df``". ``append`` adds
+    files. No repartition: each task writes its own slice, so a large month
+    is written by many tasks in parallel.
     """
+    track = mode == "overwrite" and fmt != "delta" and bool(periods)
+    if track:
+        # Months actually written, collected by the write itself (at most
+        # one value per requested month).
+        seen = Observation(f"months_{uuid.uuid4().hex[:12]}")
+        df = df.observe(seen, F.collect_set(F.col("ano") * 100 + F.col("mes")).alias("months"))
     w = df.write.format(fmt).mode(mode).partitionBy(*PARTITION_COLUMNS)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
@@ -52,6 +62,12 @@ def write_partitioned(
         else:
             w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)
+    if track:
+        written = set(seen.get.get("months") or [])
+        empty = [(y, m) for y, m in sorted(set(periods)) if y * 100 + m not in written]
+        for d in partition_dirs(df.sparkSession, path, empty).values():
+            fs, p = _fs(df.sparkSession, d)
+            fs.delete(p, True)
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:

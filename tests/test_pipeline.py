@@ -92,3 +92,16 @@ def test_gold_jdbc_copy_best_effort(spark, tmp_lake):
     assert set(out) == set(GOLD_TABLES)
     with pytest.raises(Exception):
         P.build_gold(spark, lay, 2023, jdbc={"url": "jdbc:postgresql://127.0.0.1:1/none", "user": "u", "password": "p"})
+
+
+def test_rerun_with_no_valid_rows_empties_the_month(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)], layers=("bronze", "silver"))
+    assert spark.read.parquet(lay.silver).filter("mes = 2").count() == 2
+    # February is landed again, corrected, and now has only invalid rows
+    _land(lay.landing, "202302", ["202302;XX;1;A;c;1;N;10,00"])
+    P.run(spark, lay, [(2023, 2)], layers=("bronze", "silver"))
+    silver = spark.read.parquet(lay.silver)
+    assert silver.filter("mes = 2").count() == 0
+    assert silver.filter("mes = 1").count() == 2
+    assert spark.read.parquet(lay.bronze).filter("mes = 2").count() == 1
