@@ -24,7 +24,7 @@ from ledgerline.schemas import RAW_COLUMNS
 PERIOD_DIR = "competencia"
 # Files per read up to which the per-file hash table is broadcast; above it
 # the hash join shuffles (the table is one short row per file).
-MAX_BROADCAST_FILES = 200_000
+MAX_BROADCAST_FILES = 50_000  # about 10 MB of (path, digest) rows
 
 
 def csv_options(encoding: str = "ISO-8859-1", multi_line: bool = False) -> dict[str, str]:
