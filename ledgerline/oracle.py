@@ -157,7 +157,6 @@ _FEED_PERIOD = (
     "TRY_CAST(substring(MES_COMPETENCIA, 1, 4) AS INTEGER) AS ano, "
     "TRY_CAST(substring(MES_COMPETENCIA, 5, 2) AS INTEGER) AS mes"
 )
-_SUM = "CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE)"
 
 
 def _gold_sql(spark_sql: str) -> str:
@@ -213,17 +212,9 @@ def oracle_queries() -> dict[str, str]:
         SELECT ano_mes, total_beneficios, CAST(total_valor_brl AS DECIMAL(18,2)) AS total_valor_brl,
                CAST(variacao_pct AS DECIMAL(8,4)) AS variacao_pct
         FROM gold_serie"""
-    for k in ("report_q1", "report_q2", "report_q3", "report_q4", "report_q5", "report_q6"):
+    for k in ("report_q1", "report_q2", "report_q3", "report_q4", "report_q5", "report_q6",
+              "report_top_ufs", "report_growth_raw", "report_top10"):
         q[k] = _gold_sql(REPORT_SQL[k])
-    q["report_top_ufs"] = (
-        f"{BASE} SELECT uf, {_SUM.format(c='total_valor_brl')} AS total FROM gold_uf_mes "
-        "GROUP BY uf ORDER BY total DESC, uf LIMIT 5"
-    )
-    q["report_growth_raw"] = f"{BASE} SELECT ano_mes, total_beneficios, variacao_pct FROM gold_serie"
-    q["report_top10"] = (
-        f"{BASE} SELECT ano, ranking_nacional, nome_municipio AS municipio, uf, total_beneficios "
-        "FROM gold_mun WHERE ranking_nacional <= 10"
-    )
     q["nb_top_ufs"] = (
         f"{BASE} SELECT uf, total_beneficios, total_valor_brl, media_valor_brl FROM gold_uf_mes "
         "ORDER BY total_valor_brl DESC, ano, mes, uf LIMIT 10"
