@@ -150,9 +150,13 @@ def transform_silver(
     *,
     overwrite: bool = False,
     run_ts: _dt.datetime | None = None,
+    rebalance: bool = False,
 ) -> tuple[DataFrame, SilverMetrics]:
     """Clean the requested Bronze months into Silver (one write job).
 
+    ``rebalance`` sizes the output files by month for large backfills (one
+    more shuffle; see ``sinks.tables.write_partitioned``).
+
     Returns the Silver rows of those months and the funnel counts, which are
     collected by the write itself (no extra counting jobs).
     """
@@ -166,7 +170,7 @@ def transform_silver(
     if todo:
         bronze = scan_periods(spark, layout.bronze, todo, layout.fmt)
         silver, obs = silver_plan(bronze, todo, run_ts or _utc_now())
-        write_partitioned(silver, layout.silver, fmt=layout.fmt, periods=todo)
+        write_partitioned(silver, layout.silver, fmt=layout.fmt, periods=todo, rebalance=rebalance)
         skipped = metrics.skipped_periods
         metrics = _metrics(obs)
         metrics.skipped_periods = skipped

@@ -37,6 +37,7 @@ def write_partitioned(
     mode: str = "overwrite",
     periods: list[tuple[int, int]] | None = None,
     max_records_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Write ``df`` partitioned by ``ano, mes``.
 
@@ -44,8 +45,11 @@ def write_partitioned(
     delta: ``replaceWhere`` on ``periods``); with ``periods`` given, a
     requested month for which ``df`` has no rows is emptied as well, so the
     call means "these months now hold exactly ``df``". ``append`` adds
-    files. No repartition: each task writes its own slice, so a large month
-    is written by many tasks in parallel.
+    files. No repartition by default: each task writes its own slice, so a
+    large month is written by many tasks in parallel, at the price of one
+    file per (task, month). ``rebalance=True`` (for backfills of many
+    months) adds one shuffle by month that AQE sizes: small months are
+    merged, a hot month is split, and files come out near the advisory size.
     """
     track = mode == "overwrite" and fmt != "delta" and bool(periods)
     if track:
@@ -53,6 +57,8 @@ def write_partitioned(
         # one value per requested month).
         seen = Observation(f"months_{uuid.uuid4().hex[:12]}")
         df = df.observe(seen, F.collect_set(F.col("ano") * 100 + F.col("mes")).alias("months"))
+    if rebalance:
+        df = df.hint("rebalance", *PARTITION_COLUMNS)
     w = df.write.format(fmt).mode(mode).partitionBy(*PARTITION_COLUMNS)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))

@@ -105,3 +105,13 @@ def test_rerun_with_no_valid_rows_empties_the_month(spark, tmp_lake):
     assert silver.filter("mes = 2").count() == 0
     assert silver.filter("mes = 1").count() == 2
     assert spark.read.parquet(lay.bronze).filter("mes = 2").count() == 1
+
+
+def test_silver_rebalanced_backfill_same_rows(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)], layers=("bronze",))
+    a, ma = P.transform_silver(spark, lay, [(2023, 1), (2023, 2)], overwrite=True)
+    rows_a = sorted(tuple(r) for r in a.drop("dt_ingestao").collect())
+    b, mb = P.transform_silver(spark, lay, [(2023, 1), (2023, 2)], overwrite=True, rebalance=True)
+    assert sorted(tuple(r) for r in b.drop("dt_ingestao").collect()) == rows_a
+    assert ma.kept == mb.kept == 4
