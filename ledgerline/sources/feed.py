@@ -3,10 +3,11 @@
 The monthly payment feed itself is not part of the test data, so the raw
 8-column shape is projected from ``orders ⋈ customer ⋈ nation``: one payment
 per order, the customer as beneficiary, the nation as municipality/UF and the
-order date as the period. Dirty rows are planted by order key so every
-Silver rule has work: invalid UF, NULL NIS, malformed and negative values,
-padded lower-case text. Customers with several orders in a month give the
-natural-key duplicates.
+order date as the period. Every order becomes exactly one row (nothing is
+filtered or sampled); the order-key moduli below only choose which rows
+carry a planted defect, so every Silver rule has work: invalid UF, NULL NIS,
+malformed and negative values, padded lower-case text. Customers with
+several orders in a month give the natural-key duplicates.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ FEED_UFS = [
     "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG",
     "PA", "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP",
 ]
-# Order-key moduli that plant dirty rows.
+# Order-key moduli that choose which rows carry a planted defect.
 BAD_UF_EVERY = 83
 NULL_NIS_EVERY = 97
 MALFORMED_VALUE_EVERY = 101
