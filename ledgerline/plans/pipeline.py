@@ -238,7 +238,8 @@ def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 def register_gold(spark: SparkSession, layout: Layout, database: str = "gold") -> list[str]:
     """Make the Gold tables addressable as ``gold.<table>`` in SQL
     (external tables over the written files, session catalog)."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # The database folder lives in the lake, not in a machine-local warehouse.
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{layout.root}/catalog/{database}.db'")
     names = []
     for t in GOLD_TABLES:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{t}")
