@@ -153,16 +153,34 @@ def typed_contract(df: DataFrame, table: str, with_created_at: bool = False) ->
     return out
 
 
+# Columns the SQL contract declares UNIQUE.
+UNIQUE_KEYS = {"serie_temporal_brasil": ["ano_mes"]}
+
+
 def contract_violations(typed: DataFrame, table: str) -> DataFrame:
-    """Rows breaking NOT NULL (all but nullable mean/change/code) as a count."""
+    """One row: rows breaking NOT NULL (all but the nullable mean, change,
+    code and rank columns) and duplicated UNIQUE keys (``ano_mes``)."""
     nullable = {"media_valor_brl", "variacao_pct", "codigo_ibge", "ranking_nacional"}
-    required = [
-        (spec.partition(" AS ")[2] or spec) for spec, _ in TYPED_CONTRACT[table]
-    ]
+    required = [(spec.partition(" AS ")[2] or spec) for spec, _ in TYPED_CONTRACT[table]]
     bad = None
     for c in required:
         if c in nullable:
             continue
         cond = F.col(c).isNull()
         bad = cond if bad is None else bad | cond
-    return typed.agg(F.count(F.when(bad, 1)).cast("long").alias("violations"))
+    nulls = typed.agg(F.count(F.when(bad, 1)).cast("long").alias("null_violations"))
+    keys = UNIQUE_KEYS.get(table)
+    if not keys:
+        return nulls.withColumn("unique_violations", F.lit(0).cast("long"))
+    dups = (
+        typed.groupBy(*keys)
+        .count()
+        .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("long").alias("unique_violations"))
+    )
+    # both sides are single-row aggregates: combine them by union + fold,
+    # not by a cross join
+    return (
+        nulls.select("null_violations", F.lit(None).cast("long").alias("unique_violations"))
+        .unionByName(dups.select(F.lit(None).cast("long").alias("null_violations"), "unique_violations"))
+        .agg(F.max("null_violations").alias("null_violations"), F.max("unique_violations").alias("unique_violations"))
+    )

@@ -65,4 +65,11 @@ def test_typed_contract(silver_fixture):
     types = dict(typed.dtypes)
     assert types["total_valor_brl"] == "decimal(18,2)" and "municipio" in types and "codigo_ibge" in types
     assert types["created_at"] == "timestamp"
-    assert G.contract_violations(typed, "top_municipios_beneficios").first()["violations"] == 0
+    v = G.contract_violations(typed, "top_municipios_beneficios").first()
+    assert (v["null_violations"], v["unique_violations"]) == (0, 0)
+
+
+def test_contract_unique_ano_mes(silver_fixture):
+    serie = G.typed_contract(G.agg_serie_temporal(silver_fixture), "serie_temporal_brasil")
+    v = G.contract_violations(serie.unionByName(serie.limit(1)), "serie_temporal_brasil").first()
+    assert (v["null_violations"], v["unique_violations"]) == (0, 1)
