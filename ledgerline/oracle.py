@@ -212,6 +212,11 @@ def oracle_queries() -> dict[str, str]:
         SELECT ano_mes, total_beneficios, CAST(total_valor_brl AS DECIMAL(18,2)) AS total_valor_brl,
                CAST(variacao_pct AS DECIMAL(8,4)) AS variacao_pct
         FROM gold_serie"""
+    q["gold_contract_check"] = f"""{BASE}
+        SELECT CAST(COUNT(*) FILTER (WHERE ano_mes IS NULL OR total_beneficios IS NULL
+                                     OR total_valor_brl IS NULL) AS BIGINT) AS null_violations,
+               CAST(COUNT(*) - COUNT(DISTINCT ano_mes) AS BIGINT) AS unique_violations
+        FROM gold_serie"""
     for k in ("report_q1", "report_q2", "report_q3", "report_q4", "report_q5", "report_q6",
               "report_top_ufs", "report_growth_raw", "report_top10"):
         q[k] = _gold_sql(REPORT_SQL[k])

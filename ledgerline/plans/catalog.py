@@ -131,6 +131,11 @@ def q_gold_typed_serie(spark, sf):
     return G.typed_contract(gold(spark, sf)["serie_temporal_brasil"], "serie_temporal_brasil")
 
 
+def q_gold_contract_check(spark, sf):
+    table = "serie_temporal_brasil"
+    return G.contract_violations(G.typed_contract(gold(spark, sf)[table], table), table)
+
+
 def _g(name):
     def pick(spark, sf):
         return gold(spark, sf)[name]
@@ -268,6 +273,7 @@ def queries() -> dict[str, Query]:
         "gold_typed_contract": q_gold_typed_contract,
         "gold_typed_uf_mes": q_gold_typed_uf_mes,
         "gold_typed_serie": q_gold_typed_serie,
+        "gold_contract_check": q_gold_contract_check,
     }
     for name, (fn, table) in REPORTS.items():
         q[name] = _report(fn, table)
