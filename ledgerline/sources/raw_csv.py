@@ -132,16 +132,12 @@ def read_landing(
 def file_hashes(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> DataFrame:
     """``(path, md5)`` of each landed file: MD5 of the original bytes.
 
-    Each file is read whole into one row, so this suits monthly files below
-    2 GB; pass ``file_hash=False`` to ``with_bronze_audit`` for larger ones.
+    Same file set as the CSV reader (Spark skips ``_``/``.`` files). Each
+    file is read whole into one row, so this suits monthly files below 2 GB;
+    use ``file_hash="rows"`` in ``with_bronze_audit`` for larger ones.
     """
     dirs = month_dirs(spark, landing, periods)
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
-        .option("basePath", landing)
-        .load(landing if dirs is None else dirs)
-    )
+    files = spark.read.format("binaryFile").option("basePath", landing).load(landing if dirs is None else dirs)
     cond = period_filter(periods)
     if cond is not None:
         files = files.filter(cond)
@@ -201,10 +197,11 @@ def with_bronze_audit(
         }
     )
     if mode in ("md5", "rows"):
-        hashes = file_hashes(spark, landing, periods) if mode == "md5" else row_fingerprints(raw)
+        listing = file_hashes(spark, landing, periods)
+        hashes = listing if mode == "md5" else row_fingerprints(raw)
         # Size check from the driver's file index (no job): the files of the
         # requested months, the rows of the hash table.
-        n_files = len(file_hashes(spark, landing, periods).inputFiles())
+        n_files = len(listing.inputFiles())
         side = F.broadcast(hashes) if n_files <= MAX_BROADCAST_FILES else hashes
         df = df.join(side, df["_hash_key"] == side["_hash_path"], "left").drop("_hash_path")
     elif mode is None:
