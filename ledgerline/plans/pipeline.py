@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import gold as G
 from ledgerline.operators import silver as S
 from ledgerline.schemas import GOLD_TABLES
-from ledgerline.settings import Layout, checkpoint_dir
+from ledgerline.settings import Layout, work_dir
 from ledgerline.sinks.tables import (
     existing_periods,
     read_periods,
@@ -197,9 +197,9 @@ def build_gold(
 
     A list of years builds them in one pass (rankings restart per year).
 
-    Silver is read once into the small pre-aggregate, which is checkpointed
-    to the shared checkpoint folder so the three tables do not re-scan
-    Silver and a lost executor does not lose it. Returns ``{}`` when Silver
+    Silver is read once into the small pre-aggregate, which is written to
+    the shared checkpoint folder so the three tables do not re-scan Silver
+    and a lost executor does not lose it. Returns ``{}`` when Silver
     has no rows for the period (nothing is written).
     """
     silver = read_table(spark, layout.silver, layout.fmt)
@@ -209,8 +209,13 @@ def build_gold(
     silver = silver.filter(F.col("ano").isin(years))
     if month is not None:
         silver = silver.filter(F.col("mes") == month)
-    checkpoint_dir(spark)
-    pre = G.pre_aggregate(silver).checkpoint(eager=True)
+    # The small pre-aggregate is written once to the shared checkpoint folder
+    # and read back: Silver is scanned once, the three tables share it, and
+    # the lineage ends there (a lost executor does not re-scan Silver).
+    # (A reliable DataFrame.checkpoint() would compute it twice.)
+    pre_path = work_dir(spark, f"gold-pre-{uuid.uuid4().hex[:12]}")
+    G.pre_aggregate(silver).write.mode("overwrite").parquet(pre_path)
+    pre = spark.read.parquet(pre_path)
     if pre.isEmpty():
         return {}
     tables = {
