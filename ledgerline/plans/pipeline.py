@@ -236,6 +236,37 @@ def build_gold(
     return out
 
 
+def refresh_gold_pre(spark: SparkSession, layout: Layout, periods: list[Period]) -> None:
+    """Replace the requested months of the month-partitioned pre-aggregate
+    from Silver (months without Silver rows are emptied). Only those months
+    of Silver are read."""
+    periods = sorted(set(periods))
+    silver = scan_periods(spark, layout.silver, periods, layout.fmt)
+    write_partitioned(G.pre_aggregate(silver), layout.gold_pre, fmt=layout.fmt, periods=periods)
+
+
+def build_gold_all(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """Rebuild the Gold tables over every month in the pre-aggregate.
+
+    The pre-aggregate is bounded by months x municipalities, so this is cheap
+    however much Silver holds; with ``refresh_gold_pre`` it keeps Gold whole
+    (all years, series change across year boundaries) while each run reads
+    only its own months of Silver.
+    """
+    pre = read_table(spark, layout.gold_pre, layout.fmt)
+    if pre is None or pre.isEmpty():
+        return {}
+    out = {}
+    for name, df in {
+        "transferencias_por_uf_mes": G.agg_por_uf_mes(pre),
+        "top_municipios_beneficios": G.agg_top_municipios(pre),
+        "serie_temporal_brasil": G.agg_serie_temporal(pre),
+    }.items():
+        write_table(df, layout.gold(name), fmt=layout.fmt)
+        out[name] = spark.read.format(layout.fmt).load(layout.gold(name))
+    return out
+
+
 def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {t: spark.read.format(layout.fmt).load(layout.gold(t)) for t in GOLD_TABLES}
 
@@ -266,9 +297,15 @@ def run(
     *,
     overwrite: bool = True,
     raise_on_error: bool = True,
+    gold_scope: str = "years",
 ) -> dict:
     """Run the chosen layers for a set of months.
 
+    ``gold_scope="years"`` rebuilds Gold from Silver for the years of the
+    months (Gold then holds those years, as a per-year Gold job does);
+    ``"all"`` refreshes the month-partitioned pre-aggregate for the months
+    and re-rolls Gold over everything in it (incremental runs).
+
     Statuses are recorded per layer; the first failure stops the run, the
     result dict is completed, and then the error is raised (or returned when
     ``raise_on_error`` is False).
@@ -287,7 +324,13 @@ def run(
                 df, m = transform_silver(spark, layout, periods, overwrite=overwrite, run_ts=run_ts)
                 result["layers"]["silver"] = {"rows": df.count(), "funnel": m.as_dict(), "status": "ok"}
             elif layer == "gold":
-                built = build_gold(spark, layout, sorted({y for y, _ in periods}))
+                if gold_scope == "all":
+                    refresh_gold_pre(spark, layout, periods)
+                    built = build_gold_all(spark, layout)
+                elif gold_scope == "years":
+                    built = build_gold(spark, layout, sorted({y for y, _ in periods}))
+                else:
+                    raise ValueError(f"unknown gold_scope {gold_scope!r}")
                 tables = {k: v.count() for k, v in built.items()}
                 result["layers"]["gold"] = {"tables": tables, "status": "ok"}
             else:

@@ -39,6 +39,11 @@ class Layout:
     def gold(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    @property
+    def gold_pre(self) -> str:
+        """Month-partitioned pre-aggregate the Gold tables are rolled up from."""
+        return f"{self.root}/gold/_pre_aggregate"
+
 
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")

@@ -4,8 +4,9 @@ A Structured Streaming file source watches the landing folder; its
 checkpoint remembers which files were already seen, so each file triggers
 work once, across restarts. Each micro-batch only yields the set of months
 that received files; those whole months are then rebuilt with the batch
-jobs (Bronze and Silver by dynamic partition overwrite, Gold for the touched
-years). Rebuilding whole months keeps a retried batch idempotent and stays
+jobs (Bronze, Silver and the month-partitioned Gold pre-aggregate by
+partition overwrite), and the small Gold tables are re-rolled over all
+months. Rebuilding whole months keeps a retried batch idempotent and stays
 correct when one month's files arrive in several batches.
 
 Run with ``trigger(availableNow=True)`` from a scheduler for "process what
@@ -66,7 +67,9 @@ def start_incremental(
     def process(batch: DataFrame, batch_id: int) -> None:
         months = _months_of(batch)
         if months:
-            P.run(spark, layout, months, layers=layers, overwrite=True)
+            # Gold over everything so far: each batch refreshes only its months
+            # of the pre-aggregate, then re-rolls the small Gold tables.
+            P.run(spark, layout, months, layers=layers, overwrite=True, gold_scope="all")
 
     writer = (
         landed_months(spark, layout.landing, max_files_per_trigger)

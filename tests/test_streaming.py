@@ -14,15 +14,19 @@ def test_incremental_runs_process_new_files_once(spark, tmp_lake):
     assert bronze.count() == 3
     first_ts = {r["_ingested_at"] for r in bronze.filter("mes = 1").collect()}
 
-    _land(lay.landing, "202303", ["202303;MG;3;C;c;4;N;40,00"])
+    _land(lay.landing, "202403", ["202403;MG;3;C;c;4;N;40,00", "202403;MG;3;C;c;5;N;40,00"])
     run_available(spark, lay, checkpoint=ckpt)
     bronze = spark.read.parquet(lay.bronze)
-    assert bronze.count() == 4
+    assert bronze.count() == 5
     # January was not landed again, so it was not rebuilt
     assert {r["_ingested_at"] for r in bronze.filter("mes = 1").collect()} == first_ts
-    assert spark.read.parquet(lay.silver).count() == 4
-    serie = spark.read.parquet(lay.gold("serie_temporal_brasil"))
-    assert serie.count() == 3  # Gold rebuilt for the touched year from all its Silver months
+    assert spark.read.parquet(lay.silver).count() == 5
+    # Gold keeps 2023 while 2024 arrives; the change crosses the year boundary
+    serie = {r["ano_mes"]: r for r in spark.read.parquet(lay.gold("serie_temporal_brasil")).collect()}
+    assert sorted(serie) == ["2023-01", "2023-02", "2024-03"]
+    assert serie["2024-03"]["variacao_pct"] == 100.0  # 2 vs 1 beneficiary in 2023-02
+    uf = spark.read.parquet(lay.gold("transferencias_por_uf_mes"))
+    assert sorted({r["ano"] for r in uf.collect()}) == [2023, 2024]
 
 
 def test_second_file_for_a_month_rebuilds_the_whole_month(spark, tmp_lake):
