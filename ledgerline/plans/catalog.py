@@ -27,6 +27,7 @@ from ledgerline.sources.feed import payments_feed
 SCAN_YEAR = 1998
 SCAN_MONTH = 7
 REPLACED_PERIODS = [(1996, 1), (1998, 7)]
+STREAM_FILES_PER_TRIGGER = 40  # several micro-batches over the staged files
 
 SILVER_OUT = ["uf", "codigo_municipio", "nome_municipio", "nis_favorecido", "nome_favorecido", "valor_parcela", "ano", "mes"]
 
@@ -247,6 +248,16 @@ def q_pipeline_multi_month(spark, sf):
     return spark.read.parquet(lay.gold("transferencias_por_uf_mes"))
 
 
+def q_streaming_incremental(spark, sf):
+    """The file-driven incremental pipeline over the whole staged landing,
+    in several micro-batches; returns the resulting national series."""
+    from ledgerline.streaming.landing import run_available
+
+    lay = fresh_layout(spark, sf)
+    run_available(spark, lay, checkpoint=work_dir(spark, "stream-ckpt"), max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    return spark.read.parquet(lay.gold("serie_temporal_brasil"))
+
+
 def q_report_sql_q4(spark, sf):
     """Region report through SQL text over the registered ``gold`` database."""
     lay, periods = _bronze_all(spark, sf)
@@ -290,6 +301,7 @@ def queries() -> dict[str, Query]:
             "gold_table_roundtrip": q_gold_table_roundtrip,
             "pipeline_multi_month": q_pipeline_multi_month,
             "report_sql_q4": q_report_sql_q4,
+            "streaming_incremental": q_streaming_incremental,
         }
     )
     return q
