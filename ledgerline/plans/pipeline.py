@@ -21,6 +21,7 @@ from ledgerline.operators import silver as S
 from ledgerline.schemas import GOLD_TABLES
 from ledgerline.settings import Layout, work_dir
 from ledgerline.sinks.tables import (
+    delete_path,
     existing_periods,
     read_periods,
     read_table,
@@ -217,6 +218,7 @@ def build_gold(
     G.pre_aggregate(silver).write.mode("overwrite").parquet(pre_path)
     pre = spark.read.parquet(pre_path)
     if pre.isEmpty():
+        delete_path(spark, pre_path)
         return {}
     tables = {
         "transferencias_por_uf_mes": G.agg_por_uf_mes(pre),
@@ -224,15 +226,18 @@ def build_gold(
         "serie_temporal_brasil": G.agg_serie_temporal(pre),
     }
     if not write:
-        return tables
+        return tables  # still backed by the scratch pre-aggregate
     out = {}
-    for name, df in tables.items():
-        write_table(df, layout.gold(name), fmt=layout.fmt)
-        out[name] = spark.read.format(layout.fmt).load(layout.gold(name))
-        if jdbc:
-            opts = dict(jdbc)
-            schema = opts.pop("schema", "gold")
-            write_jdbc(G.typed_contract(out[name], name), table=f"{schema}.{name}", **opts)
+    try:
+        for name, df in tables.items():
+            write_table(df, layout.gold(name), fmt=layout.fmt)
+            out[name] = spark.read.format(layout.fmt).load(layout.gold(name))
+            if jdbc:
+                opts = dict(jdbc)
+                schema = opts.pop("schema", "gold")
+                write_jdbc(G.typed_contract(out[name], name), table=f"{schema}.{name}", **opts)
+    finally:
+        delete_path(spark, pre_path)  # the written Gold tables no longer need it
     return out
 
 

@@ -100,6 +100,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder (recursive; no error when absent)."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def existing_dirs(spark: SparkSession, dirs: list[str]) -> list[str]:
     """The folders of ``dirs`` that exist (one metadata call each, on the
     driver; nothing else is listed)."""
