@@ -153,17 +153,27 @@ def existing_periods(
 ) -> set[tuple[int, int]]:
     """Which of ``periods`` already have rows at ``path``.
 
-    A read of the requested months' partition columns only (a month folder
-    without rows does not count): at most ``len(periods)`` rows come back,
-    so collecting them is bounded.
+    File formats: a month exists when its folder holds a data file (Spark
+    writes no file for an empty partition, and ``write_partitioned`` removes
+    months replaced by nothing) -- a metadata check per month, no job.
+    Delta: a read of the months' partition columns (at most one row per
+    requested month comes back).
     """
     if not periods:
         return set()
-    df = read_periods(spark, path, periods, fmt)
-    if df is None:
-        return set()
-    found = df.select(*PARTITION_COLUMNS).distinct().collect()
-    return {(r["ano"], r["mes"]) for r in found}
+    if fmt == "delta":
+        df = read_periods(spark, path, periods, fmt)
+        if df is None:
+            return set()
+        found = df.select(*PARTITION_COLUMNS).distinct().collect()
+        return {(r["ano"], r["mes"]) for r in found}
+    out = set()
+    for period, d in partition_dirs(spark, path, periods).items():
+        fs, p = _fs(spark, d)
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        if any(not n.startswith(("_", ".")) for n in names):
+            out.add(period)
+    return out
 
 
 def write_jdbc(
