@@ -256,5 +256,6 @@ def oracle_queries() -> dict[str, str]:
     q["gold_table_roundtrip"] = f"{BASE} SELECT * FROM gold_mun"
     q["pipeline_multi_month"] = f"{BASE} SELECT * FROM gold_uf_mes"
     q["report_sql_q4"] = q["report_q4"]
+    q["silver_funnel_observed"] = q["silver_funnel"]
     q["streaming_incremental"] = q["gold_serie_temporal"]
     return q

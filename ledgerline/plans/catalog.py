@@ -233,6 +233,15 @@ def q_silver_partition_replace(spark, sf):
     return spark.read.parquet(lay.silver).select(*SILVER_OUT)
 
 
+def q_silver_funnel_observed(spark, sf):
+    """The funnel counts the Silver job collects on its own write
+    (Observation metrics, no extra pass), as a one-row frame."""
+    lay, periods = _bronze_all(spark, sf)
+    _, m = P.transform_silver(spark, lay, periods, overwrite=True)
+    cols = ["raw", "foreign_period", "invalid", "nulls", "duplicates", "kept"]
+    return spark.createDataFrame([tuple(int(getattr(m, c)) for c in cols)], ", ".join(f"{c} bigint" for c in cols))
+
+
 def q_gold_table_roundtrip(spark, sf):
     lay, periods = _bronze_all(spark, sf)
     P.transform_silver(spark, lay, periods, overwrite=True)
@@ -298,6 +307,7 @@ def queries() -> dict[str, Query]:
             "bronze_partition_replace": q_bronze_partition_replace,
             "bronze_idempotent": q_bronze_idempotent,
             "silver_partition_replace": q_silver_partition_replace,
+            "silver_funnel_observed": q_silver_funnel_observed,
             "gold_table_roundtrip": q_gold_table_roundtrip,
             "pipeline_multi_month": q_pipeline_multi_month,
             "report_sql_q4": q_report_sql_q4,
