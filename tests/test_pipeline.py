@@ -125,3 +125,10 @@ def test_incremental_gold_matches_full_rebuild(spark, tmp_lake):
     full = {t: sorted(tuple(r) for r in df.collect())
             for t, df in P.build_gold(spark, lay, 2023, write=False).items()}
     assert inc == full
+
+
+def test_bronze_with_row_fingerprints(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    df = P.ingest_bronze(spark, lay, [(2023, 1), (2023, 2)], file_hash="rows")
+    hashes = {r["_file_hash"] for r in df.select("_file_hash").collect()}
+    assert len(hashes) == 2 and all(h.startswith("rows:") for h in hashes)
