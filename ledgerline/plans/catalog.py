@@ -64,9 +64,8 @@ def fresh_layout(spark: SparkSession, sf: str) -> Layout:
 
 
 def all_periods(spark: SparkSession, landing: str) -> list[tuple[int, int]]:
-    """Months present in the landing folder (one row per month folder)."""
-    rows = R.read_raw(spark, landing).select(R.PERIOD_DIR).distinct().collect()
-    return sorted((int(r[0]) // 100, int(r[0]) % 100) for r in rows)
+    """Months present in the landing folder (from the folder names)."""
+    return R.landed_periods(spark, landing)
 
 
 # ---------------------------------------------------------------- queries

@@ -95,6 +95,21 @@ def read_raw(
     return df.toDF(*canon, *part_cols)
 
 
+def landed_periods(spark: SparkSession, landing: str) -> list[tuple[int, int]]:
+    """Months present in the landing area, from its folder names (one
+    listing of the landing root; no file is read)."""
+    from ledgerline.sinks.tables import _fs
+
+    fs, root = _fs(spark, landing)
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        key, _, value = name.partition("=")
+        if st.isDirectory() and key == PERIOD_DIR and value.isdigit() and len(value) == 6:
+            out.append((int(value) // 100, int(value) % 100))
+    return sorted(out)
+
+
 def month_dirs(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> list[str] | None:
     """Existing ``competencia=YYYYMM`` folders of the requested months, so
     only these are listed; None (read the whole landing folder, pruned by the

@@ -172,3 +172,10 @@ def test_delta_replace_where_predicate():
     assert replace_where([(2023, 2), (2023, 1), (2023, 1)]) == "(ano = 2023 AND mes = 1) OR (ano = 2023 AND mes = 2)"
     with pytest.raises(ValueError):
         replace_where([])
+
+
+def test_landed_periods_from_folder_names(spark, tmp_lake):
+    land = tmp_lake + "/landing"
+    _land(land, "202301", ["202301;SP;1;A;c;1;N;10,00"])
+    _land(land, "199912", ["199912;SP;1;A;c;1;N;10,00"])
+    assert R.landed_periods(spark, land) == [(1999, 12), (2023, 1)]
