@@ -47,6 +47,7 @@ from .components import components
 from .shared import settle, small, table
 
 RARE = 16
+HAS_WORD = r"[^\x20\x09-\x0D]"
 BLOCK_CLASSES = 512
 BLOCK_TOKENS = 200_000
 _COLUMNS = 4096
@@ -62,13 +63,12 @@ def _signed(s: np.ndarray) -> np.ndarray:
     return np.sort(s.view(np.int64))
 
 
-def _sets(size: int, percent: int, whole: bool, text: str):
-    """Map function: (doc_id, text) -> doc_id, n, fp and the screening prefix or the whole set."""
+def _sets(size: int, percent: int, whole: bool):
+    """Map function: (doc_id, h, text) -> doc_id, h, n, fp and the screening prefix or the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for first, data, off in blocks(batch.column(1)):
+            for first, data, off in blocks(batch.column(2)):
                 ns, fps, tokens, lengths = [], [], [], []
                 for s in shingle_sets(data, off, size):
                     s = _signed(s)
@@ -82,23 +82,24 @@ def _sets(size: int, percent: int, whole: bool, text: str):
                 bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(first, len(ns)),
+                        batch.column(0).slice(first, len(ns)),
+                        batch.column(1).slice(first, len(ns)),
                         pa.array(ns, pa.int64()),
                         pa.array(fps, pa.binary()),
                         pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat)),
                     ],
-                    names=["doc_id", "n", "fp", "tokens"],
+                    names=["doc_id", "h", "n", "fp", "tokens"],
                 )
 
     return run
 
 
-SET_SCHEMA = "doc_id long, n long, fp binary, tokens array<long>"
+SET_SCHEMA = "doc_id long, h long, n long, fp binary, tokens array<long>"
 
 
 def shingled(docs: DataFrame, size: int, percent: int, whole: bool) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_sets(size, percent, whole, "text"), SET_SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    return rows.mapInArrow(_sets(size, percent, whole), SET_SCHEMA)
 
 
 def _screen(classes: DataFrame, need) -> DataFrame:
@@ -178,10 +179,10 @@ def _pairs(postings: DataFrame, key: str, percent: int) -> DataFrame:
 
 
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(membership: doc_id, n, fp of every row; links: a, b between classes). The links connect
+    """(membership: doc_id, h (hash of the text), n, fp of every row; links: a, b between classes). The links connect
     all classes that links connect; of a long posting list's links only a spanning forest is kept."""
     members = settle(shingled(docs, size, percent, whole=False), "sets")
-    rows = members.select("doc_id", "n", "fp")
+    rows = members.select("doc_id", "h", "n", "fp")
     classes = (
         members.where("fp is not null and doc_id is not null")
         .groupBy("fp")
@@ -269,19 +270,42 @@ def components_of_keys(postings: DataFrame) -> DataFrame | None:
     return components(edges).where(F.length("node") == 16).select(F.col("node").alias("fp"), F.col("component").alias("bundle"))
 
 
+def _labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Every row's doc_id, h, n and class label; NULL label for rows that link nothing."""
+    rows, linked = links(docs, size, percent)
+    groups = components(linked).withColumnRenamed("node", "fp")
+    label = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "fp"))
+    return rows.join(groups, "fp", "left").select("doc_id", "h", "n", label.alias("label"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs``."""
-    rows, linked = links(docs, size, percent)
-    groups = components(linked)
-    labelled = rows.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("component", "fp"))
+    labelled = _labelled(docs, size, percent)
     smallest = labelled.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return labelled.join(smallest, "label", "left").select(
-        "doc_id",
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id"),
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
     )
 
 
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: the smallest doc_id, then text hash. Rows that link
+    nothing (no words, NULL doc_id) stay."""
+    labelled = settle(_labelled(docs, size, percent), "labelled")
+    first = labelled.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*")
+    # how many rows repeat the kept one: only those need to be brought together
+    rows = labelled.where("label is not null").groupBy("doc_id", "h").agg(F.count("*").alias("k"))
+    keys = settle(first.join(rows, ["doc_id", "h"]), "kept")
+    apart = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(HAS_WORD), F.lit(False))
+    alone, others = docs.where(apart), docs.where(~apart).withColumn("__h", F.xxhash64("text"))
+
+    def held(part: DataFrame) -> DataFrame:
+        part = small(part.select(F.col("doc_id").alias("__id"), F.col("h").alias("__k")), part.count())
+        return others.join(part, (F.col("doc_id") == F.col("__id")) & (F.col("__h") == F.col("__k")), "left_semi")
+
+    once, repeated = held(keys.where("k = 1")), held(keys.where("k > 1")).dropDuplicates(["doc_id", "__h"])
+    return alone.unionByName(once.drop("__h")).unionByName(repeated.drop("__h"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=85)
 

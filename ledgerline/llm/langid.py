@@ -122,7 +122,7 @@ def _backoff(word: str, tables: list, zero: np.ndarray) -> tuple[np.ndarray, int
     return zero, 0
 
 
-def _predictor(broadcast, text: str, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _predictor(broadcast, text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = broadcast.value
         langs, tables = model["langs"], model["tables"]
@@ -166,7 +166,17 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """All columns of ``docs`` plus lang_pred and score (columns of those names in the input are replaced)."""
     docs = docs.drop("lang_pred", "score")
     schema = T.StructType(docs.schema.fields + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(_predictor(model["broadcast"], text, None), schema)
+    return docs.mapInArrow(_predictor(model["broadcast"], text), schema)
+
+
+#: A text whose words speak for no language more than this share is rejected.
+MIN_SCORE = 0.4
+
+
+def accepted(docs: DataFrame, model: dict, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language the model knows; the columns stay as they are."""
+    judged = predict(docs, model, text)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

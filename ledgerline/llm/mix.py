@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import n_words, settle, table
+from .shared import n_words, settle, small, table
 
 WEIGHTS = (5, 2, 1)
 
@@ -89,6 +89,23 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "text
     return full.select("doc_id", "text_hash", F.col("r.source").alias("source"), "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
+def emit(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "text") -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken (0 to ``cap`` times)."""
+    taken = mix(docs, share, cap, text).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    taken = settle(taken, "taken")
+    rows = docs.withColumn("__h", F.xxhash64(text))
+
+    def copied(part: DataFrame, of: DataFrame) -> DataFrame:
+        part = part.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__k"), "copies")
+        part = small(part, part.count()).withColumnRenamed("copies", "__copies")
+        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k"))
+        met = of.join(part, same).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        return met.select(*docs.columns)
+
+    # rows that repeat id and text are brought together and emitted as often as all of them are taken
+    return copied(taken.where("rows = 1"), rows).unionByName(copied(taken.where("rows > 1"), rows.dropDuplicates(["doc_id", "__h"])))
+
+
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return m.select("doc_id", "size", F.col("source_size").cast("long"), "target", (F.col("copies") * F.col("size")).alias("taken"))
