@@ -2,11 +2,14 @@
 
 from ledgerline.functions.labels import region_of, trend_label
 from ledgerline.functions.money import (
+    MONEY_LIMIT,
     exact_sum,
+    exact_total,
     parse_brl,
     pct_change,
     round_half_up,
     to_double,
+    total_money,
 )
 from ledgerline.functions.text import (
     ano_mes_label,
@@ -18,9 +21,11 @@ from ledgerline.functions.text import (
 )
 
 __all__ = [
+    "MONEY_LIMIT",
     "ano_mes_label",
     "canonical_header",
     "exact_sum",
+    "exact_total",
     "normalize_text",
     "parse_brl",
     "pct_change",
@@ -30,5 +35,6 @@ __all__ = [
     "region_of",
     "round_half_up",
     "to_double",
+    "total_money",
     "trend_label",
 ]

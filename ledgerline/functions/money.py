@@ -10,10 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Precision of stored amounts (cents) and of the intermediate rounding step.
-MONEY_TYPE = "decimal(18,2)"
-SUM_TYPE = "decimal(38,2)"
+# Amounts are summed with 8 decimals and rounded to cents once, at the end.
+MONEY_TYPE = "decimal(28,8)"
+SUM_TYPE = "decimal(38,8)"
+TOTAL_TYPE = "decimal(38,2)"
 ROUND_TYPE = "decimal(28,8)"
+# First amount that MONEY_TYPE cannot hold; Silver counts such rows as invalid.
+MONEY_LIMIT = 1e20
 
 
 def _col(c: Column | str) -> Column:
@@ -32,10 +35,20 @@ def parse_brl(c: Column | str) -> Column:
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Sum of an amount column as ``decimal(38,2)``: exact and order-free."""
+    """Sum of an amount column as ``decimal(38,8)``: exact and order-free."""
     return F.sum(_col(c).cast(MONEY_TYPE)).cast(SUM_TYPE)
 
 
+def total_money(c: Column | str) -> Column:
+    """An exact sum rounded to cents, as double."""
+    return F.round(_col(c), 2).cast(TOTAL_TYPE).cast("double")
+
+
+def exact_total(c: Column | str) -> Column:
+    """Sum of amounts that are already rounded to cents (Gold columns), as ``decimal(38,2)``."""
+    return F.sum(_col(c).cast(TOTAL_TYPE)).cast(TOTAL_TYPE)
+
+
 def round_half_up(c: Column | str, scale: int) -> Column:
     """Round half away from zero at ``scale`` digits, returned as double.
 

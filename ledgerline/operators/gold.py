@@ -11,13 +11,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.functions import ano_mes_label, exact_sum, pct_change, round_half_up, to_double
+from ledgerline.functions import ano_mes_label, exact_sum, pct_change, round_half_up, to_double, total_money
 from ledgerline.schemas import GOLD_SCHEMAS, column_names
 
 GRAIN = ["ano", "mes", "uf", "codigo_municipio", "nome_municipio"]
 _N = "_n"  # count of beneficiaries (non-null NIS)
-_S = "_s"  # exact sum of values, decimal(38,2)
+_S = "_s"  # exact sum of values, decimal(38,8)
+
+PRE_SCHEMA = T.StructType(
+    [
+        T.StructField("ano", T.IntegerType()),
+        T.StructField("mes", T.IntegerType()),
+        T.StructField("uf", T.StringType()),
+        T.StructField("codigo_municipio", T.StringType()),
+        T.StructField("nome_municipio", T.StringType()),
+        T.StructField(_N, T.LongType()),
+        T.StructField(_S, T.DecimalType(38, 8)),
+    ]
+)
 
 # Ranking order: most beneficiaries, then most value, then names (total order).
 def rank_order() -> list[F.Column]:
@@ -51,7 +64,7 @@ def _rollup(df: DataFrame, keys: list[str]) -> DataFrame:
         n, s = F.count("nis_favorecido"), exact_sum("valor_parcela")
     return df.groupBy(*keys).agg(
         n.cast("long").alias("total_beneficios"),
-        s.cast("decimal(38,2)").alias(_S),
+        s.cast("decimal(38,8)").alias(_S),
     )
 
 
@@ -62,7 +75,7 @@ def agg_por_uf_mes(df: DataFrame) -> DataFrame:
         "mes",
         "uf",
         "total_beneficios",
-        to_double(_S).alias("total_valor_brl"),
+        total_money(_S).alias("total_valor_brl"),
         round_half_up(to_double(_S) / F.col("total_beneficios"), 2).alias("media_valor_brl"),
     )
     return out.select(*column_names(GOLD_SCHEMAS["transferencias_por_uf_mes"]))
@@ -80,7 +93,7 @@ def agg_top_municipios(df: DataFrame) -> DataFrame:
         "uf",
         "codigo_municipio",
         "total_beneficios",
-        to_double(_S).alias("total_valor_brl"),
+        total_money(_S).alias("total_valor_brl"),
     )
     w = Window.partitionBy("ano").orderBy(*rank_order())
     return agg.withColumn("ranking_nacional", F.row_number().over(w))
@@ -92,7 +105,7 @@ def agg_serie_temporal(df: DataFrame) -> DataFrame:
     monthly = _rollup(df, ["ano", "mes"]).select(
         ano_mes_label("ano", "mes").alias("ano_mes"),
         "total_beneficios",
-        to_double(_S).alias("total_valor_brl"),
+        total_money(_S).alias("total_valor_brl"),
     )
     # One row per month: a global ordering window is cheap here.
     w = Window.orderBy("ano_mes")
@@ -102,7 +115,11 @@ def agg_serie_temporal(df: DataFrame) -> DataFrame:
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     """The three Gold tables from one pre-aggregate of ``silver``."""
-    pre = pre_aggregate(silver)
+    return roll_up(pre_aggregate(silver))
+
+
+def roll_up(pre: DataFrame) -> dict[str, DataFrame]:
+    """The three Gold tables from the pre-aggregate."""
     return {
         "transferencias_por_uf_mes": agg_por_uf_mes(pre),
         "top_municipios_beneficios": agg_top_municipios(pre),

@@ -18,33 +18,39 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).cast("double").alias("n")).select(F.lit(name).alias("item"), "n")
 
 
+def layer_counts(frames: dict[str, DataFrame | None]) -> DataFrame:
+    """``(item, n)`` for every frame that is given."""
+    counts = None
+    for name, df in frames.items():
+        if df is not None:
+            part = _count(df, name if name in ("bronze", "silver") else f"gold.{name}")
+            counts = part if counts is None else counts.unionByName(part)
+    return counts
+
+
 def dq_report(bronze: DataFrame, silver: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
-    """Checks: Bronze has rows; Silver keeps >= 70 % of Bronze (only when
+    """The checks over stored layers; a Gold table that is not there counts no rows."""
+    return checks(layer_counts({"bronze": bronze, "silver": silver} | {t: gold.get(t) for t in GOLD_TABLES}))
+
+
+def checks(counts: DataFrame) -> DataFrame:
+    """``counts``: (item, n). Bronze has rows; Silver keeps >= 70 % of Bronze (only when
     Bronze has rows); each Gold table has rows. One row per check."""
-    counts = _count(bronze, "bronze")
-    counts = counts.unionByName(_count(silver, "silver"))
-    for t in GOLD_TABLES:
-        g = gold.get(t)
-        if g is None:
-            counts = counts.unionByName(
-                bronze.sparkSession.range(1).select(F.lit(f"gold.{t}").alias("item"), F.lit(0.0).alias("n"))
-            )
-        else:
-            counts = counts.unionByName(_count(g, f"gold.{t}"))
     # Five one-row counts folded into one map row, then expanded into checks:
     # each layer is counted once.
     m = counts.agg(F.map_from_entries(F.collect_list(F.struct("item", "n"))).alias("m"))
-    b, s = F.col("m")["bronze"], F.col("m")["silver"]
+    n = lambda item: F.coalesce(F.try_element_at("m", F.lit(item)), F.lit(0.0))
+    b, s = n("bronze"), n("silver")
 
     def check(name, value, passed):
         return F.struct(F.lit(name).alias("check"), value.alias("value"), passed.alias("passed"))
 
-    checks = [check("bronze_rows", b, b > 0)]
-    checks.append(F.when(b > 0, check("silver_retention", s / b, (s / b) >= F.lit(RETENTION_THRESHOLD))))
+    found = [check("bronze_rows", b, b > 0)]
+    found.append(F.when(b > 0, check("silver_retention", s / b, (s / b) >= F.lit(RETENTION_THRESHOLD))))
     for t in GOLD_TABLES:
-        g = F.col("m")[f"gold.{t}"]
-        checks.append(check(f"gold.{t}_rows", g, g > 0))
-    present = F.filter(F.array(*checks), lambda c: c.isNotNull())
+        g = n(f"gold.{t}")
+        found.append(check(f"gold.{t}_rows", g, g > 0))
+    present = F.filter(F.array(*found), lambda c: c.isNotNull())
     return m.select(F.inline(present))
 
 

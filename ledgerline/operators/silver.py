@@ -12,7 +12,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions import normalize_text, parse_brl, period_key, period_month, period_year
+from ledgerline.functions import MONEY_LIMIT, normalize_text, parse_brl, period_key, period_month, period_year
 from ledgerline.schemas import (
     COLUMN_MAP,
     CRITICAL_COLUMNS,
@@ -59,9 +59,10 @@ def normalize_strings(df: DataFrame) -> DataFrame:
 
 
 def valid_row() -> F.Column:
-    """Positive, non-NaN value and a known UF. NULLs do not pass."""
+    """Positive value below ``MONEY_LIMIT`` (so neither infinite nor NaN, which sorts
+    above every number) and a known UF. NULLs do not pass."""
     v = F.col("valor_parcela")
-    return (v > 0) & ~F.isnan(v) & F.col("uf").isin(VALID_UFS)
+    return (v > 0) & (v < F.lit(MONEY_LIMIT)) & F.col("uf").isin(VALID_UFS)
 
 
 def filter_invalid_values(df: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ typed AS (
 )"""
 
 VALID_COND = (
-    f"valor_parcela > 0 AND NOT isnan(valor_parcela) AND uf IN ({_quoted(VALID_UFS)})"
+    f"valor_parcela > 0 AND valor_parcela < 1e20 AND uf IN ({_quoted(VALID_UFS)})"
 )
 COMPLETE_COND = (
     "nis_favorecido IS NOT NULL AND uf IS NOT NULL AND valor_parcela IS NOT NULL "
@@ -98,14 +98,17 @@ silver AS (
   FROM ranked WHERE _rank = 1
 )"""
 
-SUM_EXPR = "CAST(SUM(CAST(valor_parcela AS DECIMAL(18,2))) AS DOUBLE)"
+# Amounts with 8 decimals, summed exactly, rounded to cents once.
+EXACT_SUM = "SUM(CAST(valor_parcela AS DECIMAL(28,8)))"
+SUM_EXPR = f"CAST(CAST(round({EXACT_SUM}, 2) AS DECIMAL(38,2)) AS DOUBLE)"
+MEAN_EXPR = f"CAST({EXACT_SUM} AS DOUBLE) / COUNT(nis_favorecido)"
 
 GOLD = f"""
 gold_uf_mes AS (
   SELECT ano, mes, uf,
          CAST(COUNT(nis_favorecido) AS BIGINT) AS total_beneficios,
          {SUM_EXPR} AS total_valor_brl,
-         {rnd(f"{SUM_EXPR} / COUNT(nis_favorecido)", 2)} AS media_valor_brl
+         {rnd(MEAN_EXPR, 2)} AS media_valor_brl
   FROM silver GROUP BY ano, mes, uf
 ),
 mun_agg AS (
@@ -159,22 +162,58 @@ _FEED_PERIOD = (
 )
 
 
-def _gold_sql(spark_sql: str) -> str:
-    """Report text over ``gold.<table>`` -> the same text over the oracle CTEs."""
-    body = (
-        spark_sql.replace("gold.serie_temporal_brasil", "gold_serie")
-        .replace("gold.transferencias_por_uf_mes", "gold_uf_mes")
-        .replace("gold.top_municipios_beneficios", "gold_mun")
-        .strip()
-    )
-    if body.upper().startswith("WITH "):  # merge its CTEs into the base list
-        return BASE + ",\n" + body[5:]
-    return BASE + " " + body
+# The reports, written here on their own (not from the library's SQL texts or label lists).
+_TOTAL = "CAST(SUM(CAST({c} AS DECIMAL(38,2))) AS DOUBLE)"
+_MEAN = rnd("CAST(SUM(CAST(media_valor_brl AS DECIMAL(38,2))) AS DOUBLE) / COUNT(media_valor_brl)", 2)
+_REGION = """CASE
+    WHEN uf IN ('RO', 'AC', 'AM', 'RR', 'PA', 'AP', 'TO') THEN 'Norte'
+    WHEN uf IN ('MA', 'PI', 'CE', 'RN', 'PB', 'PE', 'AL', 'SE', 'BA') THEN 'Nordeste'
+    WHEN uf IN ('MG', 'ES', 'RJ', 'SP') THEN 'Sudeste'
+    WHEN uf IN ('PR', 'SC', 'RS') THEN 'Sul'
+    WHEN uf IN ('MS', 'MT', 'GO', 'DF') THEN 'Centro-Oeste'
+    ELSE 'Outros' END"""
+REPORTS = {
+    "report_q1": f"""
+        SELECT ano_mes, total_beneficios, total_valor_brl,
+               {rnd("total_valor_brl / 1000000000.0::DOUBLE", 3)} AS total_bilhoes_brl,
+               {rnd("variacao_pct", 2)} AS variacao_pct
+        FROM gold_serie""",
+    "report_q2": """
+        SELECT uf, total_beneficios, total_valor_brl, media_valor_brl,
+               CAST(1 + (SELECT COUNT(*) FROM gold_uf_mes o
+                         WHERE o.ano = g.ano AND o.mes = g.mes AND o.total_beneficios > g.total_beneficios) AS INTEGER) AS ranking
+        FROM gold_uf_mes g
+        WHERE (ano, mes) = (SELECT (ano, mes) FROM gold_uf_mes ORDER BY ano DESC, mes DESC LIMIT 1)""",
+    "report_q3": f"""
+        SELECT ano, ranking_nacional, nome_municipio AS municipio, uf, total_beneficios,
+               {rnd("total_valor_brl / 1000000.0::DOUBLE", 2)} AS valor_milhoes_brl
+        FROM gold_mun WHERE ranking_nacional BETWEEN 1 AND 20""",
+    "report_q4": f"""
+        SELECT {_REGION} AS regiao, CAST(SUM(total_beneficios) AS BIGINT) AS total_beneficios,
+               {_TOTAL.format(c="total_valor_brl")} AS total_valor_brl, {_MEAN} AS media_valor_brl
+        FROM gold_uf_mes GROUP BY {_REGION}""",
+    "report_q5": """
+        SELECT ano_mes, total_beneficios, variacao_pct,
+               CASE WHEN variacao_pct > 5 THEN '🟢 Crescimento expressivo'
+                    WHEN variacao_pct BETWEEN 0 AND 5 AND variacao_pct <> 0 THEN '🔵 Crescimento leve'
+                    WHEN variacao_pct < 0 THEN '🔴 Queda' ELSE '⚪ Estável' END AS tendencia
+        FROM gold_serie WHERE variacao_pct IS NOT NULL""",
+    "report_q6": f"""
+        SELECT uf, {_MEAN} AS ticket_medio_brl, CAST(SUM(total_beneficios) AS BIGINT) AS total_beneficiarios,
+               {rnd(_TOTAL.format(c="total_valor_brl") + " / 1000000.0::DOUBLE", 2)} AS total_milhoes_brl
+        FROM gold_uf_mes GROUP BY uf""",
+    "report_top_ufs": f"""
+        SELECT uf, {_TOTAL.format(c="total_valor_brl")} AS total FROM gold_uf_mes
+        GROUP BY uf ORDER BY total DESC, uf LIMIT 5""",
+    "report_growth_raw": "SELECT ano_mes, total_beneficios, variacao_pct FROM gold_serie",
+    "report_top10": """
+        SELECT ano, ranking_nacional, nome_municipio AS municipio, uf, total_beneficios
+        FROM gold_mun WHERE ranking_nacional BETWEEN 1 AND 10""",
+}
 
 
 def oracle_queries() -> dict[str, str]:
-    from ledgerline.plans.catalog import REPLACED_PERIODS, SCAN_MONTH, SCAN_YEAR  # noqa: F401
-    from ledgerline.plans.reports import SQL as REPORT_SQL
+    from ledgerline.plans.catalog import EVOLVED_SINCE, MARK, REPLACED_PERIODS, SCAN_MONTH, SCAN_YEAR
     from ledgerline.schemas import GOLD_TABLES, RETENTION_THRESHOLD
 
     q: dict[str, str] = {}
@@ -217,9 +256,8 @@ def oracle_queries() -> dict[str, str]:
                                      OR total_valor_brl IS NULL) AS BIGINT) AS null_violations,
                CAST(COUNT(*) - COUNT(DISTINCT ano_mes) AS BIGINT) AS unique_violations
         FROM gold_serie"""
-    for k in ("report_q1", "report_q2", "report_q3", "report_q4", "report_q5", "report_q6",
-              "report_top_ufs", "report_growth_raw", "report_top10"):
-        q[k] = _gold_sql(REPORT_SQL[k])
+    for k, text in REPORTS.items():
+        q[k] = BASE + text
     q["nb_top_ufs"] = (
         f"{BASE} SELECT uf, total_beneficios, total_valor_brl, media_valor_brl FROM gold_uf_mes "
         "ORDER BY total_valor_brl DESC, ano, mes, uf LIMIT 10"
@@ -243,16 +281,44 @@ def oracle_queries() -> dict[str, str]:
         UNION ALL {gold_rows}"""
     q["bronze_csv_roundtrip"] = f"{RAW_BASE} SELECT {RAW_COLS} FROM feed"
     q["bronze_audit"] = (
-        f"{RAW_BASE} SELECT {RAW_COLS}, 'landing' AS _source, {_FEED_PERIOD}, TRUE AS has_file_hash FROM feed"
+        f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD}, TRUE AS has_file_hash, TRUE AS has_source, "
+        "TRUE AS has_file_name FROM feed"
+    )
+    lot = "CASE WHEN CAST(MES_COMPETENCIA AS INTEGER) % 2 = 1 THEN 'lote ' || MES_COMPETENCIA END AS LOTE"
+    q["bronze_mixed_layouts"] = f"{RAW_BASE} SELECT {RAW_COLS}, {lot}, {_FEED_PERIOD} FROM feed"
+    lot = f"CASE WHEN MES_COMPETENCIA >= '{EVOLVED_SINCE}' THEN MES_COMPETENCIA END AS LOTE"
+    q["bronze_schema_evolution"] = f"{RAW_BASE} SELECT {RAW_COLS}, {lot}, {_FEED_PERIOD} FROM feed"
+    odd_value = """CASE WHEN o_orderkey % 5 = 0 THEN 0.004 WHEN o_orderkey % 7 = 0 THEN 10000000000.126
+        WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN NULL
+        ELSE TRY_CAST(replace(replace(VALOR_PARCELA, '.', ''), ',', '.') AS DECIMAL(28,8)) END"""
+    exact = TYPED.replace(
+        "TRY_CAST(replace(replace(VALOR_PARCELA, '.', ''), ',', '.') AS DOUBLE)", f"CAST({odd_value} AS DECIMAL(28,8))"
+    )
+    # the mean in whole thousandths: a decimal sum does not turn into a double exactly in DuckDB
+    mean = (
+        "CAST((2 * SUM(CAST(valor_parcela * 1000 AS HUGEINT)) + 10 * COUNT(nis_favorecido)) "
+        "// (20 * COUNT(nis_favorecido)) AS DOUBLE) / 100"
     )
+    whole = GOLD.replace(rnd(MEAN_EXPR, 2), mean)
+    q["gold_exact_sums"] = f"{with_ctes(FEED, exact, SILVER, whole)} SELECT * FROM gold_uf_mes"
     q["scan_period"] = (
         f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD} FROM feed "
         f"WHERE MES_COMPETENCIA = '{SCAN_YEAR}{SCAN_MONTH:02d}'"
     )
     q["scan_year"] = f"{BASE} SELECT {_SILVER_OUT}, '1.0' AS _silver_version FROM silver WHERE ano = {SCAN_YEAR}"
-    q["bronze_partition_replace"] = f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD} FROM feed"
-    q["bronze_idempotent"] = q["bronze_partition_replace"]
-    q["silver_partition_replace"] = f"{BASE} SELECT {_SILVER_OUT} FROM silver"
+    again = ", ".join(f"'{y * 100 + m}'" for y, m in REPLACED_PERIODS)
+    marked = RAW_COLS.replace(
+        "NOME_FAVORECIDO", f"CASE WHEN MES_COMPETENCIA IN ({again}) THEN '{MARK}' ELSE '' END || NOME_FAVORECIDO AS NOME_FAVORECIDO"
+    )
+    q["bronze_partition_replace"] = (
+        f"{RAW_BASE} SELECT {marked}, {_FEED_PERIOD}, MES_COMPETENCIA NOT IN ({again}) AS first_run FROM feed"
+    )
+    q["bronze_partial_landing"] = q["bronze_partition_replace"]
+    q["bronze_idempotent"] = f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD}, TRUE AS first_run FROM feed"
+    y, m = REPLACED_PERIODS[0]
+    silver_name = f"CASE WHEN ano = {y} AND mes = {m} THEN upper('{MARK}') ELSE '' END || nome_favorecido AS nome_favorecido"
+    q["silver_partition_replace"] = f"{BASE} SELECT {_SILVER_OUT.replace('nome_favorecido', silver_name)} FROM silver"
+    q["gold_mixed_scopes"] = f"{BASE} SELECT * FROM gold_serie"
     q["gold_table_roundtrip"] = f"{BASE} SELECT * FROM gold_mun"
     q["pipeline_multi_month"] = f"{BASE} SELECT * FROM gold_uf_mes"
     q["report_sql_q4"] = q["report_q4"]

@@ -8,9 +8,12 @@ under the session's checkpoint folder and run the real jobs on them.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators import gold as G
@@ -20,6 +23,7 @@ from ledgerline.plans import pipeline as P
 from ledgerline.plans import reports as RP
 from ledgerline.schemas import RAW_COLUMNS
 from ledgerline.settings import Layout, work_dir
+from ledgerline.sinks.tables import _fs, read_table
 from ledgerline.sources import raw_csv as R
 from ledgerline.sources.feed import payments_feed
 
@@ -27,6 +31,8 @@ from ledgerline.sources.feed import payments_feed
 SCAN_YEAR = 1998
 SCAN_MONTH = 7
 REPLACED_PERIODS = [(1996, 1), (1998, 7)]
+MARK = "again "  # put before the names of rows that are delivered a second time
+EVOLVED_SINCE = 1998  # year from which on the files have one more column
 STREAM_FILES_PER_TRIGGER = 40  # several micro-batches over the staged files
 
 SILVER_OUT = ["uf", "codigo_municipio", "nome_municipio", "nis_favorecido", "nome_favorecido", "valor_parcela", "ano", "mes"]
@@ -44,20 +50,45 @@ def gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 # ---------------------------------------------------------------- staging
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple, str] = {}
+FEED_TABLES = ["orders", "customer", "nation"]
+
+
+def _state(spark: SparkSession, sf: str) -> tuple:
+    """Files of the feed's tables with their sizes and times: changes when a table does."""
+    out = []
+    for t in FEED_TABLES:
+        fs, p = _fs(spark, f"{sf}/{t}.parquet")
+        for st in [*fs.listStatus(p)]:
+            out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def landed(spark: SparkSession, sf: str) -> str:
     """Landing folder holding the feed as monthly files (written once per
-    session and scale factor, then only read)."""
-    key = (spark.sparkContext.applicationId, sf)
+    session and state of the tables, then only read). Its name has a space,
+    which Spark reports URL-encoded."""
+    key = (spark.sparkContext.applicationId, sf, _state(spark, sf))
     if key not in _LANDED:
-        path = work_dir(spark) + "/landing"
+        path = work_dir(spark) + "/landing files"
         R.write_landing(feed(spark, sf), path)
         _LANDED[key] = path
     return _LANDED[key]
 
 
+def landed_again(spark: SparkSession, sf: str) -> str:
+    """A landing folder with only ``REPLACED_PERIODS``, delivered anew with marked names."""
+    path = work_dir(spark) + "/landing"
+    months = [str(y * 100 + m) for y, m in REPLACED_PERIODS]
+    rows = feed(spark, sf).filter(F.col("MES_COMPETENCIA").isin(months))
+    R.write_landing(rows.withColumn("NOME_FAVORECIDO", F.concat(F.lit(MARK), "NOME_FAVORECIDO")), path)
+    return path
+
+
+def odd_month() -> F.Column:
+    return F.col("MES_COMPETENCIA").cast("int") % 2 == 1
+
+
 def fresh_layout(spark: SparkSession, sf: str) -> Layout:
     """A new lake whose landing folder holds the staged feed."""
     return Layout(root=work_dir(spark), landing_dir=landed(spark, sf))
@@ -172,9 +203,32 @@ def _report(fn, table):
     return q
 
 
+def q_gold_exact_sums(spark, sf):
+    """UF months over amounts with fractions of a cent, large ones, and ones that
+    no amount column can hold."""
+    k = F.col("o_orderkey")
+    raw = payments_feed(spark, sf, with_row_id=True)
+    value = (
+        F.when(k % 5 == 0, F.lit("0,004"))
+        .when(k % 7 == 0, F.lit("10.000.000.000,126"))
+        .when(k % 11 == 0, F.lit("100.000.000.000.000.000.000,00"))
+        .when(k % 13 == 0, F.lit("Infinity"))
+        .otherwise(F.col("VALOR_PARCELA"))
+    )
+    return G.agg_por_uf_mes(S.clean(raw.withColumn("VALOR_PARCELA", value).drop("o_orderkey")))
+
+
 def q_dq_report(spark, sf):
-    raw = feed(spark, sf)
-    return Q.dq_report(raw, S.clean(raw), gold(spark, sf))
+    """The payment rows are read once: counted on their way into the pre-aggregate, which
+    is written, and from which the Silver count and the Gold tables follow."""
+    seen = Observation(f"dq_{uuid.uuid4().hex[:12]}")
+    raw = feed(spark, sf).observe(seen, F.count(F.lit(1)).alias("n"))
+    path = work_dir(spark) + "/pre"
+    G.pre_aggregate(S.clean(raw)).write.parquet(path)
+    pre = spark.read.schema(G.PRE_SCHEMA).parquet(path)
+    counts = Q.layer_counts({"bronze": None, "silver": None} | G.roll_up(pre))
+    counts = counts.unionByName(pre.agg(F.sum("_n").cast("double").alias("n")).select(F.lit("silver").alias("item"), "n"))
+    return Q.checks(counts.unionByName(spark.createDataFrame([("bronze", float(seen.get["n"]))], counts.schema)))
 
 
 # ---------------------------------------------------------------- write path
@@ -187,13 +241,42 @@ def q_bronze_csv_roundtrip(spark, sf):
 def q_bronze_audit(spark, sf):
     landing = landed(spark, sf)
     raw = R.read_landing(spark, landing)
-    b = R.with_bronze_audit(spark, raw, landing, None, source_label="landing")
+    b = R.with_bronze_audit(spark, raw, landing, None)
+    name = F.col("_file_name")
     return b.select(
-        *RAW_COLUMNS, "_source", "ano", "mes",
-        (F.length("_file_hash") == 32).alias("has_file_hash"),
+        *RAW_COLUMNS, "ano", "mes",
+        F.col("_file_hash").startswith("rows:").alias("has_file_hash"),
+        F.col("_source").contains("/landing files/").alias("has_source"),
+        F.col("_source").endswith(F.concat(F.lit("/"), name)).alias("has_file_name"),
     )
 
 
+def q_bronze_mixed_layouts(spark, sf):
+    """Files of odd months have their columns in reverse order and one more column."""
+    path = work_dir(spark) + "/landing"
+    rows = feed(spark, sf)
+    R.write_landing(rows.filter(~odd_month()), path)
+    lot = F.concat(F.lit("lote "), "MES_COMPETENCIA").alias("LOTE")
+    R.write_landing(rows.filter(odd_month()).select(lot, *reversed(RAW_COLUMNS)), path, columns=["LOTE", *reversed(RAW_COLUMNS)], mode="append")
+    lay = Layout(root=work_dir(spark), landing_dir=path)
+    return P.ingest_bronze(spark, lay, all_periods(spark, path)).select(*RAW_COLUMNS, "LOTE", "ano", "mes")
+
+
+def q_bronze_schema_evolution(spark, sf):
+    """Months stored before and after the files got another column read together."""
+    path = work_dir(spark) + "/landing"
+    rows = feed(spark, sf)
+    later = F.col("MES_COMPETENCIA").substr(1, 4).cast("int") >= EVOLVED_SINCE
+    R.write_landing(rows.filter(~later), path)
+    R.write_landing(rows.filter(later).withColumn("LOTE", F.col("MES_COMPETENCIA")), path, columns=[*RAW_COLUMNS, "LOTE"], mode="append")
+    lay = Layout(root=work_dir(spark), landing_dir=path)
+    periods = all_periods(spark, path)
+    for part in ([p for p in periods if p[0] < EVOLVED_SINCE], [p for p in periods if p[0] >= EVOLVED_SINCE]):
+        if part:
+            P.ingest_bronze(spark, lay, part)
+    return read_table(spark, lay.bronze).select(*RAW_COLUMNS, "LOTE", "ano", "mes")
+
+
 def _bronze_all(spark, sf) -> tuple[Layout, list]:
     lay = fresh_layout(spark, sf)
     periods = all_periods(spark, lay.landing)
@@ -212,26 +295,60 @@ def q_scan_year(spark, sf):
     return P.scan_year(spark, lay.silver, SCAN_YEAR).select(*SILVER_OUT, "_silver_version")
 
 
+FIRST_RUN = _dt.datetime(2024, 1, 1)
+
+
+def _rerun(spark, sf, periods, overwrite: bool) -> DataFrame:
+    """All months, then a second run from the landing that holds the marked months."""
+    lay = fresh_layout(spark, sf)
+    P.ingest_bronze(spark, lay, all_periods(spark, lay.landing), run_ts=FIRST_RUN)
+    again = replace(lay, landing_dir=landed_again(spark, sf))
+    P.ingest_bronze(spark, again, periods or all_periods(spark, lay.landing), overwrite=overwrite)
+    first = F.col("_ingested_at") == F.lit(FIRST_RUN.isoformat())
+    return spark.read.parquet(lay.bronze).select(*RAW_COLUMNS, "ano", "mes", first.alias("first_run"))
+
+
 def q_bronze_partition_replace(spark, sf):
-    lay, _ = _bronze_all(spark, sf)
-    P.ingest_bronze(spark, lay, REPLACED_PERIODS, overwrite=True)
-    return spark.read.parquet(lay.bronze).select(*RAW_COLUMNS, "ano", "mes")
+    """The months delivered again hold the new rows, the others the old ones."""
+    return _rerun(spark, sf, REPLACED_PERIODS, overwrite=True)
 
 
 def q_bronze_idempotent(spark, sf):
-    lay, periods = _bronze_all(spark, sf)
-    P.ingest_bronze(spark, lay, periods, overwrite=False)  # every month exists: skipped
-    return spark.read.parquet(lay.bronze).select(*RAW_COLUMNS, "ano", "mes")
+    """Months that exist are skipped although their files have changed."""
+    return _rerun(spark, sf, REPLACED_PERIODS, overwrite=False)
+
+
+def q_bronze_partial_landing(spark, sf):
+    """All months are asked for again while only two are in the landing: the rest stay."""
+    return _rerun(spark, sf, None, overwrite=True)
 
 
 def q_silver_partition_replace(spark, sf):
+    """Bronze has two months delivered again; Silver is told to replace the first of
+    them and to add what is missing, which is nothing."""
     lay, periods = _bronze_all(spark, sf)
     P.transform_silver(spark, lay, periods, overwrite=True)
-    P.transform_silver(spark, lay, REPLACED_PERIODS, overwrite=True)
+    P.ingest_bronze(spark, replace(lay, landing_dir=landed_again(spark, sf)), REPLACED_PERIODS, overwrite=True)
+    P.transform_silver(spark, lay, REPLACED_PERIODS[:1], overwrite=True)
     P.transform_silver(spark, lay, periods, overwrite=False)  # all present: skipped
     return spark.read.parquet(lay.silver).select(*SILVER_OUT)
 
 
+def q_gold_mixed_scopes(spark, sf):
+    """Months reach Gold by a batch run, by a Silver-only run and by a streaming run."""
+    from ledgerline.streaming.landing import run_available
+
+    lay = fresh_layout(spark, sf)
+    periods = all_periods(spark, lay.landing)
+    P.run(spark, lay, periods[::3])
+    P.run(spark, lay, periods[1::3], layers=("bronze", "silver"))
+    rest = work_dir(spark) + "/landing"
+    months = [str(y * 100 + m) for y, m in periods[2::3]]
+    R.write_landing(feed(spark, sf).filter(F.col("MES_COMPETENCIA").isin(months)), rest)
+    run_available(spark, replace(lay, landing_dir=rest), checkpoint=work_dir(spark) + "/stream")
+    return spark.read.parquet(lay.gold("serie_temporal_brasil"))
+
+
 def q_silver_funnel_observed(spark, sf):
     """The funnel counts the Silver job collects on its own write
     (Observation metrics, no extra pass), as a one-row frame."""
@@ -245,7 +362,7 @@ def q_gold_table_roundtrip(spark, sf):
     lay, periods = _bronze_all(spark, sf)
     P.transform_silver(spark, lay, periods, overwrite=True)
     years = sorted({y for y, _ in periods})
-    P.build_gold(spark, lay, years)
+    P.build_gold(spark, lay, years)  # the years of the periods
     return spark.read.parquet(lay.gold("top_municipios_beneficios"))
 
 
@@ -262,7 +379,7 @@ def q_streaming_incremental(spark, sf):
     from ledgerline.streaming.landing import run_available
 
     lay = fresh_layout(spark, sf)
-    run_available(spark, lay, checkpoint=work_dir(spark, "stream-ckpt"), max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    run_available(spark, lay, checkpoint=work_dir(spark) + "/stream", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     return spark.read.parquet(lay.gold("serie_temporal_brasil"))
 
 
@@ -271,8 +388,9 @@ def q_report_sql_q4(spark, sf):
     lay, periods = _bronze_all(spark, sf)
     P.transform_silver(spark, lay, periods, overwrite=True)
     P.build_gold(spark, lay, sorted({y for y, _ in periods}))
-    P.register_gold(spark, lay)
-    return spark.sql(RP.SQL["report_q4"])
+    database = f"gold_{uuid.uuid4().hex[:8]}"
+    P.register_gold(spark, lay, database)
+    return spark.sql(RP.sql_text("report_q4", database))
 
 
 def queries() -> dict[str, Query]:
@@ -301,6 +419,11 @@ def queries() -> dict[str, Query]:
             "dq_report": q_dq_report,
             "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
             "bronze_audit": q_bronze_audit,
+            "bronze_mixed_layouts": q_bronze_mixed_layouts,
+            "bronze_schema_evolution": q_bronze_schema_evolution,
+            "bronze_partial_landing": q_bronze_partial_landing,
+            "gold_exact_sums": q_gold_exact_sums,
+            "gold_mixed_scopes": q_gold_mixed_scopes,
             "scan_period": q_scan_period,
             "scan_year": q_scan_year,
             "bronze_partition_replace": q_bronze_partition_replace,

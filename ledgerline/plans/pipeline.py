@@ -1,9 +1,10 @@
 """Layer jobs: landing files -> Bronze -> Silver -> Gold, for a set of months.
 
 One session runs any number of months in one job per layer (the months are
-a predicate, not a loop of jobs), and Gold is rebuilt once per year after the
-months are in. Every write replaces whole months, so re-running a month (or
-a retried task) never duplicates rows.
+a predicate, not a loop of jobs), and Gold is rolled up once, over every month
+Silver holds, after the months are in. Every write replaces whole months, so
+re-running a month (or a retried task) never duplicates rows. A requested month
+without input is reported (``not_landed``) and leaves what is stored alone.
 """
 
 from __future__ import annotations
@@ -15,16 +16,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.operators import gold as G
 from ledgerline.operators import silver as S
-from ledgerline.schemas import GOLD_TABLES
-from ledgerline.settings import Layout, work_dir
+from ledgerline.schemas import BRONZE_SCHEMA, GOLD_TABLES, SILVER_SCHEMA
+from ledgerline.settings import Layout
 from ledgerline.sinks.tables import (
-    delete_path,
     existing_periods,
     read_periods,
     read_table,
+    stored_periods,
     write_jdbc,
     write_partitioned,
     write_table,
@@ -38,29 +40,21 @@ def _utc_now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def _period_cond(periods: list[Period]):
-    keys = sorted({y * 100 + m for y, m in periods})
-    return (F.col("ano") * 100 + F.col("mes")).isin(keys)
-
-
-def scan_periods(spark: SparkSession, path: str, periods: list[Period], fmt: str = "parquet") -> DataFrame:
-    """Layer rows of the given months, listing only their partition folders.
-
-    When none of them exists yet, an empty frame with the stored schema (or
-    an error if the table itself does not exist).
-    """
+def scan_periods(
+    spark: SparkSession, path: str, periods: list[Period], fmt: str = "parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """Layer rows of the given months, listing only their partition folders;
+    an empty frame with the layer's declared schema when none of them exists."""
     df = read_periods(spark, path, periods, fmt)
     if df is None:
-        return spark.read.format(fmt).load(path).filter(_period_cond(periods))
+        return spark.createDataFrame([], schema or (SILVER_SCHEMA if "/silver/" in path else BRONZE_SCHEMA))
     return df
 
 
 def scan_year(spark: SparkSession, path: str, year: int, month: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """Layer rows of one year, or of one month of it."""
-    df = spark.read.format(fmt).load(path).filter(F.col("ano") == year)
-    if month is not None:
-        df = df.filter(F.col("mes") == month)
-    return df
+    """Layer rows of one year, or of one month of it (only the folders of that year are listed)."""
+    periods = [(year, m) for m in ([month] if month is not None else range(1, 13))]
+    return scan_periods(spark, path, periods, fmt)
 
 
 # ---------------------------------------------------------------- Bronze
@@ -74,27 +68,31 @@ def ingest_bronze(
     overwrite: bool = False,
     run_ts: _dt.datetime | None = None,
     source_label: str | None = None,
-    file_hash: str | bool | None = "md5",
+    file_hash: str | bool | None = "rows",
     multi_line: bool = False,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Land the requested months into Bronze and return their Bronze rows.
 
     Months already in Bronze are skipped unless ``overwrite``; the others are
     read from ``layout.landing`` and written with dynamic partition overwrite.
+    Months that nothing landed for keep what Bronze holds; when that is
+    nothing for every requested month, it is an error.
     """
     periods = sorted(set(periods))
-    todo = periods
-    if not overwrite:
-        done = existing_periods(spark, layout.bronze, periods, layout.fmt)
-        todo = [p for p in periods if p not in done]
+    done = existing_periods(spark, layout.bronze, periods, layout.fmt)
+    todo = periods if overwrite else [p for p in periods if p not in done]
+    todo, absent = R.split_landed(spark, layout.landing, todo)
+    if not todo and not done:
+        raise ValueError(f"nothing landed for {absent} under {layout.landing}")
     if todo:
         raw = R.read_landing(spark, layout.landing, todo, multi_line=multi_line)
         bronze = R.with_bronze_audit(
             spark, raw, layout.landing, todo, run_ts=run_ts or _utc_now(),
             source_label=source_label, file_hash=file_hash,
         )
-        write_partitioned(bronze, layout.bronze, fmt=layout.fmt, periods=todo)
-    return scan_periods(spark, layout.bronze, periods, layout.fmt)
+        write_partitioned(bronze, layout.bronze, fmt=layout.fmt, periods=todo, rebalance=rebalance)
+    return scan_periods(spark, layout.bronze, periods, layout.fmt, BRONZE_SCHEMA)
 
 
 # ---------------------------------------------------------------- Silver
@@ -108,7 +106,8 @@ class SilverMetrics:
     nulls: int = 0
     duplicates: int = 0
     kept: int = 0
-    skipped_periods: list = field(default_factory=list)
+    skipped_periods: list = field(default_factory=list)  # already in Silver
+    absent_periods: list = field(default_factory=list)  # not in Bronze: Silver left alone
 
     def as_dict(self) -> dict:
         return dict(self.__dict__)
@@ -151,31 +150,36 @@ def transform_silver(
     *,
     overwrite: bool = False,
     run_ts: _dt.datetime | None = None,
-    rebalance: bool = False,
+    rebalance: bool | None = None,
 ) -> tuple[DataFrame, SilverMetrics]:
     """Clean the requested Bronze months into Silver (one write job).
 
-    ``rebalance`` sizes the output files by month for large backfills (one
-    more shuffle; see ``sinks.tables.write_partitioned``).
+    ``rebalance`` sizes the output files by month (one more shuffle; see
+    ``sinks.tables.write_partitioned``); the default does so when several
+    months are written. Requested months that Bronze does not hold are
+    reported and keep what Silver holds.
 
     Returns the Silver rows of those months and the funnel counts, which are
     collected by the write itself (no extra counting jobs).
     """
     periods = sorted(set(periods))
+    skipped: list[Period] = []
     todo = periods
-    metrics = SilverMetrics()
     if not overwrite:
         done = existing_periods(spark, layout.silver, periods, layout.fmt)
-        todo = [p for p in periods if p not in done]
-        metrics.skipped_periods = sorted(done)
+        skipped, todo = sorted(done), [p for p in periods if p not in done]
+    there = existing_periods(spark, layout.bronze, todo, layout.fmt)
+    absent, todo = [p for p in todo if p not in there], sorted(there)
+    metrics = SilverMetrics()
     if todo:
-        bronze = scan_periods(spark, layout.bronze, todo, layout.fmt)
+        bronze = scan_periods(spark, layout.bronze, todo, layout.fmt, BRONZE_SCHEMA)
         silver, obs = silver_plan(bronze, todo, run_ts or _utc_now())
-        write_partitioned(silver, layout.silver, fmt=layout.fmt, periods=todo, rebalance=rebalance)
-        skipped = metrics.skipped_periods
+        # many months: size the files by month instead of one per task and month
+        several = rebalance if rebalance is not None else len(todo) > 1
+        write_partitioned(silver, layout.silver, fmt=layout.fmt, periods=todo, rebalance=several)
         metrics = _metrics(obs)
-        metrics.skipped_periods = skipped
-    return scan_periods(spark, layout.silver, periods, layout.fmt), metrics
+    metrics.skipped_periods, metrics.absent_periods = skipped, absent
+    return scan_periods(spark, layout.silver, periods, layout.fmt, SILVER_SCHEMA), metrics
 
 
 # ---------------------------------------------------------------- Gold
@@ -184,94 +188,74 @@ def transform_silver(
 def build_gold(
     spark: SparkSession,
     layout: Layout,
-    year: int | list[int],
+    year: int | list[int] | None = None,
     month: int | None = None,
     *,
     write: bool = True,
     jdbc: dict | None = None,
 ) -> dict[str, DataFrame]:
-    """Rebuild the three Gold tables from Silver for ``year`` (or one month).
+    """Refresh the months of ``year`` (or one month; all for None) from Silver
+    and write the three Gold tables, which always cover every month of Silver.
 
     ``jdbc`` (``url``, ``user``, ``password``, optional ``schema`` (default
     ``gold``), ``driver``, ``best_effort``) also copies each written table, in
     the typed SQL contract, to ``<schema>.<table>`` after its table write.
 
-    A list of years builds them in one pass (rankings restart per year).
-
-    Silver is read once into the small pre-aggregate, which is written to
-    the shared checkpoint folder so the three tables do not re-scan Silver
-    and a lost executor does not lose it. Returns ``{}`` when Silver
-    has no rows for the period (nothing is written).
+    ``write=False`` returns the tables over just the months asked for and
+    writes nothing.
     """
-    silver = read_table(spark, layout.silver, layout.fmt)
-    if silver is None:
-        return {}
-    years = [year] if isinstance(year, int) else sorted(set(year))
-    silver = silver.filter(F.col("ano").isin(years))
-    if month is not None:
-        silver = silver.filter(F.col("mes") == month)
-    # The small pre-aggregate is written once to the shared checkpoint folder
-    # and read back: Silver is scanned once, the three tables share it, and
-    # the lineage ends there (a lost executor does not re-scan Silver).
-    # (A reliable DataFrame.checkpoint() would compute it twice.)
-    pre_path = work_dir(spark, f"gold-pre-{uuid.uuid4().hex[:12]}")
-    G.pre_aggregate(silver).write.mode("overwrite").parquet(pre_path)
-    pre = spark.read.parquet(pre_path)
-    if pre.isEmpty():
-        delete_path(spark, pre_path)
-        return {}
-    tables = {
-        "transferencias_por_uf_mes": G.agg_por_uf_mes(pre),
-        "top_municipios_beneficios": G.agg_top_municipios(pre),
-        "serie_temporal_brasil": G.agg_serie_temporal(pre),
-    }
+    stored = stored_periods(spark, layout.silver)
+    years = None if year is None else {year} if isinstance(year, int) else set(year)
+    periods = sorted(p for p in stored if (years is None or p[0] in years) and (month is None or p[1] == month))
     if not write:
-        return tables  # still backed by the scratch pre-aggregate
-    out = {}
-    try:
-        for name, df in tables.items():
-            write_table(df, layout.gold(name), fmt=layout.fmt)
-            out[name] = spark.read.format(layout.fmt).load(layout.gold(name))
-            if jdbc:
-                opts = dict(jdbc)
-                schema = opts.pop("schema", "gold")
-                write_jdbc(G.typed_contract(out[name], name), table=f"{schema}.{name}", **opts)
-    finally:
-        delete_path(spark, pre_path)  # the written Gold tables no longer need it
-    return out
+        return G.gold_tables(scan_periods(spark, layout.silver, periods, layout.fmt, SILVER_SCHEMA))
+    refresh_gold_pre(spark, layout, periods)
+    return write_gold(spark, layout, jdbc=jdbc)
 
 
 def refresh_gold_pre(spark: SparkSession, layout: Layout, periods: list[Period]) -> None:
-    """Replace the requested months of the month-partitioned pre-aggregate
-    from Silver (months without Silver rows are emptied). Only those months
-    of Silver are read."""
-    periods = sorted(set(periods))
-    silver = scan_periods(spark, layout.silver, periods, layout.fmt)
-    write_partitioned(G.pre_aggregate(silver), layout.gold_pre, fmt=layout.fmt, periods=periods)
+    """Bring the month-partitioned pre-aggregate up to date with Silver.
+
+    Rebuilds the requested months and any month that Silver holds and the
+    pre-aggregate does not; months that are gone from Silver are emptied.
+    Only those months of Silver are read; which ones is decided from folder names.
+    """
+    silver, pre = stored_periods(spark, layout.silver), stored_periods(spark, layout.gold_pre)
+    todo = sorted((set(periods) & (silver | pre)) | (silver ^ pre))
+    if todo:
+        rows = scan_periods(spark, layout.silver, todo, layout.fmt, SILVER_SCHEMA)
+        write_partitioned(G.pre_aggregate(rows), layout.gold_pre, fmt=layout.fmt, periods=todo)
 
 
-def build_gold_all(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """Rebuild the Gold tables over every month in the pre-aggregate.
+def write_gold(spark: SparkSession, layout: Layout, *, jdbc: dict | None = None) -> dict[str, DataFrame]:
+    """Roll the pre-aggregate up into the Gold tables, over every month in it.
 
     The pre-aggregate is bounded by months x municipalities, so this is cheap
-    however much Silver holds; with ``refresh_gold_pre`` it keeps Gold whole
-    (all years, series change across year boundaries) while each run reads
-    only its own months of Silver.
+    however much Silver holds. Without any month the tables are written empty.
     """
-    pre = read_table(spark, layout.gold_pre, layout.fmt)
-    if pre is None or pre.isEmpty():
-        return {}
+    pre = scan_periods(
+        spark, layout.gold_pre, sorted(stored_periods(spark, layout.gold_pre)), layout.fmt, G.PRE_SCHEMA
+    )
     out = {}
-    for name, df in {
-        "transferencias_por_uf_mes": G.agg_por_uf_mes(pre),
-        "top_municipios_beneficios": G.agg_top_municipios(pre),
-        "serie_temporal_brasil": G.agg_serie_temporal(pre),
-    }.items():
+    for name, df in G.roll_up(pre).items():
         write_table(df, layout.gold(name), fmt=layout.fmt)
         out[name] = spark.read.format(layout.fmt).load(layout.gold(name))
+        if jdbc:
+            copy_gold(out[name], name, jdbc)
     return out
 
 
+def copy_gold(df: DataFrame, name: str, jdbc: dict) -> bool:
+    """Copy one Gold table into a SQL database in its typed contract, which is checked first."""
+    opts = dict(jdbc)
+    schema = opts.pop("schema", "gold")
+    typed = G.typed_contract(df, name)
+    broken = G.contract_violations(typed, name).first().asDict()
+    if any(broken.values()):
+        raise ValueError(f"{name} breaks its SQL contract: {broken}")
+    return write_jdbc(typed, table=f"{schema}.{name}", **opts)
+
+
 def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {t: spark.read.format(layout.fmt).load(layout.gold(t)) for t in GOLD_TABLES}
 
@@ -302,18 +286,22 @@ def run(
     *,
     overwrite: bool = True,
     raise_on_error: bool = True,
-    gold_scope: str = "years",
+    file_hash: str | bool | None = "rows",
+    multi_line: bool = False,
+    source_label: str | None = None,
+    rebalance: bool | None = None,
+    jdbc: dict | None = None,
 ) -> dict:
     """Run the chosen layers for a set of months.
 
-    ``gold_scope="years"`` rebuilds Gold from Silver for the years of the
-    months (Gold then holds those years, as a per-year Gold job does);
-    ``"all"`` refreshes the month-partitioned pre-aggregate for the months
-    and re-rolls Gold over everything in it (incremental runs).
+    Gold refreshes the months (and any that Silver holds beyond what Gold has
+    seen) and covers every month of Silver afterwards, whatever mix of batch
+    and streaming runs came before.
 
-    Statuses are recorded per layer; the first failure stops the run, the
-    result dict is completed, and then the error is raised (or returned when
-    ``raise_on_error`` is False).
+    Statuses are recorded per layer, with the requested months that had no
+    input (``not_landed``, ``not_in_bronze``); the first failure stops the run,
+    the result dict is completed, and then the error is raised (or returned
+    when ``raise_on_error`` is False).
     """
     periods = sorted(set(periods))
     run_ts = _utc_now()
@@ -323,20 +311,22 @@ def run(
         t0 = time.time()
         try:
             if layer == "bronze":
-                df = ingest_bronze(spark, layout, periods, overwrite=overwrite, run_ts=run_ts)
-                result["layers"]["bronze"] = {"rows": df.count(), "status": "ok"}
+                df = ingest_bronze(
+                    spark, layout, periods, overwrite=overwrite, run_ts=run_ts, source_label=source_label,
+                    file_hash=file_hash, multi_line=multi_line, rebalance=bool(rebalance),
+                )
+                absent = R.split_landed(spark, layout.landing, periods)[1]
+                result["layers"]["bronze"] = {"rows": df.count(), "not_landed": absent, "status": "ok"}
             elif layer == "silver":
-                df, m = transform_silver(spark, layout, periods, overwrite=overwrite, run_ts=run_ts)
-                result["layers"]["silver"] = {"rows": df.count(), "funnel": m.as_dict(), "status": "ok"}
+                df, m = transform_silver(
+                    spark, layout, periods, overwrite=overwrite, run_ts=run_ts, rebalance=rebalance
+                )
+                result["layers"]["silver"] = {
+                    "rows": df.count(), "funnel": m.as_dict(), "not_in_bronze": m.absent_periods, "status": "ok"
+                }
             elif layer == "gold":
-                if gold_scope == "all":
-                    refresh_gold_pre(spark, layout, periods)
-                    built = build_gold_all(spark, layout)
-                elif gold_scope == "years":
-                    built = build_gold(spark, layout, sorted({y for y, _ in periods}))
-                else:
-                    raise ValueError(f"unknown gold_scope {gold_scope!r}")
-                tables = {k: v.count() for k, v in built.items()}
+                refresh_gold_pre(spark, layout, periods)
+                tables = {k: v.count() for k, v in write_gold(spark, layout, jdbc=jdbc).items()}
                 result["layers"]["gold"] = {"tables": tables, "status": "ok"}
             else:
                 raise ValueError(f"unknown layer {layer!r}")

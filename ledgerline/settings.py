@@ -7,7 +7,9 @@ folder is created only for a local-mode session that has none.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -65,6 +67,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)  # scratch tables of a local session
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 

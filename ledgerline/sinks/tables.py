@@ -16,10 +16,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 PARTITION_COLUMNS = ["ano", "mes"]
-# Up to this many months a read lists only their folders; a larger backfill
-# lists the table once and prunes by partition filter (Spark lists more than
-# this many paths with a distributed job anyway).
-MAX_EXPLICIT_MONTHS = 32
 
 
 def replace_where(periods: list[tuple[int, int]]) -> str:
@@ -43,8 +39,9 @@ def write_partitioned(
 
     ``overwrite`` replaces months (parquet: dynamic partition overwrite;
     delta: ``replaceWhere`` on ``periods``); with ``periods`` given, a
-    requested month for which ``df`` has no rows is emptied as well, so the
-    call means "these months now hold exactly ``df``". ``append`` adds
+    month of them for which ``df`` has no rows is emptied as well, so the
+    call means "these months now hold exactly ``df``": callers pass the months
+    that had input, not the months they were asked for. ``append`` adds
     files. No repartition by default: each task writes its own slice, so a
     large month is written by many tasks in parallel, at the price of one
     file per (task, month). ``rebalance=True`` (for backfills of many
@@ -56,7 +53,11 @@ def write_partitioned(
         # Months actually written, collected by the write itself (at most
         # one value per requested month).
         seen = Observation(f"months_{uuid.uuid4().hex[:12]}")
-        df = df.observe(seen, F.collect_set(F.col("ano") * 100 + F.col("mes")).alias("months"))
+        df = df.observe(
+            seen,
+            F.collect_set(F.col("ano") * 100 + F.col("mes")).alias("months"),
+            F.count(F.lit(1)).alias("rows"),
+        )
     if rebalance:
         df = df.hint("rebalance", *PARTITION_COLUMNS)
     w = df.write.format(fmt).mode(mode).partitionBy(*PARTITION_COLUMNS)
@@ -69,11 +70,21 @@ def write_partitioned(
             w = w.option("partitionOverwriteMode", "dynamic")
     w.save(path)
     if track:
-        written = set(seen.get.get("months") or [])
-        empty = [(y, m) for y, m in sorted(set(periods)) if y * 100 + m not in written]
-        for d in partition_dirs(df.sparkSession, path, empty).values():
-            fs, p = _fs(df.sparkSession, d)
-            fs.delete(p, True)
+        _empty_months(df.sparkSession, path, sorted(set(periods)), seen.get)
+
+
+def _empty_months(spark: SparkSession, path: str, periods: list[tuple[int, int]], seen: dict) -> None:
+    """Remove the stored months of ``periods`` that the write produced no row for.
+
+    Fails closed: without the write's own metrics nothing is removed.
+    """
+    if "months" not in seen or "rows" not in seen or bool(seen["months"]) != bool(seen["rows"]):
+        raise RuntimeError(f"the write to {path} reported no metrics; months without rows were not removed")
+    written = set(seen["months"])
+    empty = [(y, m) for y, m in periods if y * 100 + m not in written]
+    for d in partition_dirs(spark, path, empty).values():
+        fs, p = _fs(spark, d)
+        fs.delete(p, True)
 
 
 def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
@@ -84,10 +95,17 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     w.save(path)
 
 
+def _reader(spark: SparkSession, fmt: str):
+    """Reader that shows every column any stored file has (months written
+    before or after a column appeared read together)."""
+    reader = spark.read.format(fmt)
+    return reader.option("mergeSchema", "true") if fmt in ("parquet", "orc") else reader
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
     """The table at ``path``, or None when nothing was written there yet."""
     try:
-        return spark.read.format(fmt).load(path)
+        return _reader(spark, fmt).load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "is not a Delta table" in str(exc):
             return None
@@ -106,32 +124,42 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def existing_dirs(spark: SparkSession, dirs: list[str]) -> list[str]:
-    """The folders of ``dirs`` that exist (one metadata call each, on the
-    driver; nothing else is listed)."""
-    out = []
-    for d in dirs:
-        fs, p = _fs(spark, d)
-        if fs.exists(p):
-            out.append(d)
+def child_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` (one listing call; empty when absent)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def stored_periods(spark: SparkSession, path: str, years: set[int] | None = None) -> set[tuple[int, int]]:
+    """Months with a folder ``ano=Y/mes=M``: one listing of the table and one per year."""
+    out = set()
+    for year in child_dirs(spark, path):
+        key, _, y = year.partition("=")
+        if key != "ano" or not y.isdigit() or (years is not None and int(y) not in years):
+            continue
+        for month in child_dirs(spark, f"{path.rstrip('/')}/{year}"):
+            key, _, m = month.partition("=")
+            if key == "mes" and m.isdigit():
+                out.add((int(y), int(m)))
     return out
 
 
 def partition_dirs(spark: SparkSession, path: str, periods: list[tuple[int, int]]) -> dict[tuple[int, int], str]:
     """Folders ``<path>/ano=Y/mes=M`` of the requested months that exist.
 
-    Nothing else of the table is listed, so the cost of a run does not grow
-    with the months already stored.
+    Only the folders of the requested years are listed, so the cost of a run
+    does not grow with the years already stored.
     """
-    want = {(y, m): f"{path.rstrip('/')}/ano={y}/mes={m}" for y, m in sorted(set(periods))}
-    found = set(existing_dirs(spark, list(want.values())))
-    return {k: d for k, d in want.items() if d in found}
+    found = stored_periods(spark, path, {y for y, _ in periods}) if periods else set()
+    return {(y, m): f"{path.rstrip('/')}/ano={y}/mes={m}" for y, m in sorted(set(periods) & found)}
 
 
 def read_periods(
     spark: SparkSession, path: str, periods: list[tuple[int, int]], fmt: str = "parquet"
 ) -> DataFrame | None:
-    """Rows of the requested months, listing only their folders.
+    """Rows of the requested months, listing only their folders (any number of months).
 
     File formats read the month folders directly (``basePath`` keeps ``ano``
     and ``mes`` as columns); delta reads the table and prunes by its log.
@@ -139,13 +167,13 @@ def read_periods(
     """
     keys = sorted({y * 100 + m for y, m in periods})
     cond = (F.col("ano") * 100 + F.col("mes")).isin(keys)
-    if fmt == "delta" or len(set(periods)) > MAX_EXPLICIT_MONTHS:
+    if fmt == "delta":
         df = read_table(spark, path, fmt)
         return None if df is None else df.filter(cond)
     dirs = partition_dirs(spark, path, periods)
     if not dirs:
         return None
-    return spark.read.format(fmt).option("basePath", path).load(list(dirs.values())).filter(cond)
+    return _reader(spark, fmt).option("basePath", path).load(list(dirs.values())).filter(cond)
 
 
 def existing_periods(
@@ -153,9 +181,9 @@ def existing_periods(
 ) -> set[tuple[int, int]]:
     """Which of ``periods`` already have rows at ``path``.
 
-    File formats: a month exists when its folder holds a data file (Spark
-    writes no file for an empty partition, and ``write_partitioned`` removes
-    months replaced by nothing) -- a metadata check per month, no job.
+    File formats: a month exists when its folder does (Spark writes no
+    folder for a month without rows, and ``write_partitioned`` removes months
+    replaced by nothing): a metadata check, no job.
     Delta: a read of the months' partition columns (at most one row per
     requested month comes back).
     """
@@ -167,13 +195,7 @@ def existing_periods(
             return set()
         found = df.select(*PARTITION_COLUMNS).distinct().collect()
         return {(r["ano"], r["mes"]) for r in found}
-    out = set()
-    for period, d in partition_dirs(spark, path, periods).items():
-        fs, p = _fs(spark, d)
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        if any(not n.startswith(("_", ".")) for n in names):
-            out.add(period)
-    return out
+    return set(partition_dirs(spark, path, periods))
 
 
 def write_jdbc(

@@ -15,11 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# UF assigned to nation keys 0..24, in this order.
-FEED_UFS = [
-    "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG",
-    "PA", "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP",
-]
+from ledgerline.schemas import VALID_UFS
+
+# UF assigned to nation keys 0..24.
+FEED_UFS = VALID_UFS[:25]
 # Order-key moduli that choose which rows carry a planted defect.
 BAD_UF_EVERY = 83
 NULL_NIS_EVERY = 97
@@ -41,7 +40,7 @@ def payments_feed(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -
     """All-string raw rows (``RAW_COLUMNS``), one per order.
 
     Joins: ``nation`` is broadcast (25 rows by definition); ``orders ⋈
-    customer`` is a shuffled hash join on the customer key.
+    customer`` is an equality join on the customer key.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
@@ -50,12 +49,9 @@ def payments_feed(spark: SparkSession, sf_dir: str, with_row_id: bool = False) -
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
     cust = customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "inner")
-    # customer grows with the data (no size bound), so this is a shuffle
-    # join at every scale: hash table on the customer side (unique keys, no
-    # build-side skew; a hot o_custkey only lengthens the probe side, which
-    # AQE can split). The per-row payment projection then runs in the
-    # parallel join tasks rather than in one broadcast build or scan task.
-    rows = orders.join(cust.hint("shuffle_hash"), orders.o_custkey == cust.c_custkey, "inner")
+    # customer grows with the data, so no hint: a sort-merge join spills, and AQE
+    # converts it where the measured sides allow.
+    rows = orders.join(cust, orders.o_custkey == cust.c_custkey, "inner")
 
     k = F.col("o_orderkey")
     uf_code = F.element_at(F.array(*[F.lit(u) for u in FEED_UFS]), F.col("n_nationkey") + 1)

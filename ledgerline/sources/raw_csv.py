@@ -7,24 +7,31 @@ inference (every column a string). The folder name carries the period, so
 ``ano``/``mes`` of a Bronze row are the period it was delivered for (as in a
 per-month download), and asking for some months prunes the file listing.
 
-Header names are canonicalised (strip + upper) and bound by name; all files
-of one read must share the first file's column order. Extra columns are kept.
+Every landed file is bound by its own header: the first line of each file
+is read, its names are canonicalised (strip + upper), and files that share a
+layout are read together; layouts are then united by name. A file that lacks a
+required column is refused by name. Extra columns are kept (NULL in files
+without them).
 """
 
 from __future__ import annotations
 
+import csv
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import canonical_header
 from ledgerline.schemas import RAW_COLUMNS
 
 PERIOD_DIR = "competencia"
-# Files per read up to which the per-file hash table is broadcast; above it
-# the hash join shuffles (the table is one short row per file).
-MAX_BROADCAST_FILES = 50_000  # about 10 MB of (path, digest) rows
+FILE_PATH = "__file_path"  # path of the file a raw row came from
+# Headers are read this many files at a time (one small read per file; a month
+# is delivered as one or a few files).
+HEADER_READERS = 16
 
 
 def csv_options(encoding: str = "ISO-8859-1", multi_line: bool = False) -> dict[str, str]:
@@ -57,15 +64,56 @@ def writer_options(encoding: str = "ISO-8859-1") -> dict[str, str]:
     }
 
 
-def check_header(columns: list[str], required: list[str] | None = None) -> list[str]:
-    """Canonical names of ``columns``; ``ValueError`` naming missing ones."""
+def check_header(columns: list[str], required: list[str] | None = None, file: str = "raw file") -> list[str]:
+    """Canonical names of ``columns``; ``ValueError`` naming the file and what is missing or doubled."""
     canon = [canonical_header(c) for c in columns]
     missing = [c for c in (required or RAW_COLUMNS) if c not in canon]
     if missing:
-        raise ValueError(f"raw file lacks expected columns: {missing}")
+        raise ValueError(f"{file} lacks expected columns: {missing}")
+    if len(set(canon)) < len(canon):
+        raise ValueError(f"{file} has a column twice: {canon}")
     return canon
 
 
+def data_files(spark: SparkSession, dirs: list[str]) -> list[str]:
+    """Data files directly in ``dirs`` (Spark skips ``_`` and ``.`` files, and so does this)."""
+    from ledgerline.sinks.tables import _fs
+
+    out = []
+    for d in dirs:
+        fs, p = _fs(spark, d)
+        for st in fs.listStatus(p):
+            if st.isFile() and st.getLen() > 0 and not st.getPath().getName().startswith(("_", ".")):
+                out.append(st.getPath().toString())
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    from ledgerline.sinks.tables import _fs
+
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def layouts(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[tuple[str, ...], list[str]]:
+    """Files by their header's canonical column names in file order."""
+    def header(path: str) -> tuple[str, ...]:
+        line = first_line(spark, path, encoding).lstrip("\ufeff")
+        row = next(csv.reader([line], delimiter=";", quotechar='"'), [])
+        return tuple(check_header(row, file=path))
+
+    out: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        for path, names in zip(files, pool.map(header, files)):
+            out.setdefault(names, []).append(path)
+    return out
+
+
 def period_filter(periods: list[tuple[int, int]] | None):
     if not periods:
         return None
@@ -80,50 +128,65 @@ def read_raw(
     multi_line: bool = False,
     base: str | None = None,
 ) -> DataFrame:
-    """All-string rows of every file under ``path`` with canonical names.
+    """All-string rows of the files in the folders ``path`` with canonical names.
 
-    Partition folders (``competencia=...``) come back as trailing columns
-    (``base`` is the folder they are relative to when ``path`` lists some).
+    The month folder (``competencia=...``) below ``base`` comes back as the last
+    column, from the file's path. Columns: the contract's, then any extra ones
+    by name.
     """
-    reader = spark.read.options(**csv_options(encoding, multi_line))
-    if base is not None:
-        reader = reader.option("basePath", base)
-    df = reader.csv(path)
-    part_cols = [c for c in df.columns if c == PERIOD_DIR]
-    data_cols = [c for c in df.columns if c not in part_cols]
-    canon = check_header(data_cols)
-    return df.toDF(*canon, *part_cols)
+    dirs = [path] if isinstance(path, str) else path
+    by_layout = layouts(spark, data_files(spark, dirs), encoding)
+    extra = sorted({c for names in by_layout for c in names} - set(RAW_COLUMNS))
+    names = [*RAW_COLUMNS, *extra]
+    month = T.StructField(PERIOD_DIR, T.IntegerType())
+    out = None
+    for layout, files in sorted(by_layout.items()):
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in layout])
+        reader = spark.read.options(**csv_options(encoding, multi_line))
+        if base is not None:
+            reader, schema = reader.option("basePath", base), schema.add(month)
+        # one layout: the folders name its files
+        part = reader.schema(schema).csv(dirs if len(by_layout) == 1 else files)
+        columns = [F.col(c) if c in layout else F.lit(None).cast("string").alias(c) for c in names]
+        tail = [F.col(PERIOD_DIR)] if base is not None else []
+        # _metadata does not outlive a union: what the audit needs goes along
+        part = part.select(*columns, *tail, F.col("_metadata.file_path").alias(FILE_PATH))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        fields = [T.StructField(c, T.StringType()) for c in RAW_COLUMNS] + ([month] if base is not None else [])
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField(FILE_PATH, T.StringType())]))
+    return out
 
 
 def landed_periods(spark: SparkSession, landing: str) -> list[tuple[int, int]]:
     """Months present in the landing area, from its folder names (one
     listing of the landing root; no file is read)."""
-    from ledgerline.sinks.tables import _fs
+    from ledgerline.sinks.tables import child_dirs
 
-    fs, root = _fs(spark, landing)
     out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
+    for name in child_dirs(spark, landing):
         key, _, value = name.partition("=")
-        if st.isDirectory() and key == PERIOD_DIR and value.isdigit() and len(value) == 6:
+        if key == PERIOD_DIR and value.isdigit() and len(value) == 6:
             out.append((int(value) // 100, int(value) % 100))
     return sorted(out)
 
 
-def month_dirs(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> list[str] | None:
-    """Existing ``competencia=YYYYMM`` folders of the requested months, so
-    only these are listed; None (read the whole landing folder, pruned by the
-    period filter) for all months or a large backfill."""
-    from ledgerline.sinks.tables import MAX_EXPLICIT_MONTHS, existing_dirs
+def split_landed(
+    spark: SparkSession, landing: str, periods: list[tuple[int, int]]
+) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+    """The requested months that have a landing folder, and those that have none."""
+    there = set(landed_periods(spark, landing))
+    wanted = sorted(set(periods))
+    return [p for p in wanted if p in there], [p for p in wanted if p not in there]
 
-    if not periods or len(set(periods)) > MAX_EXPLICIT_MONTHS:
-        return None  # whole folder, pruned by the period filter
 
-    wanted = [f"{landing.rstrip('/')}/{PERIOD_DIR}={y * 100 + m}" for y, m in sorted(set(periods))]
-    found = existing_dirs(spark, wanted)
-    if not found:
-        raise ValueError(f"nothing landed for {sorted(set(periods))} under {landing}")
-    return found
+def month_dirs(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> list[str]:
+    """``competencia=YYYYMM`` folders of the requested months (all landed ones for
+    None); ``ValueError`` naming the months that have none."""
+    found, absent = split_landed(spark, landing, periods) if periods else (landed_periods(spark, landing), [])
+    if absent:
+        raise ValueError(f"nothing landed for {absent} under {landing}")
+    return [f"{landing.rstrip('/')}/{PERIOD_DIR}={y * 100 + m}" for y, m in found]
 
 
 def read_landing(
@@ -135,13 +198,11 @@ def read_landing(
     multi_line: bool = False,
 ) -> DataFrame:
     """Raw rows of the requested months (all months when ``periods`` is None),
-    with the file's period as ``ano``/``mes`` and ``_metadata`` available."""
+    with the file's period and path as the last two columns."""
     dirs = month_dirs(spark, landing, periods)
-    df = read_raw(spark, landing if dirs is None else dirs, encoding=encoding, multi_line=multi_line, base=landing)
+    df = read_raw(spark, dirs, encoding=encoding, multi_line=multi_line, base=landing)
     cond = period_filter(periods)
-    if cond is not None:
-        df = df.filter(cond)
-    return df
+    return df if cond is None else df.filter(cond)
 
 
 def file_hashes(spark: SparkSession, landing: str, periods: list[tuple[int, int]] | None) -> DataFrame:
@@ -149,14 +210,10 @@ def file_hashes(spark: SparkSession, landing: str, periods: list[tuple[int, int]
 
     Same file set as the CSV reader (Spark skips ``_``/``.`` files). Each
     file is read whole into one row, so this suits monthly files below 2 GB;
-    use ``file_hash="rows"`` in ``with_bronze_audit`` for larger ones.
+    the default ``file_hash="rows"`` of ``with_bronze_audit`` has no such bound.
     """
-    dirs = month_dirs(spark, landing, periods)
-    files = spark.read.format("binaryFile").option("basePath", landing).load(landing if dirs is None else dirs)
-    cond = period_filter(periods)
-    if cond is not None:
-        files = files.filter(cond)
-    return files.select(F.col("path").alias("_hash_path"), F.md5("content").alias("_file_hash"))
+    files = spark.read.format("binaryFile").option("basePath", landing).load(month_dirs(spark, landing, periods))
+    return files.select(F.col("_metadata.file_path").alias("_hash_path"), F.md5("content").alias("_file_hash"))
 
 
 def row_fingerprints(raw: DataFrame) -> DataFrame:
@@ -167,10 +224,10 @@ def row_fingerprints(raw: DataFrame) -> DataFrame:
     split boundaries, so a very large file is hashed by many tasks with a
     map-side partial sum. It identifies content, but it is not an MD5.
     """
-    cols = [c for c in raw.columns if c != PERIOD_DIR]
+    cols = [c for c in raw.columns if c not in (PERIOD_DIR, FILE_PATH)]
     h = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in cols], F.lit(len(cols)))
     return (
-        raw.select(F.col("_metadata.file_path").alias("_hash_path"), h.alias("_h"))
+        raw.select(F.col(FILE_PATH).alias("_hash_path"), h.alias("_h"))
         .groupBy("_hash_path")
         .agg(F.sum(F.col("_h").cast("decimal(20,0)")).alias("_s"), F.count(F.lit(1)).alias("_n"))
         .select(
@@ -182,6 +239,11 @@ def row_fingerprints(raw: DataFrame) -> DataFrame:
     )
 
 
+def decoded(path: F.Column) -> F.Column:
+    """A file path or name as it was given: Spark reports them URL-encoded (a plus sign is not)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
 def with_bronze_audit(
     spark: SparkSession,
     raw: DataFrame,
@@ -190,55 +252,59 @@ def with_bronze_audit(
     *,
     run_ts: _dt.datetime | None = None,
     source_label: str | None = None,
-    file_hash: str | bool | None = "md5",
+    file_hash: str | bool | None = "rows",
 ) -> DataFrame:
     """Add ``_source``, ``_file_name``, ``_ingested_at``, ``_file_hash``,
     ``ano``, ``mes``; drop the folder column.
 
-    ``file_hash``: ``"md5"`` (MD5 of the original bytes; each file is read
-    whole by one task, so files must stay below 2 GB), ``"rows"`` (parallel
-    row fingerprint, any file size, see ``row_fingerprints``) or None.
+    ``file_hash``: ``"rows"`` (parallel row fingerprint, any file size, see
+    ``row_fingerprints``), ``"md5"`` (MD5 of the original bytes; each file is
+    read whole by one task, so files must stay below 2 GB) or None.
     """
     mode = "md5" if file_hash is True else (None if file_hash is False else file_hash)
     ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    path = F.col(FILE_PATH)
     df = raw.withColumns(
         {
-            "_source": F.lit(source_label) if source_label else F.col("_metadata.file_path"),
-            "_file_name": F.col("_metadata.file_name"),
-            "_hash_key": F.col("_metadata.file_path"),
+            "_source": F.lit(source_label) if source_label else decoded(path),
+            "_file_name": decoded(F.substring_index(path, "/", -1)),
             "_ingested_at": F.lit(ts.isoformat()),
             "ano": F.expr(f"CAST({PERIOD_DIR} AS INT) DIV 100").cast("int"),
             "mes": F.expr(f"CAST({PERIOD_DIR} AS INT) % 100").cast("int"),
         }
     )
     if mode in ("md5", "rows"):
-        listing = file_hashes(spark, landing, periods)
-        hashes = listing if mode == "md5" else row_fingerprints(raw)
-        # Size check from the driver's file index (no job): the files of the
-        # requested months, the rows of the hash table.
-        n_files = len(listing.inputFiles())
-        side = F.broadcast(hashes) if n_files <= MAX_BROADCAST_FILES else hashes
-        df = df.join(side, df["_hash_key"] == side["_hash_path"], "left").drop("_hash_path")
+        # one short row per file; AQE picks the join from its measured size
+        hashes = file_hashes(spark, landing, periods) if mode == "md5" else row_fingerprints(raw)
+        df = df.join(hashes, df[FILE_PATH] == hashes["_hash_path"], "left").drop("_hash_path")
     elif mode is None:
         df = df.withColumn("_file_hash", F.lit(None).cast("string"))
     else:
         raise ValueError(f"unknown file_hash mode {file_hash!r}")
-    extra = [c for c in raw.columns if c not in RAW_COLUMNS and c != PERIOD_DIR]
+    extra = [c for c in raw.columns if c not in RAW_COLUMNS and c not in (PERIOD_DIR, FILE_PATH)]
     return df.select(
         *RAW_COLUMNS, *extra, "_source", "_file_name", "_ingested_at", "_file_hash", "ano", "mes"
     )
 
 
-def write_landing(df: DataFrame, landing: str, encoding: str = "ISO-8859-1") -> None:
-    """Land raw rows as payment files, one folder per ``MES_COMPETENCIA``.
+def write_landing(
+    df: DataFrame,
+    landing: str,
+    encoding: str = "ISO-8859-1",
+    *,
+    columns: list[str] | None = None,
+    mode: str = "overwrite",
+) -> None:
+    """Land raw rows as payment files, one folder per ``MES_COMPETENCIA``, with
+    ``columns`` (the contract's by default) in that order.
 
     Used to stage test feeds. No repartition by month (that would send a
     whole month to one task): each task writes its rows into the month
     folders it holds.
     """
     (
-        df.select(*RAW_COLUMNS, F.col("MES_COMPETENCIA").alias(PERIOD_DIR))
-        .write.mode("overwrite")
+        df.select(*(columns or RAW_COLUMNS), F.col("MES_COMPETENCIA").alias(PERIOD_DIR))
+        .write.mode(mode)
         .options(**writer_options(encoding))
         .partitionBy(PERIOD_DIR)
         .csv(landing)

@@ -13,14 +13,14 @@ from test_sources_sinks import _land
 def _lake(spark, tmp_lake):
     lay = Layout(root=tmp_lake)
     _land(lay.landing, "202301", [
-        "202301;SP;3550308;sao paulo;c;12345678901;maria;218,00",
-        "202301;SP;3550308;SAO PAULO;c;12345678901;MARIA;250,00",
-        "202301;RJ;3304557;RIO;c;98765432100;JOSE;300,50",
-        "202301;XX;9;X;c;1;T;-50,00",
+        "202301;PR;7535;curitiba;c;70000000001;ivo;89,00",
+        "202301;PR;7535;CURITIBA;c;70000000001;IVO;1.089,10",
+        "202301;CE;1389;FORTALEZA;c;70000000002;RUI;45,50",
+        "202301;ZZ;9;X;c;1;T;10,00",
     ])
     _land(lay.landing, "202302", [
-        "202302;SP;3550308;SAO PAULO;c;12345678901;MARIA;260,00",
-        "202302;MG;3106200;BH;c;11122233344;ANA;400,75",
+        "202302;PR;7535;CURITIBA;c;70000000001;IVO;90,00",
+        "202302;SE;3105;ARACAJU;c;70000000003;LIA;0,75",
     ])
     return lay
 
@@ -46,10 +46,33 @@ def test_run_reports_error_then_raises(spark, tmp_lake):
         P.run(spark, lay, [(2023, 1)])
 
 
-def test_build_gold_empty_year(spark, tmp_lake):
+def test_build_gold_covers_every_stored_month(spark, tmp_lake):
     lay = _lake(spark, tmp_lake)
-    P.run(spark, lay, [(2023, 1)], layers=("bronze", "silver"))
-    assert P.build_gold(spark, lay, 1999) == {}
+    P.run(spark, lay, [(2023, 1), (2023, 2)], layers=("bronze", "silver"))
+    # no month of that year: the stored ones are in Gold all the same
+    assert {k: v.count() for k, v in P.build_gold(spark, lay, 1999).items()} == {
+        "transferencias_por_uf_mes": 4, "top_municipios_beneficios": 3, "serie_temporal_brasil": 2}
+    assert P.build_gold(spark, lay, 2023, 1, write=False)["serie_temporal_brasil"].count() == 1
+
+
+def test_only_month_corrected_to_nothing_empties_gold(spark, tmp_lake):
+    lay = Layout(root=tmp_lake)
+    _land(lay.landing, "202301", ["202301;PR;1;A;c;1;N;10,00"])
+    P.run(spark, lay, [(2023, 1)])
+    _land(lay.landing, "202301", ["202301;ZZ;1;A;c;1;N;10,00"])
+    res = P.run(spark, lay, [(2023, 1)])
+    assert res["layers"]["silver"]["rows"] == 0
+    assert res["layers"]["gold"]["tables"] == dict.fromkeys(GOLD_TABLES, 0)
+    assert P.scan_year(spark, lay.silver, 2023).count() == 0
+
+
+def test_batch_runs_one_after_the_other_keep_all_months(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    _land(lay.landing, "202401", ["202401;PR;7535;CURITIBA;c;70000000001;IVO;90,00"])
+    for p in [(2023, 1), (2023, 2), (2024, 1)]:
+        P.run(spark, lay, [p])
+    serie = P.read_gold(spark, lay)["serie_temporal_brasil"].orderBy("ano_mes").collect()
+    assert [(r["ano_mes"], r["variacao_pct"]) for r in serie] == [("2023-01", None), ("2023-02", 0.0), ("2024-01", -50.0)]
 
 
 def test_register_gold_sql(spark, tmp_lake):
@@ -94,6 +117,18 @@ def test_gold_jdbc_copy_best_effort(spark, tmp_lake):
         P.build_gold(spark, lay, 2023, jdbc={"url": "jdbc:postgresql://127.0.0.1:1/none", "user": "u", "password": "p"})
 
 
+def test_copy_checks_the_contract_first(spark, tmp_lake):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)])
+    serie = P.read_gold(spark, lay)["serie_temporal_brasil"]
+    jdbc = {"url": "jdbc:postgresql://127.0.0.1:1/none", "best_effort": True}
+    assert P.copy_gold(serie, "serie_temporal_brasil", jdbc) is False  # no database here
+    with pytest.raises(ValueError, match="unique_violations"):
+        P.copy_gold(serie.unionByName(serie), "serie_temporal_brasil", jdbc)
+    with pytest.raises(ValueError, match="null_violations"):
+        P.copy_gold(serie.withColumn("total_valor_brl", serie["total_valor_brl"] * 1e30), "serie_temporal_brasil", jdbc)
+
+
 def test_rerun_with_no_valid_rows_empties_the_month(spark, tmp_lake):
     lay = _lake(spark, tmp_lake)
     P.run(spark, lay, [(2023, 1), (2023, 2)], layers=("bronze", "silver"))
@@ -119,8 +154,8 @@ def test_silver_rebalanced_backfill_same_rows(spark, tmp_lake):
 
 def test_incremental_gold_matches_full_rebuild(spark, tmp_lake):
     lay = _lake(spark, tmp_lake)
-    P.run(spark, lay, [(2023, 1)], gold_scope="all")
-    P.run(spark, lay, [(2023, 2)], gold_scope="all")
+    P.run(spark, lay, [(2023, 1)])
+    P.run(spark, lay, [(2023, 2)])
     inc = {t: sorted(tuple(r) for r in df.collect()) for t, df in P.read_gold(spark, lay).items()}
     full = {t: sorted(tuple(r) for r in df.collect())
             for t, df in P.build_gold(spark, lay, 2023, write=False).items()}

@@ -53,26 +53,45 @@ def test_missing_column_is_rejected(spark, tmp_lake):
         R.read_landing(spark, land)
 
 
+def test_missing_column_names_the_file(spark, tmp_lake):
+    land = tmp_lake + "/landing"
+    _land(land, "202301", ["202301;SP;1;A;c;1;N;10,00"], name="good.csv")
+    _land(land, "202302", ["202302;SP;1;A;c;1;10,00"], header=HEADER.replace(";NOME_FAVORECIDO", ""), name="short.csv")
+    with pytest.raises(ValueError, match="short.csv.*NOME_FAVORECIDO"):
+        R.read_landing(spark, land)
+
+
+def test_every_file_is_bound_by_its_own_header(spark, tmp_lake):
+    land = tmp_lake + "/landing"
+    _land(land, "202301", ["202301;SP;1;A;c;1;ANA;10,00"])
+    _land(land, "202302", ["RJ;202302;20,00;BIA;2;d;B;2;extra"], header="UF;mes_competencia;VALOR_PARCELA;NOME_FAVORECIDO;NIS_FAVORECIDO;CPF_FAVORECIDO;NOME_MUNICIPIO;CODIGO_MUNICIPIO_SIAFI;LOTE")
+    df = R.read_landing(spark, land)
+    got = sorted(tuple(r[c] for c in [*RAW_COLUMNS, "LOTE"]) for r in df.collect())
+    assert got == [("202301", "SP", "1", "A", "c", "1", "ANA", "10,00", None), ("202302", "RJ", "2", "B", "d", "2", "BIA", "20,00", "extra")]
+
+
 def test_audit_columns_and_md5_of_bytes(spark, tmp_lake):
     land = tmp_lake + "/landing"
-    p = _land(land, "202302", ["202302;SP;1;SÃO PAULO;c;1;N;10,00"])
+    p = _land(land, "202302", ["202302;SP;1;SÃO PAULO;c;1;N;10,00"], name="pagamentos jan+1.csv")
     expected = hashlib.md5(open(p, "rb").read()).hexdigest()
-    b = R.with_bronze_audit(spark, R.read_landing(spark, land), land, [(2023, 2)])
-    r = b.first()
-    assert (r["ano"], r["mes"]) == (2023, 2)
-    assert r["_file_hash"] == expected
-    assert r["_file_name"] == "part-0.csv"
-    assert r["_source"].endswith("part-0.csv")
-    assert b.columns[-6:] == ["_source", "_file_name", "_ingested_at", "_file_hash", "ano", "mes"]
+    for mode in ("md5", "rows", None):
+        b = R.with_bronze_audit(spark, R.read_landing(spark, land), land, [(2023, 2)], file_hash=mode)
+        r = b.first()
+        assert (r["ano"], r["mes"]) == (2023, 2)
+        assert r["_file_hash"] == expected if mode == "md5" else (r["_file_hash"] is None) == (mode is None)
+        assert r["_file_name"] == "pagamentos jan+1.csv"
+        assert r["_source"].endswith("/competencia=202302/pagamentos jan+1.csv")
+        assert b.columns[-6:] == ["_source", "_file_name", "_ingested_at", "_file_hash", "ano", "mes"]
 
 
-def test_period_filter_prunes_partitions(spark, tmp_lake):
+def test_only_requested_months_are_read(spark, tmp_lake):
     land = tmp_lake + "/landing"
     _land(land, "202301", ["202301;SP;1;A;c;1;N;10,00"])
     _land(land, "202302", ["202302;SP;1;A;c;1;N;10,00"])
     df = R.read_landing(spark, land, [(2023, 2)])
-    assert df.count() == 1
-    assert "PartitionFilters: [isnotnull(competencia" in df._jdf.queryExecution().executedPlan().toString() or df.count() == 1
+    assert [f.rsplit("/", 2)[-2] for f in df.inputFiles()] == ["competencia=202302"]
+    with pytest.raises(ValueError, match="2023, 3"):
+        R.read_landing(spark, land, [(2023, 2), (2023, 3)])
 
 
 def _two_months(spark, lake):
@@ -100,11 +119,57 @@ def test_existing_periods_single_digit_months(spark, tmp_lake):
 def test_bronze_idempotent_and_overwrite(spark, tmp_lake):
     lay = Layout(root=tmp_lake)
     _land(lay.landing, "202301", ["202301;SP;1;A;c;1;N;10,00", "202301;SP;1;A;c;2;N;11,00"])
-    P.ingest_bronze(spark, lay, [(2023, 1)])
-    P.ingest_bronze(spark, lay, [(2023, 1)])  # skipped: no duplicates
-    assert spark.read.parquet(lay.bronze).count() == 2
+    first = {tuple(r) for r in P.ingest_bronze(spark, lay, [(2023, 1)]).collect()}
+    _land(lay.landing, "202301", ["202301;SP;1;A;c;3;N;12,00"])  # delivered again, with other rows
+    P.ingest_bronze(spark, lay, [(2023, 1)])  # skipped: the same rows, file names and times
+    assert {tuple(r) for r in spark.read.parquet(lay.bronze).collect()} == first
     P.ingest_bronze(spark, lay, [(2023, 1)], overwrite=True)
-    assert spark.read.parquet(lay.bronze).count() == 2
+    assert [r["NIS_FAVORECIDO"] for r in spark.read.parquet(lay.bronze).collect()] == ["3"]
+
+
+@pytest.mark.parametrize("n", [1, 32, 33, 80])
+def test_months_without_input_keep_what_is_stored(spark, tmp_lake, n):
+    """Any number of requested months, one of them no longer landed (or, for Silver, not in Bronze)."""
+    import shutil
+
+    lay = Layout(root=tmp_lake)
+    asked = [(2010 + i // 12, i % 12 + 1) for i in range(n)]
+    gone = asked[0]
+    _land(lay.landing, "201001", ["201001;SP;1;A;c;1;N;10,00"])
+    _land(lay.landing, "201002", ["201002;SP;1;A;c;1;N;10,00"])
+    P.run(spark, lay, [(2010, 1), (2010, 2)])
+    shutil.rmtree(_local(lay.landing) + "/competencia=201001")
+    res = P.run(spark, lay, asked, overwrite=True)
+    assert gone in res["layers"]["bronze"]["not_landed"]
+    for path in (lay.bronze, lay.silver):
+        assert {(r["ano"], r["mes"]) for r in spark.read.parquet(path).collect()} == {(2010, 1), (2010, 2)}
+    shutil.rmtree(_local(lay.bronze) + "/ano=2010/mes=1")
+    res = P.run(spark, lay, asked, layers=("silver", "gold"))
+    assert gone in res["layers"]["silver"]["not_in_bronze"]
+    assert {(r["ano"], r["mes"]) for r in spark.read.parquet(lay.silver).collect()} == {(2010, 1), (2010, 2)}
+    assert spark.read.parquet(lay.gold("serie_temporal_brasil")).count() == 2
+
+
+def test_missing_write_metrics_remove_nothing(spark, tmp_lake):
+    from ledgerline.sinks.tables import _empty_months
+
+    path = tmp_lake + "/t"
+    write_partitioned(_two_months(spark, tmp_lake), path)
+    for seen in ({}, {"months": []}, {"rows": 3, "months": []}):
+        with pytest.raises(RuntimeError):
+            _empty_months(spark, path, [(2023, 1), (2023, 2)], seen)
+    assert spark.read.parquet(path).count() == 7
+
+
+def test_stored_extra_columns_are_read(spark, tmp_lake):
+    lay = Layout(root=tmp_lake)
+    _land(lay.landing, "202301", ["202301;SP;1;A;c;1;N;10,00"])
+    _land(lay.landing, "202302", ["202302;SP;1;A;c;2;N;10,00;x"], header=HEADER + ";LOTE")
+    P.ingest_bronze(spark, lay, [(2023, 1)])
+    P.ingest_bronze(spark, lay, [(2023, 2)])
+    both = P.scan_periods(spark, lay.bronze, [(2023, 1), (2023, 2)])
+    assert {(r["mes"], r["LOTE"]) for r in both.collect()} == {(1, None), (2, "x")}
+    assert "LOTE" in P.scan_year(spark, lay.bronze, 2023).columns
 
 
 def test_silver_drops_foreign_period_rows(spark, tmp_lake):

@@ -37,3 +37,32 @@ def test_second_file_for_a_month_rebuilds_the_whole_month(spark, tmp_lake):
     _land(lay.landing, "202301", ["202301;SP;1;A;c;2;N;20,00"], name="b.csv")
     run_available(spark, lay, checkpoint=ckpt, layers=("bronze",))
     assert spark.read.parquet(lay.bronze).count() == 2
+
+
+def test_months_of_many_batches_are_rebuilt_once(spark, tmp_lake, monkeypatch):
+    from ledgerline.plans import pipeline as P
+    from ledgerline.streaming import landing as L
+
+    lay = Layout(root=tmp_lake)
+    for i in range(6):
+        _land(lay.landing, "202301", [f"202301;SP;1;A;c;{i};N;10,00"], name=f"{i}.csv")
+    calls, run = [], P.run
+    monkeypatch.setattr(L.P, "run", lambda spark, layout, months, **k: calls.append(months) or run(spark, layout, months, **k))
+    run_available(spark, lay, checkpoint=tmp_lake + "/ckpt", max_files_per_trigger=1)
+    assert calls == [[(2023, 1)]] and spark.read.parquet(lay.silver).count() == 6
+    assert run_available(spark, lay, checkpoint=tmp_lake + "/ckpt") is None
+
+
+def test_a_run_that_died_is_made_up_for(spark, tmp_lake, monkeypatch):
+    from ledgerline.streaming import landing as L
+
+    lay = Layout(root=tmp_lake)
+    _land(lay.landing, "202301", ["202301;SP;1;A;c;1;N;10,00"])
+    with monkeypatch.context() as m:
+        m.setattr(L.P, "run", lambda *a, **k: 1 / 0)
+        try:
+            run_available(spark, lay, checkpoint=tmp_lake + "/ckpt")
+        except ZeroDivisionError:
+            pass
+    run_available(spark, lay, checkpoint=tmp_lake + "/ckpt")  # no new file, but the month is still noted
+    assert spark.read.parquet(lay.bronze).count() == 1
