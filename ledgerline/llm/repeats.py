@@ -16,10 +16,12 @@ small, without losing any repeat:
 
 Only starts of runs that have the anchor but not the context in common with others are
 ranked singly, by the pair (rank of 100 bytes at i, rank of 100 bytes at
-i + 100). Ranks are 64-bit names of the strings (equal names for equal strings),
-given in the tasks; Spark shuffles and groups by rank or rank pair in each round
-and joins the counts back, with partial aggregation before each shuffle and skew-
-splittable joins, so no group has to meet in one task.
+i + 100). Ranks are 64-bit names of the strings (equal names for equal strings).
+Spark shuffles and groups by rank in each round and joins the counts back, with
+partial aggregation before each shuffle and joins that AQE can split. In the last
+round the contexts of one anchor meet in a task while they are at most ``TOGETHER``
+(many anchors are handled at once there); the starts of anchors with more contexts, such as the
+edges of a passage that very many documents hold, are spread by their own rank pairs.
 
 Defined results: NULL text is empty (0 bytes, SHA-256 of nothing); texts below 200
 bytes are kept whole; repeated rows are documents of their own (each repeats the
@@ -37,11 +39,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Hasher, blocks
+from .blocks import Hasher, blocks, mix
 from .shared import settle, small, table
 
 LENGTH = 200
 GRAM = 64
+TOGETHER = 64
+SHIFT = 10  # a run is packed as start << SHIFT | number of starts (at most LENGTH - GRAM + 1)
 _POS = np.uint64((1 << 31) - 1)
 
 
@@ -88,70 +92,108 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, start, count, g, c = runs(data, off)
             rows = pa.array(doc + first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start), pa.array(count.astype(np.int32)), pa.array(g), pa.array(c)],
-                names=["doc_id", "h", "start", "n", "g", "c"],
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array((start << SHIFT) | count), pa.array(g), pa.array(c)],
+                names=["doc_id", "h", "run", "g", "c"],
             )
 
 
 def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, h, text, [start, n]) -> the contexts of the runs named."""
+    """(doc_id, h, text, [run, g, many]) -> the contexts of the runs named."""
     for batch in batches:
-        ids, hs, starts, ns, out = [], [], [], [], []
-        size = 0
+        rows, out, size = [], [], 0
         for i in range(batch.num_rows):
             raw = batch.column(2)[i].as_py().encode()
             for r in batch.column(3)[i].as_py():
-                ids.append(i)
-                starts.append(r["start"])
-                ns.append(r["n"])
-                out.append(raw[r["start"] : r["start"] + r["n"] + LENGTH - 1])
+                start, n = r["run"] >> SHIFT, r["run"] & ((1 << SHIFT) - 1)
+                rows.append((i, r["run"], r["g"], r["many"]))
+                out.append(raw[start : start + n + LENGTH - 1])
                 size += len(out[-1])
-            if size > 4 << 20 or i == batch.num_rows - 1:
-                rows = pa.array(ids, pa.int64())
+            if out and (size > 4 << 20 or i == batch.num_rows - 1):
+                at, run, g, many = zip(*rows)
+                at = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(starts, pa.int64()), pa.array(ns, pa.int32()), pa.array(out, pa.binary())],
-                    names=["doc_id", "h", "start", "n", "bytes"],
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(run, pa.int64()), pa.array(g, pa.int64()), pa.array(many), pa.array(out, pa.binary())],
+                    names=["doc_id", "h", "run", "g", "many", "bytes"],
                 )
-                ids, hs, starts, ns, out, size = [], [], [], [], [], 0
+                rows, out, size = [], [], 0
+
+
+def _rank_pairs(runs_: np.ndarray, contexts: list[bytes]):
+    """Of every start in the contexts: its row, its place in the text, and its rank pair."""
+    half = LENGTH // 2
+    count = runs_ & ((1 << SHIFT) - 1)
+    h = Hasher(np.frombuffer(b"".join(contexts), np.uint8)).grams(half)
+    size = count + LENGTH - 1
+    row = np.repeat(np.arange(len(runs_)), count)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    pos = np.repeat(np.cumsum(size) - size, count) + within
+    return row, (runs_ >> SHIFT)[row] + within, h[pos], h[pos + half]
 
 
 def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts -> rank pairs of each start in them."""
-    half = LENGTH // 2
     for batch in batches:
-        n = batch.column(3).to_numpy().astype(np.int64)
-        at = 0
-        while at < batch.num_rows:
-            upto = min(batch.num_rows, at + 4096)
-            raw = b"".join(batch.column(4)[at:upto].to_pylist())
-            h = Hasher(np.frombuffer(raw, np.uint8)).grams(half).view(np.int64)
-            count = n[at:upto]
-            begin = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
-            total = int(count.sum())
-            within = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
-            pos = np.repeat(begin, count) + within
-            rows = pa.array(np.repeat(np.arange(at, upto), count))
+        for at in range(0, batch.num_rows, 4096):
+            part = batch.slice(at, 4096)
+            row, start, r1, r2 = _rank_pairs(part.column(2).to_numpy(), part.column(5).to_pylist())
+            rows = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[pos]), pa.array(h[pos + half]), batch.column(0).take(rows), batch.column(1).take(rows),
-                 pa.array(np.repeat(batch.column(2).to_numpy()[at:upto], count) + within)],
+                [pa.array(r1.view(np.int64)), pa.array(r2.view(np.int64)), part.column(0).take(rows), part.column(1).take(rows), pa.array(start)],
                 names=["r1", "r2", "doc_id", "h", "start"],
             )
+
+
+def _within_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts sorted by anchor -> the runs of starts whose rank pair occurs twice at their anchor."""
+
+    def repeated_runs(part: pa.RecordBatch) -> pa.RecordBatch:
+        runs_ = part.column(2).to_numpy()
+        row, start, r1, r2 = _rank_pairs(runs_, part.column(5).to_pylist())
+        # a name of anchor and rank pair; a start differs from the other starts of its own run
+        name = mix(mix(part.column(3).to_numpy().view(np.uint64)[row] + r1) + r2)
+        _, back, n = np.unique(name, return_inverse=True, return_counts=True)
+        at = np.flatnonzero(n[back] > 1)
+        row, start = row[at], start[at]
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+        first = np.flatnonzero(new)
+        length = np.diff(np.append(first, len(at)))
+        rows = pa.array(row[first])
+        return pa.RecordBatch.from_arrays(
+            [part.column(0).take(rows), part.column(1).take(rows), pa.array((start[first] << SHIFT) | length)], names=["doc_id", "h", "run"]
+        )
+
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table_ = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+        g = table_.column(3).to_numpy()
+        # whole anchors only: the last one may go on in the next batch
+        borders = np.flatnonzero(g[1:] != g[:-1]) + 1
+        done = int(borders[-1]) if len(borders) else 0
+        at = 0
+        while at < done:
+            upto = int(borders[np.searchsorted(borders, min(at + 4096, done), side="right") - 1]) if at + 4096 < done else done
+            upto = upto if upto > at else int(borders[np.searchsorted(borders, at, side="right")])
+            yield repeated_runs(table_.slice(at, upto - at))
             at = upto
+        held = table_.slice(done)
+    if held is not None and held.num_rows:
+        yield repeated_runs(held)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text, whole runs, single starts) -> what is removed and the digest of the rest."""
+    """(doc_id, text, runs) -> what is removed and the digest of the rest."""
     for batch in batches:
         size, removed, spans, digest = [], [], [], []
         for i in range(batch.num_rows):
             raw = (batch.column(1)[i].as_py() or "").encode()
             change = np.zeros(len(raw) + 1, dtype=np.int32)
-            for r in batch.column(2)[i].as_py() or ():
-                change[r["start"]] += 1
-                change[r["start"] + r["n"] + LENGTH - 1] -= 1
-            single = np.array(batch.column(3)[i].as_py() or (), dtype=np.int64)
-            np.add.at(change, single, 1)
-            np.add.at(change, single + LENGTH, -1)
+            found = batch.column(2)[i].values.to_numpy()
+            start = found >> SHIFT
+            np.add.at(change, start, 1)
+            np.add.at(change, start + (found & ((1 << SHIFT) - 1)) + LENGTH - 1, -1)
             gone = np.cumsum(change[:-1]) > 0
             size.append(len(raw))
             removed.append(int(gone.sum()))
@@ -168,36 +210,34 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, whole: runs repeated throughout, single: other repeated starts) of each text with a repeat."""
+    """(doc_id, h, runs): the runs of starts of repeated strings, of each text that has any."""
     texts = _keyed(docs).where(F.octet_length("text") >= LENGTH)
-    ranked = texts.mapInArrow(_run_rows, "doc_id long, h long, start long, n int, g long, c long")
-    contexts = ranked.groupBy("g", "c").agg(F.count("*").alias("copies"))
-    # anchors that occur twice or more, with the number of their contexts and whether one occurs once
-    anchors = contexts.groupBy("g").agg(
-        F.sum("copies").alias("total"), F.count("*").alias("contexts"), F.min("copies").alias("least")
-    ).where("total > 1").select("g", ((F.col("contexts") > 1) & (F.col("least") == 1)).alias("mixed"))
-    kept = contexts.join(anchors, "g").where("copies > 1 or mixed")
-    found = settle(ranked.join(kept, ["g", "c"]), "runs")
-
-    whole = found.where("copies > 1").select("doc_id", "h", F.struct("start", "n").alias("run"))
-    # a context that occurs more often stands once in the comparison with the others
-    one = found.where("mixed and copies > 1").groupBy("g", "c").agg(F.min(F.struct("doc_id", "h", "start", "n")).alias("r")).select("r.*")
-    alone = found.where("copies = 1").select("doc_id", "h", "start", "n")
-    named = settle(alone.unionByName(one).groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "n")).alias("runs")), "named")
-    keys = named.select("doc_id", "h")
-    wanted = _matching(texts, keys, named.count())
+    ranked = texts.mapInArrow(_run_rows, "doc_id long, h long, run long, g long, c long")
+    anchors = ranked.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    found = settle(ranked.join(anchors, "g"), "runs")
+
+    contexts = settle(
+        found.groupBy("g", "c").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "h", "run")).alias("first")), "contexts"
+    )
+    whole = found.join(contexts.where("copies > 1").select("g", "c"), ["g", "c"], "left_semi").select("doc_id", "h", "run")
+    # anchors with several contexts of which one occurs once; of each context one run
+    mixed = contexts.groupBy("g").agg(F.count("*").alias("contexts"), F.min("copies").alias("least")).where("contexts > 1 and least = 1")
+    named = contexts.join(mixed, "g").select(
+        "first.doc_id", "first.h", F.struct("first.run", "g", (F.col("contexts") > TOGETHER).alias("many")).alias("r")
+    )
+    named = settle(named.groupBy("doc_id", "h").agg(F.collect_list("r").alias("runs")), "named")
     same = F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("t.h") == F.col("k.h"))
     # rows that repeat id and text hold the same runs: one of them is enough
-    with_text = wanted.dropDuplicates(["doc_id", "h"]).alias("t").join(named.alias("k"), same).select("t.doc_id", "t.h", "t.text", "k.runs")
-    snippets = settle(with_text.mapInArrow(_snippets, "doc_id long, h long, start long, n int, bytes binary"), "contexts")
-    pairs = snippets.mapInArrow(_positions, "r1 long, r2 long, doc_id long, h long, start long")
+    wanted = _matching(texts, named.select("doc_id", "h"), named.count()).dropDuplicates(["doc_id", "h"])
+    with_text = wanted.alias("t").join(named.alias("k"), same).select("t.doc_id", "t.h", "t.text", "k.runs")
+    snippets = settle(with_text.mapInArrow(_snippets, "doc_id long, h long, run long, g long, many boolean, bytes binary"), "snippets")
+
+    few = snippets.where("not many").repartition("g").sortWithinPartitions("g").mapInArrow(_within_anchors, "doc_id long, h long, run long")
+    pairs = snippets.where("many").mapInArrow(_positions, "r1 long, r2 long, doc_id long, h long, start long")
     again = pairs.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1").select("r1", "r2")
-    single = pairs.join(again, ["r1", "r2"]).select("doc_id", "h", "start")
-    runs_of = whole.groupBy("doc_id", "h").agg(F.collect_set("run").alias("whole"), F.lit(None).cast("array<bigint>").alias("single"))
-    starts_of = single.groupBy("doc_id", "h").agg(F.lit(None).cast(runs_of.schema["whole"].dataType).alias("whole"), F.collect_set("start").alias("single"))
-    return runs_of.unionByName(starts_of).groupBy("doc_id", "h").agg(
-        F.first("whole", ignorenulls=True).alias("whole"), F.first("single", ignorenulls=True).alias("single")
-    )
+    spread = pairs.join(again, ["r1", "r2"]).select("doc_id", "h", (F.shiftleft("start", SHIFT) + 1).alias("run"))
+    every = whole.unionByName(few).unionByName(spread)
+    return every.groupBy("doc_id", "h").agg(F.collect_list("run").alias("runs"))
 
 
 def _matching(texts: DataFrame, keys: DataFrame, count: int, how: str = "left_semi") -> DataFrame:
@@ -219,7 +259,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.sha2(clean.cast("binary"), 256).alias("kept_sha256"),
     )
     same = F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t.h") == F.col("m.h"))
-    marked = _matching(texts, keys, count).alias("t").join(marks.alias("m"), same).select("t.doc_id", "t.text", "m.whole", "m.single")
+    marked = _matching(texts, keys, count).alias("t").join(marks.alias("m"), same).select("t.doc_id", "t.text", "m.runs")
     cut = marked.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return untouched.unionByName(cut)
 
