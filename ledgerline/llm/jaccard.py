@@ -189,8 +189,8 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     )
     least = F.greatest(F.lit(1), F.floor(F.col("n") / 20))  # s of the screening prefix
-    first = _screen(classes, least)
-    second = settle(_screen(first.select("fp", "n", "rep", F.col("tokens.t").alias("tokens")), least).select("fp", "n", "rep"), "screened")
+    first = settle(_screen(classes, least).select("fp", "n", "rep", F.col("tokens.t").alias("tokens")), "screened")
+    second = settle(_screen(first, least).select("fp", "n", "rep"), "screened")
     count = second.count()
 
     # whole sets of the survivors, from their texts
