@@ -1,7 +1,7 @@
 """Personal data replaced by format-preserving Feistel pseudonyms.
 
 Found and validated: payment card numbers (13 to 19 digits, Luhn), US social
-security numbers, North American phone numbers, IPv4 addresses, calendar dates
+security numbers, North American phone numbers (any ten digits in that notation), IPv4 addresses, calendar dates
 (``YYYY-MM-DD``, ``DD/MM/YYYY``, ``MM/DD/YYYY``, ``DD.MM.YYYY``), e-mail addresses, and
 secrets after a label such as ``password=`` or ``token: "``.
 
@@ -35,11 +35,11 @@ ROUNDS = 10
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}+[A-Za-z]{2,24}+"
 SECRET = r"""(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}+[=:]\s{0,3}+["']?[A-Za-z0-9+/_.-]{8,512}+)"""
-IP = r"(?<![0-9.])(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+(?![0-9]|\.[0-9])"
+IP = r"(?<![0-9])(?<![0-9][.])(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
-CARD = r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}+(?![0-9])"
+CARD = r"(?<![0-9])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 KINDS = [("email", EMAIL), ("secret", SECRET), ("ip", IP), ("date", DATE), ("ssn", SSN), ("phone", PHONE), ("card", CARD)]
 ANY = "|".join(p for _, p in KINDS)
 
@@ -123,14 +123,12 @@ def _ssn(m: Column, key: str) -> Column:
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The ten national digits: area and exchange from 200 to 999."""
+    """The ten national digits, as area code and local number."""
     def new(d: Column) -> Column:
         last = F.right(d, F.lit(10))
-        area, rest = last.substr(1, 3).cast("int"), last.substr(4, 7).cast("int")
-        p = permute("phone", area - 200, rest - 2_000_000, 800, 8_000_000, key)
-        national = let(p, lambda s: F.concat(_pad(s["x"] + 200, 3), _pad(s["y"] + 2_000_000, 7)))
-        whole = F.concat(F.substr(d, F.lit(1), F.length(d) - 10), national)
-        return F.when((area >= 200) & (rest >= 2_000_000), _refill(m, whole)).otherwise(m)
+        p = permute("phone", last.substr(1, 3), last.substr(4, 7), 1000, 10_000_000, key)
+        national = let(p, lambda s: F.concat(_pad(s["x"], 3), _pad(s["y"], 7)))
+        return _refill(m, F.concat(F.substr(d, F.lit(1), F.length(d) - 10), national))
 
     return let(_digits(m), new)
 
@@ -170,7 +168,7 @@ def _digest(key: str, kind: str, value: Column, n: int) -> Column:
 def pseudonym(m: Column, key: str) -> Column:
     whole = lambda p: m.rlike(f"^(?:{p})$")
     label = F.regexp_extract(m, r"""^([^=:]*[=:]\s*["']?)""", 1)
-    secret = let(F.expr("0"), lambda _: F.concat(label, _digest(key, "secret", F.substr(m, F.length(label) + 1), 24)))
+    secret = F.concat(label, _digest(key, "secret", F.substr(m, F.length(label) + 1), 24))
     email = F.concat(F.lit("u"), _digest(key, "email", F.lower(m), 12), F.lit("@"), F.lit("d"),
                      _digest(key, "domain", F.lower(F.substring_index(m, "@", -1)), 8), F.lit(".example"))
     numbers = (
