@@ -19,9 +19,11 @@ ranked singly, by the pair (rank of 100 bytes at i, rank of 100 bytes at
 i + 100). Ranks are 64-bit names of the strings (equal names for equal strings).
 Spark shuffles and groups by rank in each round and joins the counts back, with
 partial aggregation before each shuffle and joins that AQE can split. In the last
-round the contexts of one anchor meet in a task while they are at most ``TOGETHER``
-(many anchors are handled at once there); the starts of anchors with more contexts, such as the
-edges of a passage that very many documents hold, are spread by their own rank pairs.
+round the contexts of one anchor meet in a task, many anchors at once. An anchor with
+more than ``TOGETHER`` contexts, such as one at the edge of a passage that very many
+documents hold, is dealt out by salt: each share settles the rank pairs that repeat
+within it, and only its other pairs and one of each repeated kind go on to be
+grouped by rank pair across shares.
 
 Defined results: NULL text is empty (0 bytes, SHA-256 of nothing); texts below 200
 bytes are kept whole; repeated rows are documents of their own (each repeats the
@@ -44,7 +46,7 @@ from .shared import settle, small, table
 
 LENGTH = 200
 GRAM = 64
-TOGETHER = 64
+TOGETHER = 4096
 SHIFT = 10  # a run is packed as start << SHIFT | number of starts (at most LENGTH - GRAM + 1)
 _POS = np.uint64((1 << 31) - 1)
 
@@ -98,22 +100,22 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, h, text, [run, g, many]) -> the contexts of the runs named."""
+    """(doc_id, h, text, [run, g, shares]) -> the contexts of the runs named."""
     for batch in batches:
         rows, out, size = [], [], 0
         for i in range(batch.num_rows):
             raw = batch.column(2)[i].as_py().encode()
             for r in batch.column(3)[i].as_py():
                 start, n = r["run"] >> SHIFT, r["run"] & ((1 << SHIFT) - 1)
-                rows.append((i, r["run"], r["g"], r["many"]))
+                rows.append((i, r["run"], r["g"], r["shares"]))
                 out.append(raw[start : start + n + LENGTH - 1])
                 size += len(out[-1])
             if out and (size > 4 << 20 or i == batch.num_rows - 1):
-                at, run, g, many = zip(*rows)
+                at, run, g, shares = zip(*rows)
                 at = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(run, pa.int64()), pa.array(g, pa.int64()), pa.array(many), pa.array(out, pa.binary())],
-                    names=["doc_id", "h", "run", "g", "many", "bytes"],
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(run, pa.int64()), pa.array(g, pa.int64()), pa.array(shares, pa.int32()), pa.array(out, pa.binary())],
+                    names=["doc_id", "h", "run", "g", "shares", "bytes"],
                 )
                 rows, out, size = [], [], 0
 
@@ -130,57 +132,54 @@ def _rank_pairs(runs_: np.ndarray, contexts: list[bytes]):
     return row, (runs_ >> SHIFT)[row] + within, h[pos], h[pos + half]
 
 
-def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts -> rank pairs of each start in them."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            part = batch.slice(at, 4096)
-            row, start, r1, r2 = _rank_pairs(part.column(2).to_numpy(), part.column(5).to_pylist())
-            rows = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(r1.view(np.int64)), pa.array(r2.view(np.int64)), part.column(0).take(rows), part.column(1).take(rows), pa.array(start)],
-                names=["r1", "r2", "doc_id", "h", "start"],
-            )
+PAIRS = "doc_id long, h long, run long, r1 long, r2 long"
 
 
-def _within_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by anchor -> the runs of starts whose rank pair occurs twice at their anchor."""
+def _within_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts sorted by anchor and share -> runs of starts whose rank pair repeats in the share (r1 and
+    r2 NULL), and of anchors with several shares the starts to compare across them."""
 
-    def repeated_runs(part: pa.RecordBatch) -> pa.RecordBatch:
+    def settled(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         runs_ = part.column(2).to_numpy()
         row, start, r1, r2 = _rank_pairs(runs_, part.column(5).to_pylist())
         # a name of anchor and rank pair; a start differs from the other starts of its own run
         name = mix(mix(part.column(3).to_numpy().view(np.uint64)[row] + r1) + r2)
-        _, back, n = np.unique(name, return_inverse=True, return_counts=True)
+        _, one, back, n = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
         at = np.flatnonzero(n[back] > 1)
-        row, start = row[at], start[at]
         new = np.ones(len(at), dtype=bool)
-        new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+        new[1:] = (row[at[1:]] != row[at[:-1]]) | (start[at[1:]] != start[at[:-1]] + 1)
         first = np.flatnonzero(new)
         length = np.diff(np.append(first, len(at)))
-        rows = pa.array(row[first])
+        yield batch_of(part, row[at[first]], (start[at[first]] << SHIFT) | length, None, None)
+        # one of each pair: unsettled ones, and partners for those of other shares
+        open_ = one[part.column(4).to_numpy()[row[one]] > 1]
+        if len(open_):
+            yield batch_of(part, row[open_], (start[open_] << SHIFT) | 1, r1[open_].view(np.int64), r2[open_].view(np.int64))
+
+    def batch_of(part, row, run, r1, r2) -> pa.RecordBatch:
+        rows = pa.array(row)
+        none = pa.nulls(len(rows), pa.int64())
         return pa.RecordBatch.from_arrays(
-            [part.column(0).take(rows), part.column(1).take(rows), pa.array((start[first] << SHIFT) | length)], names=["doc_id", "h", "run"]
+            [part.column(0).take(rows), part.column(1).take(rows), pa.array(run), none if r1 is None else pa.array(r1), none if r2 is None else pa.array(r2)],
+            names=["doc_id", "h", "run", "r1", "r2"],
         )
 
     held = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        table_ = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
-        g = table_.column(3).to_numpy()
-        # whole anchors only: the last one may go on in the next batch
-        borders = np.flatnonzero(g[1:] != g[:-1]) + 1
-        done = int(borders[-1]) if len(borders) else 0
+        all_ = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks().to_batches()[0]
+        g, share = all_.column(3).to_numpy(), all_.column(6).to_numpy()
+        # whole shares only: the last one may go on in the next batch
+        borders = np.flatnonzero((g[1:] != g[:-1]) | (share[1:] != share[:-1])) + 1
         at = 0
-        while at < done:
-            upto = int(borders[np.searchsorted(borders, min(at + 4096, done), side="right") - 1]) if at + 4096 < done else done
-            upto = upto if upto > at else int(borders[np.searchsorted(borders, at, side="right")])
-            yield repeated_runs(table_.slice(at, upto - at))
+        while len(borders) and at < borders[-1]:
+            upto = int(borders[max(np.searchsorted(borders, at + TOGETHER, side="right") - 1, np.searchsorted(borders, at, side="right"))])
+            yield from settled(all_.slice(at, upto - at))
             at = upto
-        held = table_.slice(done)
+        held = all_.slice(at)
     if held is not None and held.num_rows:
-        yield repeated_runs(held)
+        yield from settled(held)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,19 +222,20 @@ def repeated(docs: DataFrame) -> DataFrame:
     # anchors with several contexts of which one occurs once; of each context one run
     mixed = contexts.groupBy("g").agg(F.count("*").alias("contexts"), F.min("copies").alias("least")).where("contexts > 1 and least = 1")
     named = contexts.join(mixed, "g").select(
-        "first.doc_id", "first.h", F.struct("first.run", "g", (F.col("contexts") > TOGETHER).alias("many")).alias("r")
+        "first.doc_id", "first.h", F.struct("first.run", "g", F.ceil(F.col("contexts") / TOGETHER).cast("int").alias("shares")).alias("r")
     )
     named = settle(named.groupBy("doc_id", "h").agg(F.collect_list("r").alias("runs")), "named")
     same = F.col("t.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("t.h") == F.col("k.h"))
     # rows that repeat id and text hold the same runs: one of them is enough
     wanted = _matching(texts, named.select("doc_id", "h"), named.count()).dropDuplicates(["doc_id", "h"])
     with_text = wanted.alias("t").join(named.alias("k"), same).select("t.doc_id", "t.h", "t.text", "k.runs")
-    snippets = settle(with_text.mapInArrow(_snippets, "doc_id long, h long, run long, g long, many boolean, bytes binary"), "snippets")
-
-    few = snippets.where("not many").repartition("g").sortWithinPartitions("g").mapInArrow(_within_anchors, "doc_id long, h long, run long")
-    pairs = snippets.where("many").mapInArrow(_positions, "r1 long, r2 long, doc_id long, h long, start long")
-    again = pairs.groupBy("r1", "r2").agg(F.count("*").alias("n")).where("n > 1").select("r1", "r2")
-    spread = pairs.join(again, ["r1", "r2"]).select("doc_id", "h", (F.shiftleft("start", SHIFT) + 1).alias("run"))
+    contexts_of = with_text.mapInArrow(_snippets, "doc_id long, h long, run long, g long, shares int, bytes binary")
+    dealt = contexts_of.withColumn("share", F.pmod(F.xxhash64("doc_id", "h", "run"), F.col("shares")).cast("int"))
+    last = settle(dealt.repartition("g", "share").sortWithinPartitions("g", "share").mapInArrow(_within_shares, PAIRS), "ranked")
+    few = last.where("r1 is null").select("doc_id", "h", "run")
+    pairs = last.where("r1 is not null")
+    again = pairs.groupBy("r1", "r2").agg(F.count("*").alias("k")).where("k > 1").select("r1", "r2")
+    spread = pairs.join(again, ["r1", "r2"], "left_semi").select("doc_id", "h", "run")
     every = whole.unionByName(few).unionByName(spread)
     return every.groupBy("doc_id", "h").agg(F.collect_list("run").alias("runs"))
 

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from ledgerline.llm import repeats
 
 from .helpers import brute_repeats, docs, table
@@ -15,7 +17,9 @@ def noise(rng, n, letters="abcdefgh éß"):
     return "".join(rng.choice(letters) for _ in range(n))
 
 
-def test_passages_copies_and_near_misses(spark):
+@pytest.mark.parametrize("together", [4096, 3])  # with 3, most anchors are dealt out by share
+def test_passages_copies_and_near_misses(spark, monkeypatch, together):
+    monkeypatch.setattr(repeats, "TOGETHER", together)
     rng = random.Random(1)
     passages = [noise(rng, n) for n in (150, 170, 185, 199, 200, 230, 640)]
     rows = []
