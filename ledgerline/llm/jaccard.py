@@ -189,8 +189,8 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     )
     least = F.greatest(F.lit(1), F.floor(F.col("n") / 20))  # s of the screening prefix
-    first = settle(_screen(classes, least).select("fp", "n", "rep", F.col("tokens.t").alias("tokens")), "screened")
-    second = settle(_screen(first, least).select("fp", "n", "rep"), "screened")
+    first = settle(_screen(classes, least).select("fp", "n", "rep", F.col("tokens.t").alias("tokens")), "screened", free=True)
+    second = settle(_screen(first, least).select("fp", "n", "rep"), "screened", free=True)
     count = second.count()
 
     # whole sets of the survivors, from their texts
@@ -200,6 +200,7 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     sets = settle(
         found.join(small(second.select("fp"), count), "fp", "left_semi").groupBy("fp").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")),
         "survivors",
+        free=True,
     )
 
     # extended prefixes: e + (tokens only one side has) + 2 shared ones
@@ -217,6 +218,7 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
             F.array_sort(F.collect_list(F.when(F.col("c") > RARE, F.col("t")))).alias("frequent"),
         ).where(F.size("rare") + F.size("frequent") >= F.col("need")).withColumn("f", F.size("frequent")),
         "prefixes",
+        free=True,
     )
     head = ["fp", "n", "need", "f"]
     by_token = _pairs(indexed.select(*head, F.explode("rare").alias("t")), "t", percent)
@@ -231,7 +233,7 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     keys = couples if percent >= 75 else f
     postings = indexed.where("f > 0").select(*head, F.explode(keys).alias("key"))
     lengths = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    postings = settle(postings.join(lengths, "key"), "combinations")
+    postings = settle(postings.join(lengths, "key"), "combinations", free=True)
     by_couple = _pairs(postings.where(F.col("c") <= RARE), "key", percent).select("a", "b")
     pairs = by_token.unionByName(by_couple).distinct()
     found = [_verified(pairs, sets, percent)]

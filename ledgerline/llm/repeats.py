@@ -213,7 +213,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     texts = _keyed(docs).where(F.octet_length("text") >= LENGTH)
     ranked = texts.mapInArrow(_run_rows, "doc_id long, h long, run long, g long, c long")
     anchors = ranked.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    found = settle(ranked.join(anchors, "g"), "runs")
+    found = settle(ranked.join(anchors, "g"), "runs", free=True)
 
     contexts = settle(
         found.groupBy("g", "c").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "h", "run")).alias("first")), "contexts"

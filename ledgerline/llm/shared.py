@@ -3,6 +3,7 @@ broadcasts and SQL expression idioms."""
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable
 
@@ -23,15 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return a reader of it.
 
     Cuts the lineage with files every executor can read, so a lost executor costs
     no recomputation; unlike ``checkpoint()`` the columns can be read singly.
+
+    ``free``: the shuffles behind ``df`` were large and are not needed again. Spark
+    deletes shuffle files when the driver's garbage collector meets their plans, which a
+    driver with little to do puts off, so it is asked to run.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-llm/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    if free:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
