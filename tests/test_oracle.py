@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as E
 from ledgerline.compare import compare, duck_connect
+from ledgerline.oracle import oracle_queries
+from ledgerline.plans.catalog import queries
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = queries()
+ORACLE = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -15,8 +17,14 @@ def con():
     return duck_connect(SF_SMALL)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_entry_works_without_the_optional_operators(monkeypatch):
+    monkeypatch.setattr(E, "_has_llm", lambda: False)
+    assert set(E.queries()) == set(QUERIES) and set(E.oracle_sql()) == set(ORACLE)
 
 
 def test_entry_smoke(spark):
