@@ -3,7 +3,7 @@
 The model file's pieces and scores are used as they are; nothing is trained. A
 text is cut where no piece can reach across (before a space mark that follows
 another character, and around characters that no piece has), and every distinct chunk
-is encoded once per task while a bounded memo holds it. Chunks of equal length
+is encoded once while the worker's bounded memo holds it. Chunks of equal length
 advance together, one row each: at every position the hashes of the substrings
 that end there probe the sorted hashes of the pieces, and the best way to end
 there is kept as a back pointer.
@@ -29,8 +29,10 @@ columns are kept.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +41,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import mix
-from .shared import table
+from .shared import kept, table
 
 SPACE = "▁"
-MEMO = 400_000
+MEMO = 700_000
 BATCH = 1 << 19
 LONG = 48
 _NEVER = np.int64(1 << 60)
@@ -203,7 +205,7 @@ class Model:
 
 
 class Encoder(dict):
-    """Chunk -> ids as little-endian 32-bit bytes, for one task."""
+    """Chunk -> ids as little-endian 32-bit bytes, for one worker."""
 
     def __init__(self, model: Model):
         super().__init__()
@@ -365,9 +367,22 @@ def _groups(texts: list, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def _encoder(broadcast, position: int):
+class Loaded(NamedTuple):
+    """A broadcast model and the name its tables have in the workers."""
+
+    broadcast: object
+    key: str
+
+    def model(self) -> Model:
+        return kept(("pieces model", self.key), lambda: Model.of(self.broadcast.value))
+
+    def encoder(self) -> Encoder:
+        return kept(("pieces encoder", self.key), lambda: Encoder(self.model()))
+
+
+def _encoder(loaded: Loaded, position: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(Model.of(broadcast.value))
+        encoder = loaded.encoder()
         for batch in batches:
             texts = batch.column(position).to_pylist()
             for a, b in _groups(texts):
@@ -382,9 +397,9 @@ def _encoder(broadcast, position: int):
     return run
 
 
-def _decoder(broadcast, position: int):
+def _decoder(loaded: Loaded, position: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.of(broadcast.value)
+        model = loaded.model()
         for batch in batches:
             ids = batch.column(position)
             out = [None if x is None else decode_ids(model, np.array(x, dtype=np.int64)) for x in ids.to_pylist()]
@@ -393,8 +408,8 @@ def _decoder(broadcast, position: int):
     return run
 
 
-def load(spark: SparkSession, model_file: str):
-    return spark.sparkContext.broadcast(Model(model_file).__dict__)
+def load(spark: SparkSession, model_file: str) -> Loaded:
+    return Loaded(spark.sparkContext.broadcast(Model(model_file).__dict__), uuid.uuid4().hex)
 
 
 def encode(docs: DataFrame, model, text: str = "text") -> DataFrame:
@@ -411,11 +426,11 @@ def decode(rows: DataFrame, model, ids: str = "ids") -> DataFrame:
     return rows.mapInArrow(_decoder(model, rows.columns.index(ids)), schema)
 
 
-def _round_trip(broadcast):
-    encode_all = _encoder(broadcast, 1)
+def _round_trip(loaded: Loaded):
+    encode_all = _encoder(loaded, 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model.of(broadcast.value)
+        model = loaded.model()
         for batch in encode_all(batches):
             texts = batch.column(1).to_pylist()
             n, crc, same = [], [], []

@@ -4,6 +4,8 @@ broadcasts and SQL expression idioms."""
 from __future__ import annotations
 
 import gc
+import sys
+import types
 import uuid
 from collections.abc import Callable
 
@@ -49,6 +51,15 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def kept(key: tuple, make: Callable[[], object]) -> object:
+    """``make()``, once per Python worker process: Spark reuses workers for later tasks, which
+    then find tables and bounded memos as the tasks before left them."""
+    state = sys.modules.setdefault("_ledgerline_kept", types.ModuleType("_ledgerline_kept")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row, also where ``body`` uses
     it inside a lambda (a plain reference would be inlined there and evaluated per element)."""

@@ -16,7 +16,7 @@ one row per shard, from the tasks that succeeded) are ever read.
 
 Texts are encoded by the tokenizers library. Its pre-tokenizer drops white space and
 never joins pieces across it, so a text is encoded in white-space-delimited
-chunks, each distinct chunk once per task while a bounded memo holds it.
+chunks, each distinct chunk once while the worker's bounded memo holds it.
 
 Defined results: NULL or empty text has only the end id; rows with NULL doc_id come
 first and are not in the index (they are read in file order); rows repeating a doc_id
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from ledgerline.settings import checkpoint_dir
 
 from .mph import PerfectHash, fingerprints
-from .shared import table
+from .shared import kept, table
 
 MAGIC = b"LEDGTOK1"
 HEAD = "<8sII"
@@ -92,7 +92,7 @@ def _writer(folder: str, tokenizer_file: str, dtype: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        chunks = _Chunks(Tokenizer.from_file(tokenizer_file), dtype)
+        chunks = kept(("tokens", tokenizer_file, dtype), lambda: _Chunks(Tokenizer.from_file(tokenizer_file), dtype))
         end = np.array([end_id], dtype=dtype).tobytes()
         width = len(end)
         shard = TaskContext.get().partitionId()
