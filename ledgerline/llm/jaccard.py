@@ -181,13 +181,12 @@ def _pairs(postings: DataFrame, key: str, percent: int) -> DataFrame:
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(membership: doc_id, h (hash of the text), n, fp of every row; links: a, b between classes). The links connect
     all classes that links connect; of a long posting list's links only a spanning forest is kept."""
-    members = settle(shingled(docs, size, percent, whole=False), "sets")
+    members = settle(shingled(docs, size, percent, whole=False).withColumn("row", F.monotonically_increasing_id()), "sets")
     rows = members.select("doc_id", "h", "n", "fp")
-    classes = (
-        members.where("fp is not null and doc_id is not null")
-        .groupBy("fp")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-    )
+    # one row stands for its class; only the numbers of these rows are brought together, not the tokens
+    usable = members.where("fp is not null and doc_id is not null")
+    heads = settle(usable.groupBy("fp").agg(F.min(F.struct("doc_id", "row")).alias("k")).select("k.row"), "heads")
+    classes = usable.join(small(heads, heads.count()), "row", "left_semi").select("fp", F.col("doc_id").alias("rep"), "n", "tokens")
     least = F.greatest(F.lit(1), F.floor(F.col("n") / 20))  # s of the screening prefix
     first = settle(_screen(classes, least).select("fp", "n", "rep", F.col("tokens.t").alias("tokens")), "screened", free=True)
     second = settle(_screen(first, least).select("fp", "n", "rep"), "screened", free=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import gc
 import sys
+import time
 import types
 import uuid
 from collections.abc import Callable
@@ -34,15 +35,20 @@ def settle(df: DataFrame, name: str, free: bool = False) -> DataFrame:
 
     ``free``: the shuffles behind ``df`` were large and are not needed again. Spark
     deletes shuffle files when the driver's garbage collector meets their plans, which a
-    driver with little to do puts off, so it is asked to run.
+    driver with little to do puts off, so it is asked to run, once more after the
+    listeners have let go of the finished query.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-llm/{name}-{uuid.uuid4().hex[:12]}"
+    schema = df.schema
     df.write.parquet(path)
     if free:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+        del df
+        for _ in range(2):
+            time.sleep(1)
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
