@@ -234,8 +234,9 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     lengths = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     postings = settle(postings.join(lengths, "key"), "combinations", free=True)
     by_couple = _pairs(postings.where(F.col("c") <= RARE), "key", percent).select("a", "b")
-    pairs = by_token.unionByName(by_couple).distinct()
-    found = [_verified(pairs, sets, percent)]
+    # one after the other, each with its shuffles gone before the next
+    pairs = settle(by_token.unionByName(by_couple).distinct(), "pairs", free=True)
+    out = settle(_verified(pairs, sets, percent), "links", free=True)
 
     bundles = components_of_keys(postings.where(F.col("c") > RARE))
     if bundles is not None:
@@ -250,10 +251,8 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
             "bundle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").alias("side"), "fp", "tokens"
         )
         # the cell (i, i) has its block once: `other` takes the value i once
-        found.append(cells.groupBy("bundle", "i", "j").applyInArrow(_block_links(percent), "a binary, b binary"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
+        dense = cells.groupBy("bundle", "i", "j").applyInArrow(_block_links(percent), "a binary, b binary")
+        out = out.unionByName(settle(dense, "dense-links", free=True))
     return rows, out.distinct()
 
 
