@@ -14,8 +14,8 @@ one offset to the next: constant time, no search. A task that is run again write
 files under another name; only files named in the manifest (a written table of
 one row per shard, from the tasks that succeeded) are ever read.
 
-Texts are encoded by the tokenizers library. Its pre-tokenizer drops white space and
-never joins pieces across it, so a text is encoded in white-space-delimited
+Texts are encoded by the tokenizers library. Where its pre-tokenizer drops white space and
+never joins pieces across it, a text is encoded in white-space-delimited
 chunks, each distinct chunk once while the worker's bounded memo holds it.
 
 Defined results: NULL or empty text has only the end id; rows with NULL doc_id come
@@ -26,6 +26,7 @@ gives an empty manifest; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -52,7 +53,7 @@ END_ID = 2
 _ODD = re.compile("[\x1c-\x1f]")
 #: Latin-1 letters (no change under NFC, simple lower case) followed by ASCII marks other than
 #: the apostrophe: the pre-tokenizer cuts these between the two.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 def _open(uri: str):
@@ -65,21 +66,59 @@ def _open(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the
+    characters from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+def _by_words(tokenizer_file: str) -> bool:
+    """Whether the tokenizer lower-cases, drops white space, cuts letters from marks and then works on bytes."""
+    with open(tokenizer_file, encoding="utf-8") as f:
+        t = json.load(f)
+    norm = [n.get("type") for n in (t.get("normalizer") or {}).get("normalizers", [])]
+    split, *rest = (t.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+    return (
+        norm == ["NFC", "Replace", "Lowercase"]
+        and split.get("behavior") == "Removed" and split.get("invert") is True
+        and split.get("pattern", {}).get("Regex", "").endswith(r"|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        and [r.get("type") for r in rest] == ["ByteLevel"] and not rest[0].get("add_prefix_space")
+        and t["model"]["type"] == "BPE" and not t["model"].get("dropout")
+    )
+
+
 class _Chunks(dict):
-    """Chunk of a text -> its ids as bytes."""
+    """Chunk of a text -> its ids as bytes. Words of plain letters go straight to the library's
+    model, other chunks through all of its steps; a tokenizer of another make gets whole texts."""
+
+    def __init__(self, tokenizer_file: str, dtype: str):
+        from tokenizers import Tokenizer
 
-    def __init__(self, tokenizer, dtype: str):
         super().__init__()
-        self.encode = lambda s: np.array(tokenizer.encode(s, add_special_tokens=False).ids, dtype=dtype).tobytes()
+        tokenizer = Tokenizer.from_file(tokenizer_file)
+        self._whole = not _by_words(tokenizer_file)
+        self._pack = lambda ids: np.array(ids, dtype=dtype).tobytes()
+        self._encode = lambda s: self._pack(tokenizer.encode(s, add_special_tokens=False).ids)
+        model, table_ = tokenizer.model, _byte_letters()
+        self._word = lambda w: self._pack([x.id for x in model.tokenize(w.encode().decode("latin-1").translate(table_))])
 
     def __missing__(self, chunk: str) -> bytes:
         m = _PLAIN.fullmatch(chunk)
-        out = self[chunk] = self[m[1].lower()] + self[m[2]] if m else self.encode(chunk)
+        if m is None:
+            out = self._encode(chunk)
+        elif m[2]:
+            out = self[m[1].lower()] + self[m[2]]
+        else:
+            low = chunk.lower()
+            out = self._word(low) if low == chunk else self[low]
+        self[chunk] = out
         return out
 
     def text(self, s: str) -> bytes:
-        if _ODD.search(s):
-            return self.encode(s)
+        if self._whole or _ODD.search(s):
+            return self._encode(s)
         if len(self) > MEMO:
             self.clear()
         return b"".join(map(self.__getitem__, s.split()))
@@ -90,9 +129,7 @@ def _writer(folder: str, tokenizer_file: str, dtype: str, end_id: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        chunks = kept(("tokens", tokenizer_file, dtype), lambda: _Chunks(Tokenizer.from_file(tokenizer_file), dtype))
+        chunks = kept(("tokens", tokenizer_file, dtype), lambda: _Chunks(tokenizer_file, dtype))
         end = np.array([end_id], dtype=dtype).tobytes()
         width = len(end)
         shard = TaskContext.get().partitionId()
