@@ -63,6 +63,14 @@ def test_emails_and_secrets(spark):
     assert re.fullmatch(r'token = "[0-9a-f]{24}" password=[0-9a-f]{24} x', c) and "hunter2" not in c
 
 
+@pytest.mark.parametrize("after", [". Then", ".", "...", ".\n", ".)", ".5", ". ", ", x", "-x", ""])
+def test_emails_before_a_full_stop(spark, after):
+    a, b, c = run(spark, [f"Write to jane@example.com{after}", f"(jane@mail.example.co.uk{after}", "jane@" + "a." * 40 + f"org{after}"])
+    u = r"u[0-9a-f]{12}@d[0-9a-f]{8}\.example"
+    assert re.fullmatch(rf"Write to {u}{re.escape(after)}", a) and re.fullmatch(rf"\({u}{re.escape(after)}", b)
+    assert re.fullmatch(u + re.escape(after), c) and run(spark, ["jane@example.com"])[0] in a
+
+
 @pytest.mark.parametrize("text", [
     "4111 1111 1111 1112 fails Luhn", "300.1.2.3 and 1.2.3.4.5", "000-12-3456 666-12-3456 123-00-4567", "2023-02-30 and 99/99/2020",
     "plain words, version 3.2 in 2024, 12 of 30", "a@b", "tokens and passwords", "", None,
