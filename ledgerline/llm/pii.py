@@ -3,7 +3,7 @@
 Found and validated: payment card numbers (13 to 19 digits, Luhn), US social
 security numbers, North American phone numbers (any ten digits in that notation), IPv4 addresses, calendar dates
 (``YYYY-MM-DD``, ``DD/MM/YYYY``, ``MM/DD/YYYY``, ``DD.MM.YYYY``), e-mail addresses, and
-secrets after a label such as ``password=`` or ``token: "``.
+secrets of any length from 8 characters after a label such as ``password=`` or ``token: "``.
 
 Each number or date is one point of a product Z_a x Z_b; an alternating Feistel
 network with SHA-256 round functions under a secret key permutes that set, so
@@ -35,7 +35,7 @@ KEY = "change-me"
 ROUNDS = 10
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}+"
-SECRET = r"""(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}+[=:]\s{0,3}+["']?[A-Za-z0-9+/_.-]{8,512}+)"""
+SECRET = r"""(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}+[=:]\s{0,3}+["']?[A-Za-z0-9+/_.-]{8,}+)"""
 IP = r"(?<![0-9])(?<![0-9][.])(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"

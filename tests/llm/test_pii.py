@@ -63,6 +63,13 @@ def test_emails_and_secrets(spark):
     assert re.fullmatch(r'token = "[0-9a-f]{24}" password=[0-9a-f]{24} x', c) and "hunter2" not in c
 
 
+@pytest.mark.parametrize("n", [512, 513, 800, 5000, 200_000])
+def test_long_secrets_are_replaced_whole(spark, n):
+    a, b = (hashlib.sha512(str(n).encode()).hexdigest() * (n // 128 + 1))[:n], "x." * (n // 2)
+    got = run(spark, [f'token: "{a}", api_key={b} end'])[0]
+    assert re.fullmatch(r'token: "[0-9a-f]{24}", api_key=[0-9a-f]{24} end', got)
+
+
 @pytest.mark.parametrize("after", [". Then", ".", "...", ".\n", ".)", ".5", ". ", ", x", "-x", ""])
 def test_emails_before_a_full_stop(spark, after):
     a, b, c = run(spark, [f"Write to jane@example.com{after}", f"(jane@mail.example.co.uk{after}", "jane@" + "a." * 40 + f"org{after}"])
