@@ -23,6 +23,9 @@ from ledgerline.operators import silver as S
 from ledgerline.schemas import BRONZE_SCHEMA, GOLD_TABLES, SILVER_SCHEMA
 from ledgerline.settings import Layout
 from ledgerline.sinks.tables import (
+    _fs,
+    child_dirs,
+    delete_path,
     existing_periods,
     read_periods,
     read_table,
@@ -176,12 +179,22 @@ def transform_silver(
         silver, obs = silver_plan(bronze, todo, run_ts or _utc_now())
         # many months: size the files by month instead of one per task and month
         several = rebalance if rebalance is not None else len(todo) > 1
+        # before: a write that dies half way; after: a Gold refresh that ran meanwhile
+        note_rewritten(spark, layout, todo)
         write_partitioned(silver, layout.silver, fmt=layout.fmt, periods=todo, rebalance=several)
+        note_rewritten(spark, layout, todo)
         metrics = _metrics(obs)
     metrics.skipped_periods, metrics.absent_periods = skipped, absent
     return scan_periods(spark, layout.silver, periods, layout.fmt, SILVER_SCHEMA), metrics
 
 
+def note_rewritten(spark: SparkSession, layout: Layout, periods: list[Period]) -> None:
+    """Note for the next Gold refresh that Silver rows of these months change (one folder a month)."""
+    for y, m in periods:
+        fs, p = _fs(spark, f"{layout.gold_notes}/{y * 100 + m}-{uuid.uuid4().hex}")
+        fs.mkdirs(p)
+
+
 # ---------------------------------------------------------------- Gold
 
 
@@ -216,15 +229,21 @@ def build_gold(
 def refresh_gold_pre(spark: SparkSession, layout: Layout, periods: list[Period]) -> None:
     """Bring the month-partitioned pre-aggregate up to date with Silver.
 
-    Rebuilds the requested months and any month that Silver holds and the
+    Rebuilds the requested months, those ``transform_silver`` noted as rewritten
+    since they were last read, and any month that Silver holds and the
     pre-aggregate does not; months that are gone from Silver are emptied.
     Only those months of Silver are read; which ones is decided from folder names.
+    Notes found at the start are removed once the pre-aggregate is written.
     """
+    notes = child_dirs(spark, layout.gold_notes)
+    noted = {(int(n[:-2]), int(n[-2:])) for n in (name.partition("-")[0] for name in notes) if n.isdigit()}
     silver, pre = stored_periods(spark, layout.silver), stored_periods(spark, layout.gold_pre)
-    todo = sorted((set(periods) & (silver | pre)) | (silver ^ pre))
+    todo = sorted(((set(periods) | noted) & (silver | pre)) | (silver ^ pre))
     if todo:
         rows = scan_periods(spark, layout.silver, todo, layout.fmt, SILVER_SCHEMA)
         write_partitioned(G.pre_aggregate(rows), layout.gold_pre, fmt=layout.fmt, periods=todo)
+    for name in notes:
+        delete_path(spark, f"{layout.gold_notes}/{name}")
 
 
 def write_gold(spark: SparkSession, layout: Layout, *, jdbc: dict | None = None) -> dict[str, DataFrame]:
@@ -294,8 +313,8 @@ def run(
 ) -> dict:
     """Run the chosen layers for a set of months.
 
-    Gold refreshes the months (and any that Silver holds beyond what Gold has
-    seen) and covers every month of Silver afterwards, whatever mix of batch
+    Gold refreshes the months (and any that Silver holds or rewrote beyond what
+    Gold has seen) and covers every month of Silver afterwards, whatever mix of batch
     and streaming runs came before.
 
     Statuses are recorded per layer, with the requested months that had no

@@ -46,6 +46,11 @@ class Layout:
         """Month-partitioned pre-aggregate the Gold tables are rolled up from."""
         return f"{self.root}/gold/_pre_aggregate"
 
+    @property
+    def gold_notes(self) -> str:
+        """Folder names ``YYYYMM-<id>``: months of Silver written since the pre-aggregate read them."""
+        return f"{self.root}/gold/_rewritten_months"
+
 
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")

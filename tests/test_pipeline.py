@@ -6,6 +6,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import pipeline as P
 from ledgerline.schemas import GOLD_TABLES, RAW_COLUMNS
 from ledgerline.settings import Layout
+from ledgerline.sinks.tables import child_dirs
 
 from test_sources_sinks import _land
 
@@ -162,6 +163,60 @@ def test_incremental_gold_matches_full_rebuild(spark, tmp_lake):
     assert inc == full
 
 
+def _gold_equals_silver(spark, lay):
+    stored = {t: sorted(tuple(r) for r in df.collect()) for t, df in P.read_gold(spark, lay).items()}
+    fresh = {t: sorted(tuple(r) for r in df.collect()) for t, df in P.build_gold(spark, lay, write=False).items()}
+    assert stored == fresh and sum(map(len, stored.values())) > 0
+
+
+@pytest.mark.parametrize("refresh", [
+    lambda spark, lay: P.run(spark, lay, [(2023, 2)]),
+    lambda spark, lay: P.build_gold(spark, lay, 1999),
+])
+def test_silver_only_rewrite_reaches_gold(spark, tmp_lake, refresh):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)])
+    _land(lay.landing, "202301", ["202301;PR;7535;CURITIBA;c;70000000001;IVO;7,00"])
+    P.run(spark, lay, [(2023, 1)], layers=("bronze", "silver"))
+    refresh(spark, lay)
+    _gold_equals_silver(spark, lay)
+    assert spark.read.parquet(lay.gold_pre).filter("mes = 1").count() == 1
+    assert child_dirs(spark, lay.gold_notes) == []
+
+
+def test_notes_outlive_a_gold_refresh_that_died(spark, tmp_lake, monkeypatch):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)])
+    _land(lay.landing, "202301", ["202301;PR;7535;CURITIBA;c;70000000001;IVO;7,00"])
+    P.run(spark, lay, [(2023, 1)], layers=("bronze", "silver"))
+    with monkeypatch.context() as m:
+        m.setattr(P.G, "pre_aggregate", lambda rows: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            P.build_gold(spark, lay, 1999)
+    P.build_gold(spark, lay, 1999)
+    _gold_equals_silver(spark, lay)
+
+
+def test_a_refresh_during_a_silver_write_is_made_up_for(spark, tmp_lake, monkeypatch):
+    lay = _lake(spark, tmp_lake)
+    P.run(spark, lay, [(2023, 1), (2023, 2)])
+    _land(lay.landing, "202301", ["202301;PR;7535;CURITIBA;c;70000000001;IVO;7,00"])
+    write = P.write_partitioned
+
+    def meanwhile(df, path, **k):
+        if path == lay.silver:
+            with monkeypatch.context() as m:
+                m.setattr(P, "write_partitioned", write)
+                P.build_gold(spark, lay, 1999)  # still the old rows
+        write(df, path, **k)
+
+    with monkeypatch.context() as m:
+        m.setattr(P, "write_partitioned", meanwhile)
+        P.run(spark, lay, [(2023, 1)], layers=("bronze", "silver"))
+    P.build_gold(spark, lay, 1999)
+    _gold_equals_silver(spark, lay)
+
+
 def test_bronze_with_row_fingerprints(spark, tmp_lake):
     lay = _lake(spark, tmp_lake)
     df = P.ingest_bronze(spark, lay, [(2023, 1), (2023, 2)], file_hash="rows")
