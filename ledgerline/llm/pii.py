@@ -1,6 +1,7 @@
 """Personal data replaced by format-preserving Feistel pseudonyms.
 
-Found and validated: payment card numbers (13 to 19 digits, Luhn), US social
+Found and validated: payment card numbers (Luhn; 13 to 19 digits without separators, or
+grouped by single spaces or hyphens as 4-4-4-4, 4-4-4-4 and 1 to 3, 4-6-5 or 4-6-4), US social
 security numbers, North American phone numbers (any ten digits in that notation), IPv4 addresses, calendar dates
 (``YYYY-MM-DD``, ``DD/MM/YYYY``, ``MM/DD/YYYY``, ``DD.MM.YYYY``), e-mail addresses, and
 secrets of any length from 8 characters after a label such as ``password=`` or ``token: "``.
@@ -26,6 +27,8 @@ other columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +43,12 @@ IP = r"(?<![0-9])(?<![0-9][.])(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])"
-CARD = r"(?<![0-9])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
+# the last group of these is left to what starts there (a phone after a card is not its tail)
+_FREE = f"(?![ -](?:{EMAIL}|{IP}|{DATE}|{SSN}|{PHONE}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}(?![0-9])|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}(?![0-9])))"
+CARD = (
+    r"(?<![0-9])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){3}(?:" + _FREE + r"[ -][0-9]{1,3}(?![0-9]))?"
+    r"|[0-9]{4}[ -][0-9]{6}(?:[ -][0-9]{5}|" + _FREE + r"[ -][0-9]{4}))(?![0-9])"
+)
 KINDS = [("email", EMAIL), ("secret", SECRET), ("ip", IP), ("date", DATE), ("ssn", SSN), ("phone", PHONE), ("card", CARD)]
 ANY = "|".join(p for _, p in KINDS)
 
@@ -107,7 +115,15 @@ def _card(m: Column, key: str) -> Column:
         p = permute("card", F.substr(d, F.lit(1), u), F.substr(d, u + 1, n - u), ten(u), ten(n - u), key)
         return let(let(p, lambda s: F.concat(_pad(s["x"], u), _pad(s["y"], n - u))), with_check)
 
-    return let(_digits(m), lambda d: F.when(luhn(d) == 0, _refill(m, new(d))).otherwise(m))
+    def valid(m: Column, otherwise: Callable[[Column], Column]) -> Column:
+        return let(_digits(m), lambda d: F.when(luhn(d) == 0, _refill(m, new(d))).otherwise(otherwise(m)))
+
+    def shorter(m: Column) -> Column:
+        """Four groups of four before a number that is not part of the card."""
+        tail = F.substr(m, F.lit(20))
+        return F.when(m.rlike("^(?:[0-9]{4}[ -]){4}"), F.concat(valid(F.left(m, F.lit(19)), lambda x: x), tail)).otherwise(m)
+
+    return valid(m, shorter)
 
 
 def _ssn(m: Column, key: str) -> Column:

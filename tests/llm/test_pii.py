@@ -63,6 +63,40 @@ def test_emails_and_secrets(spark):
     assert re.fullmatch(r'token = "[0-9a-f]{24}" password=[0-9a-f]{24} x', c) and "hunter2" not in c
 
 
+def carded(body):
+    return next(body + c for c in "0123456789" if luhn(body + c) == 0)
+
+
+def grouped(digits, sizes, sep):
+    at = [sum(sizes[:i]) for i in range(len(sizes))]
+    return sep.join(digits[i : i + n] for i, n in zip(at, sizes))
+
+
+@pytest.mark.parametrize("sizes", [(4, 6, 4), (4, 4, 4, 4, 1), (4, 4, 4, 4, 2), (4, 4, 4, 4, 3), (4, 6, 5), (4, 4, 4, 4)])
+@pytest.mark.parametrize("sep", [" ", "-"])
+def test_grouped_cards(spark, sizes, sep):
+    plain = carded("3056930902590411380"[: sum(sizes) - 1])
+    a, b, c = run(spark, [f"card {grouped(plain, sizes, sep)}.", plain, f"{grouped(plain, sizes, sep)}, 5 items"])
+    assert plain != b and luhn(b) == 0  # linked whatever the separators
+    assert a == f"card {grouped(b, sizes, sep)}." and c == f"{grouped(b, sizes, sep)}, 5 items"
+
+
+@pytest.mark.parametrize("after", [
+    "212-555-0187", "1 (212) 555-0187", "123-45-6789", "10.1.2.3", "12/31/1999", "12jane@example.com", "4465 7583 8288 9437", "3056 930902 5904",
+])
+def test_what_follows_a_card_is_not_its_tail(spark, after):
+    a, b, c = run(spark, [f"4465 7583 8288 9437 {after}", "4465 7583 8288 9437", after])
+    assert a == f"{b} {c}" and c != after
+    # the first two groups are no card with what follows
+    d, e = run(spark, [f"1234 567890 {after}", after])
+    assert d == f"1234 567890 {e}"
+
+
+def test_a_number_after_a_card_stays(spark):
+    a, b = run(spark, ["4465 7583 8288 9437 738", "4465 7583 8288 9437"])
+    assert luhn("4465758382889437738") and a == f"{b} 738" and b != "4465 7583 8288 9437"
+
+
 @pytest.mark.parametrize("n", [512, 513, 800, 5000, 200_000])
 def test_long_secrets_are_replaced_whole(spark, n):
     a, b = (hashlib.sha512(str(n).encode()).hexdigest() * (n // 128 + 1))[:n], "x." * (n // 2)
