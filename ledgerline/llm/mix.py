@@ -7,7 +7,7 @@ shared again by weight until no target is above (water filling, in closed form
 over the sources sorted by cap / weight).
 
 Every document of a source then expects rate = target / source words copies.
-Documents are ordered by (size, id, hash of the text) within their source; the
+Documents are ordered by (size, id, hash of the text, hash of the other columns) within their source; the
 r-th document is copied once for every integer between (r - 1) * rate + u and
 r * rate + u, u a fixed offset in [0, 1) drawn from the hash of the source. As
 the order is by size, each run of documents of like size is sampled at the same
@@ -61,13 +61,23 @@ def offset(source: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(F.concat(F.lit("s:"), source), F.lit("null")).cast("binary")), 1, 7), 16, 10).cast("double") / F.lit(float(1 << 28))
 
 
+def row_hash(docs: DataFrame, text: str) -> Column:
+    """Hash of the columns other than doc_id and text; NULL counts as a value."""
+    rest = [F.col(c) for c in docs.columns if c not in ("doc_id", text)]
+    return F.xxhash64(*[x for c in rest for x in (c.isNull(), c)])
+
+
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "text") -> DataFrame:
-    """One row per document: ``key`` (struct of doc_id and a text hash), doc_id,
-    source, size, source_size, target, copies."""
+    """One row per document: doc_id, text_hash, source, size, source_size, target, copies."""
+    return _mix(docs, share, cap, text).drop("row_hash")
+
+
+def _mix(docs: DataFrame, share: float, cap: float, text: str) -> DataFrame:
+    """``mix`` with ``row_hash``, which tells rows of one id and text apart."""
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.col("source").alias("source"), n_words(text).alias("size"), F.xxhash64(text).alias("text_hash"))
+    rows = docs.select("doc_id", F.col("source").alias("source"), n_words(text).alias("size"), F.xxhash64(text).alias("text_hash"), row_hash(docs, text).alias("row_hash"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("text_hash")]
+    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("doc_id"), F.col("text_hash"), F.col("row_hash")]
     ranged = settle(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "mix")
     counts = ranged.groupBy("source", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     counts = settle(counts, "mix-counts")
@@ -75,7 +85,7 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "text
     ahead = counts.select("source", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
     goal = targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")), share, cap)
     ahead = ahead.alias("a").join(goal.alias("g"), F.col("a.source").eqNullSafe(F.col("g.source"))).select("a.source", "part", "ahead", "source_size", "target")
-    within = Window.partitionBy("part", "source").orderBy("size", "doc_id", "text_hash")
+    within = Window.partitionBy("part", "source").orderBy("size", "doc_id", "text_hash", "row_hash")
     ranked = ranged.withColumn("r", F.row_number().over(within))
     full = ranked.alias("r").join(
         ahead.alias("a"), F.col("r.source").eqNullSafe(F.col("a.source")) & (F.col("r.part") == F.col("a.part"))
@@ -86,24 +96,24 @@ def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "text
     u = offset(F.col("r.source"))
     copies = F.floor(rank * rate + u) - F.floor((rank - 1) * rate + u)
     copies = F.greatest(F.lit(0), F.least(copies, F.lit(int(cap))))
-    return full.select("doc_id", "text_hash", F.col("r.source").alias("source"), "size", "source_size", "target", copies.cast("long").alias("copies"))
+    return full.select("doc_id", "text_hash", "row_hash", F.col("r.source").alias("source"), "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
 def emit(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "text") -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken (0 to ``cap`` times)."""
-    taken = mix(docs, share, cap, text).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    taken = _mix(docs, share, cap, text).groupBy("doc_id", "text_hash", "row_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     taken = settle(taken, "taken")
-    rows = docs.withColumn("__h", F.xxhash64(text))
+    rows = docs.withColumn("__h", F.xxhash64(text)).withColumn("__r", row_hash(docs, text))
 
     def copied(part: DataFrame, of: DataFrame) -> DataFrame:
-        part = part.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__k"), "copies")
+        part = part.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__k"), F.col("row_hash").alias("__o"), "copies")
         part = small(part, part.count()).withColumnRenamed("copies", "__copies")
-        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k"))
+        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k")) & (F.col("__r") == F.col("__o"))
         met = of.join(part, same).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         return met.select(*docs.columns)
 
-    # rows that repeat id and text are brought together and emitted as often as all of them are taken
-    return copied(taken.where("rows = 1"), rows).unionByName(copied(taken.where("rows > 1"), rows.dropDuplicates(["doc_id", "__h"])))
+    # rows equal in every column are brought together and emitted as often as all of them are taken
+    return copied(taken.where("rows = 1"), rows).unionByName(copied(taken.where("rows > 1"), rows.dropDuplicates(["doc_id", "__h", "__r"])))
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

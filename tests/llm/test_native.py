@@ -1,6 +1,7 @@
 """Mixing, URL filters and quality rules: oracle SQL and edge cases."""
 
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,28 @@ def test_taken_words_come_near_the_targets_and_reruns_agree(spark):
         assert math.isclose(taken, target, rel_tol=0.03, abs_tol=100)
 
 
+def test_emit_tells_rows_of_one_id_and_text_apart(spark):
+    # the same ids and texts under three sources; within one, rows that differ in lang only, repeated or NULL
+    rows = [(i, "one two three", lang, s) for i in (1, 2, None) for s in ("a", "b", None) for lang in ("de", "en", "en", None)]
+    rows += [(100 + i, "w " * (1 + i % 5), "en", s) for i in range(30) for s in ("a", "b", "c")]
+    df = docs(spark, rows)
+    taken, want = {}, Counter()
+    for r in mix.mix(df).collect():
+        want[(r["source"], r["doc_id"], r["size"])] += r["copies"]
+        taken[r["source"]] = taken.get(r["source"], 0) + r["copies"] * r["size"]
+    out = mix.emit(df).collect()
+    got = Counter((r["source"], r["doc_id"], len(r["text"].split())) for r in out)
+    assert got == +want
+    words = Counter()
+    for r in out:
+        words[r["source"]] += len(r["text"].split())
+    assert words == +Counter(taken)
+    # no row more than twice as often as it occurs, and the same rows whatever the order of the input
+    have, rest = Counter(tuple(r) for r in df.collect()), Counter(tuple(r) for r in out)
+    assert all(n <= 2 * have[k] for k, n in rest.items())
+    assert Counter(tuple(r) for r in mix.emit(docs(spark, rows[::-1]).repartition(5)).collect()) == rest
+
+
 def test_mix_edge_cases(spark):
     rows = [(1, None, None, "a"), (2, "", None, "a"), (3, "x y", None, None), (3, "x y", None, None), (None, "z", None, "")]
     df = docs(spark, rows).withColumn("size", F.lit(9)).withColumn("target", F.lit(9))
