@@ -11,9 +11,9 @@ that starts last at or before the point, or intervals around that one.
 point takes the last interval start before it (within its partition by a window,
 else carried in from the partitions before) with that interval's stack of
 enclosing intervals, and the ones the point has left are popped. One sweep
-over hosts finds the active host rules, a second over (host, path) their path
-rules. URLs are first reduced to distinct (host, path) pairs, so a page, host or
-URL that occurs very often is swept once. All of it is DataFrame code.
+over distinct hosts finds the active host rules, a second over distinct (host, path) pairs
+their path rules, so a page, host or URL that occurs very often is swept once, and the
+paths of one host spread over many ranges. All of it is DataFrame code.
 
 Defined results: url NULL or without ``://``: host and path empty, no rule fits.
 No rule fits: rule NULL, verdict ``default``. Rules with NULL or empty host or NULL
@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import settle, table
+from .shared import settle, small, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -85,7 +85,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     rules = rules.withColumn("host_key", host_key(F.col("host")))
     url = F.col("url")
     parsed = pages.select("page_id", host(url).alias("host"), path(url).alias("path"))
-    distinct = parsed.where("host <> ''").select("host", "path").distinct()
+    named = parsed.where("host <> ''")
+    distinct = named.select("host", "path").distinct()
 
     # the labels of a host are at most 127, so a stack of hosts is short
     labels = F.split(F.expr("rule.host_key"), r"\.")
@@ -94,7 +95,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         F.col("host_key"),
         F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda i: F.concat(F.array_join(F.slice(labels, 1, i), "."), F.lit("."))),
     )
-    on_host = sweep(distinct.withColumn("key", host_key(F.col("host"))), hosts)
+    on_host = sweep(named.select("host").distinct().withColumn("key", host_key(F.col("host"))), hosts)
+    ruled = settle(on_host.where(F.size("active") > 0).select("host", F.explode("active.key").alias("at")), "ruled-hosts")
     nul = F.lit("\0")
     paths = _stacks(
         rules,
@@ -105,7 +107,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
         ),
     )
     on_path = sweep(
-        on_host.select("host", "path", F.explode("active.key").alias("at")).select("host", "path", F.concat("at", nul, "path").alias("key")),
+        distinct.join(small(ruled, ruled.count()), "host").select("host", "path", F.concat("at", nul, "path").alias("key")),
         paths,
     )
     found = on_path.where(F.size("active") > 0).withColumn("r", F.try_element_at("active", F.lit(-1)))

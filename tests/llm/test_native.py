@@ -114,6 +114,20 @@ def test_url_parts_and_edge_cases(spark):
     assert {r["verdict"] for r in urls.judge(df, rules.limit(0)).collect()} == {"allow"}
 
 
+@pytest.mark.parametrize("limit", [500_000, 0])
+def test_a_hot_host_is_swept_once(spark, monkeypatch, limit):
+    swept, sweep, small = [], urls.sweep, getattr(urls, "small", None)
+    monkeypatch.setattr(urls, "sweep", lambda points, intervals: swept.append(points) or sweep(points, intervals))
+    if small:
+        monkeypatch.setattr(urls, "small", lambda df, rows: small(df, rows, limit))
+    pages = [(i, f"http://www.example.net/{'en' if i % 2 else 'de'}/{i}") for i in range(400)] + [(1000 + i, f"http://h{i % 9}.org/fr/{i}") for i in range(50)]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(urls.RULES, "host string, path string, verdict string")).collect()
+    assert swept[0].count() == 10 and swept[1].count() == 400 * 2 + 50
+    assert len(got) == 450
+    for r in got:
+        assert (r["rule"], r["verdict"]) == brute_rule(r["host"], r["path"], urls.RULES), r
+
+
 # ---- quality rules
 
 
