@@ -1,12 +1,12 @@
-"""Removal of repeated byte strings (the suffix-array criterion) by prefix doubling.
+"""Removal of repeated byte strings (the suffix-array criterion) by anchors and fingerprints.
 
 A byte is removed if it is covered by a 200-byte string that starts anywhere else
-too. A suffix array answers that by the ranks of all positions at length 200;
-prefix doubling gets them from rank pairs at growing offsets and lays aside
-positions whose rank has become unique. Two things keep the number of ranked positions
-small, without losing any repeat:
+too. A suffix array, or prefix doubling, answers that by the ranks of all positions at
+length 200. Neither is built here: only equality is asked for, so 200-byte strings are
+compared by fingerprints, in one round. Two things keep the number of fingerprinted
+positions small, without losing any repeat:
 
-* First ranks (64 bytes) are taken only at anchors: of the 137 64-byte strings
+* Hashes of 64 bytes are taken only at anchors: of the 137 64-byte strings
   that start in a 200-byte string, the leftmost of those with the smallest hash. Equal 200-byte
   strings have equal anchors at the same offset, so all starts whose anchor is unique are
   unique themselves. A run is the consecutive starts that share an anchor.
@@ -15,11 +15,11 @@ small, without losing any repeat:
   contexts one of the copies stands for all.
 
 Only starts of runs that have the anchor but not the context in common with others are
-ranked singly, by the pair (rank of 100 bytes at i, rank of 100 bytes at
-i + 100). Ranks are 64-bit names of the strings (equal names for equal strings).
-Spark shuffles and groups by rank in each round and joins the counts back, with
-partial aggregation before each shuffle and joins that AQE can split. In the last
-round the contexts of one anchor meet in a task, many anchors at once. An anchor with
+compared singly, by the pair (hash of 100 bytes at i, hash of 100 bytes at
+i + 100), called a rank pair below. The 64-bit hashes are read from the text (equal
+for equal strings), not ranks of an earlier round. Spark shuffles and groups by anchor,
+context and pair and joins the counts back, with partial aggregation before each shuffle
+and joins that AQE can split. In the last step the contexts of one anchor meet in a task, many anchors at once. An anchor with
 more than ``TOGETHER`` contexts, such as one at the edge of a passage that very many
 documents hold, is dealt out by salt: each share settles the rank pairs that repeat
 within it, and only its other pairs and one of each repeated kind go on to be
