@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .conversations import op11_repair
 from .jaccard import OP4_SQL, op4_jaccard
 from .langid import op2_language
+from .lines import OP13_SQL, op13_lines
 from .mix import OP8_SQL, op8_mix
 from .pieces import op3_pieces
 from .pii import op7_pii
@@ -30,6 +32,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mix": op8_mix,
         "op9_url_filter": op9_url_filter,
         "op10_quality": op10_quality,
+        "op11_repair": op11_repair,
+        "op13_lines": op13_lines,
     }
 
 
@@ -40,4 +44,5 @@ def oracle_queries() -> dict[str, str]:
         "op8_mix": OP8_SQL,
         "op9_url_filter": OP9_SQL,
         "op10_quality": OP10_SQL,
+        "op13_lines": OP13_SQL,
     }

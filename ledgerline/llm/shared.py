@@ -72,6 +72,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` does not have (compared without case), one for each of ``names``."""
+    taken = {c.lower() for c in df.columns}
+    tail = "_"
+    while any(n + tail in t for n in names for t in taken):
+        tail += "_"
+    return [n + tail for n in names]
+
+
 def n_words(text: str | Column = "text") -> Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
