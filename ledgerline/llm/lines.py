@@ -101,7 +101,7 @@ OP13_SQL = r"""
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), l AS (
-  SELECT doc_id, rid, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS at FROM d
+  SELECT doc_id, rid, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d
 ), k AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
@@ -110,7 +110,7 @@ WITH d AS (
 ), m AS (
   SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.last AS gone FROM k LEFT JOIN s ON k.key = s.key
 )
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM m GROUP BY rid, doc_id
 """
