@@ -11,6 +11,7 @@ from .jaccard import OP4_SQL, op4_jaccard
 from .langid import op2_language
 from .lines import OP13_SQL, op13_lines
 from .mix import OP8_SQL, op8_mix
+from .phrases import OP12_SQL, op12_phrases
 from .pieces import op3_pieces
 from .pii import op7_pii
 from .quality import OP10_SQL, op10_quality
@@ -33,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": op9_url_filter,
         "op10_quality": op10_quality,
         "op11_repair": op11_repair,
+        "op12_phrases": op12_phrases,
         "op13_lines": op13_lines,
     }
 
@@ -44,5 +46,6 @@ def oracle_queries() -> dict[str, str]:
         "op8_mix": OP8_SQL,
         "op9_url_filter": OP9_SQL,
         "op10_quality": OP10_SQL,
+        "op12_phrases": OP12_SQL,
         "op13_lines": OP13_SQL,
     }

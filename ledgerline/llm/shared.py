@@ -27,8 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+def settle(df: DataFrame, name: str, free: bool = False, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return a reader of it.
+    ``by``: a column that folders are made for, so a filter on it reads only its own.
 
     Cuts the lineage with files every executor can read, so a lost executor costs
     no recomputation; unlike ``checkpoint()`` the columns can be read singly.
@@ -41,14 +42,25 @@ def settle(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/ledgerline-llm/{name}-{uuid.uuid4().hex[:12]}"
     schema = df.schema
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     if free:
         del df
         for _ in range(2):
             time.sleep(1)
             gc.collect()
             spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out.settled_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete settled tables that no later step reads (other frames are left alone)."""
+    for df in tables:
+        path = getattr(df, "settled_at", None)
+        if path:
+            p = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -58,12 +70,20 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def kept(key: tuple, make: Callable[[], object]) -> object:
-    """``make()``, once per Python worker process: Spark reuses workers for later tasks, which
-    then find tables and bounded memos as the tasks before left them."""
+    """``make()``, kept in the Python worker for its next tasks; ``key`` must name the content. A worker
+    keeps one value: another key, or ``release``, lets go of the one before."""
     state = sys.modules.setdefault("_ledgerline_kept", types.ModuleType("_ledgerline_kept")).__dict__
-    if key not in state:
-        state[key] = make()
-    return state[key]
+    if state.get("key") != key:
+        release()
+        state["value"] = make()
+        state["key"] = key
+    return state["value"]
+
+
+def release() -> None:
+    """Let go of what earlier tasks of this Python worker kept (for tasks that need the memory themselves)."""
+    if "_ledgerline_kept" in sys.modules:
+        sys.modules["_ledgerline_kept"].__dict__.update(key=None, value=None)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
