@@ -280,6 +280,11 @@ def oracle_queries() -> dict[str, str]:
         SELECT 'silver_retention', s / b, s / b >= CAST({RETENTION_THRESHOLD} AS DOUBLE) FROM counts WHERE b > 0
         UNION ALL {gold_rows}"""
     q["bronze_csv_roundtrip"] = f"{RAW_BASE} SELECT {RAW_COLS} FROM feed"
+    broken = RAW_COLS.replace(
+        "NOME_FAVORECIDO",
+        "CASE WHEN VALOR_PARCELA LIKE '%7' THEN replace(NOME_FAVORECIDO, '#', ';\"' || chr(10)) ELSE NOME_FAVORECIDO END AS NOME_FAVORECIDO",
+    )
+    q["bronze_quoted_newlines"] = f"{RAW_BASE} SELECT {broken}, {_FEED_PERIOD} FROM feed"
     q["bronze_audit"] = (
         f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD}, TRUE AS has_file_hash, TRUE AS has_source, "
         "TRUE AS has_file_name FROM feed"

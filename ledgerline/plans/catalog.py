@@ -238,6 +238,16 @@ def q_bronze_csv_roundtrip(spark, sf):
     return R.read_landing(spark, landed(spark, sf)).select(*RAW_COLUMNS)
 
 
+def q_bronze_quoted_newlines(spark, sf):
+    """Names of some payments hold a separator, a quote and a line break."""
+    path = work_dir(spark) + "/landing"
+    name = F.col("NOME_FAVORECIDO")
+    broken = F.when(F.col("VALOR_PARCELA").endswith("7"), F.replace(name, F.lit("#"), F.lit(';"\n'))).otherwise(name)
+    R.write_landing(feed(spark, sf).withColumn("NOME_FAVORECIDO", broken), path)
+    lay = Layout(root=work_dir(spark), landing_dir=path)
+    return P.ingest_bronze(spark, lay, all_periods(spark, path)).select(*RAW_COLUMNS, "ano", "mes")
+
+
 def q_bronze_audit(spark, sf):
     landing = landed(spark, sf)
     raw = R.read_landing(spark, landing)
@@ -418,6 +428,7 @@ def queries() -> dict[str, Query]:
         {
             "dq_report": q_dq_report,
             "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
+            "bronze_quoted_newlines": q_bronze_quoted_newlines,
             "bronze_audit": q_bronze_audit,
             "bronze_mixed_layouts": q_bronze_mixed_layouts,
             "bronze_schema_evolution": q_bronze_schema_evolution,

@@ -72,7 +72,7 @@ def ingest_bronze(
     run_ts: _dt.datetime | None = None,
     source_label: str | None = None,
     file_hash: str | bool | None = "rows",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     rebalance: bool = False,
 ) -> DataFrame:
     """Land the requested months into Bronze and return their Bronze rows.
@@ -306,7 +306,7 @@ def run(
     overwrite: bool = True,
     raise_on_error: bool = True,
     file_hash: str | bool | None = "rows",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     source_label: str | None = None,
     rebalance: bool | None = None,
     jdbc: dict | None = None,

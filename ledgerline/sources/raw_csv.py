@@ -7,18 +7,21 @@ inference (every column a string). The folder name carries the period, so
 ``ano``/``mes`` of a Bronze row are the period it was delivered for (as in a
 per-month download), and asking for some months prunes the file listing.
 
-Every landed file is bound by its own header: the first line of each file
-is read, its names are canonicalised (strip + upper), and files that share a
-layout are read together; layouts are then united by name. A file that lacks a
-required column is refused by name. Extra columns are kept (NULL in files
-without them).
+Every landed file is bound by its own header. One Spark job over the files' lines
+finds each file's first line and whether a quoted value of it holds a line break; only the
+distinct headers (and, for a faulty one, the name of one file) come to the
+driver. Names are canonicalised (strip + upper); a file that lacks a required column is
+refused by name. Files of several layouts are read in one scan by position, and a column is
+taken from where its file has it. Extra columns are kept (NULL in files without them).
+Files with line breaks inside quoted values are read by ``quoted.read_records``, which keeps
+them splittable; the others by the CSV scan.
 """
 
 from __future__ import annotations
 
 import csv
 import datetime as _dt
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,17 +29,17 @@ from pyspark.sql import types as T
 
 from ledgerline.functions import canonical_header
 from ledgerline.schemas import RAW_COLUMNS
+from ledgerline.sources import quoted as Q
 
 PERIOD_DIR = "competencia"
 FILE_PATH = "__file_path"  # path of the file a raw row came from
-# Headers are read this many files at a time (one small read per file; a month
-# is delivered as one or a few files).
-HEADER_READERS = 16
+# Files whose facts (path, layout) a broadcast may hold, about 200 bytes each.
+BROADCAST_FILES = 100_000
 
 
 def csv_options(encoding: str = "ISO-8859-1", multi_line: bool = False) -> dict[str, str]:
     """Reader options of the payment file. ``multi_line=True`` accepts quoted
-    newlines but makes each file one task; the default keeps files splittable."""
+    newlines and makes each file one task."""
     return {
         "sep": ";",
         "header": "true",
@@ -75,43 +78,30 @@ def check_header(columns: list[str], required: list[str] | None = None, file: st
     return canon
 
 
-def data_files(spark: SparkSession, dirs: list[str]) -> list[str]:
-    """Data files directly in ``dirs`` (Spark skips ``_`` and ``.`` files, and so does this)."""
-    from ledgerline.sinks.tables import _fs
+def header_names(line: str, file: str) -> list[str]:
+    """Canonical column names of a header line."""
+    row = next(csv.reader([line.lstrip("\ufeff").rstrip("\r")], delimiter=";", quotechar='"'), [])
+    return check_header(row, file=file)
 
-    out = []
-    for d in dirs:
-        fs, p = _fs(spark, d)
-        for st in fs.listStatus(p):
-            if st.isFile() and st.getLen() > 0 and not st.getPath().getName().startswith(("_", ".")):
-                out.append(st.getPath().toString())
-    return sorted(out)
-
-
-def first_line(spark: SparkSession, path: str, encoding: str) -> str:
-    from ledgerline.sinks.tables import _fs
-
-    jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, path)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
 
+def file_facts(lines: DataFrame, encoding: str, breaks: bool) -> DataFrame:
+    """(path, header, spans) of every file with a line: its first line, and (with ``breaks``) whether a quoted
+    value of it goes on in another line. One pass; a row per file and task is shuffled."""
+    text = F.decode(Q.LINE, encoding).alias("line")
+    first = F.when(F.col(Q.START) == 0, F.col("at"))
+    # the set makes Spark aggregate rows in a hash table of objects; strings alone would be sorted
+    spans = F.collect_set(F.when(Q.ends_inside(F.rtrim("line", F.lit("\r"))) if breaks else F.lit(False), F.lit(True)))
+    return (
+        lines.select(FILE_PATH, Q.START, text, F.monotonically_increasing_id().alias("at"))
+        .groupBy(F.col(FILE_PATH).alias("path"))
+        .agg(F.min_by("line", first).alias("header"), (F.size(spans) > 0).alias("spans"))
+    )
 
-def layouts(spark: SparkSession, files: list[str], encoding: str = "ISO-8859-1") -> dict[tuple[str, ...], list[str]]:
-    """Files by their header's canonical column names in file order."""
-    def header(path: str) -> tuple[str, ...]:
-        line = first_line(spark, path, encoding).lstrip("\ufeff")
-        row = next(csv.reader([line], delimiter=";", quotechar='"'), [])
-        return tuple(check_header(row, file=path))
 
-    out: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, names in zip(files, pool.map(header, files)):
-            out.setdefault(names, []).append(path)
-    return out
+def layouts(facts: DataFrame) -> dict[str, list[str]]:
+    """Header line -> canonical column names, of the distinct header lines of ``facts``."""
+    found = facts.groupBy("header").agg(F.min("path").alias("path")).orderBy("path").collect()
+    return {r["header"]: header_names(r["header"] or "", r["path"]) for r in found}
 
 
 def period_filter(periods: list[tuple[int, int]] | None):
@@ -125,37 +115,76 @@ def read_raw(
     path: str | list[str],
     *,
     encoding: str = "ISO-8859-1",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     base: str | None = None,
 ) -> DataFrame:
     """All-string rows of the files in the folders ``path`` with canonical names.
 
+    ``multi_line``: None (default) finds out which files have line breaks inside quoted
+    values and reads those in ranges too (``quoted``); True reads every file in one task; False
+    takes every line for a record, for files known to have none (a broken value then costs rows).
+    ``encoding``: one in which a line feed, a quote and a semicolon are single bytes.
+
     The month folder (``competencia=...``) below ``base`` comes back as the last
     column, from the file's path. Columns: the contract's, then any extra ones
     by name.
     """
     dirs = [path] if isinstance(path, str) else path
-    by_layout = layouts(spark, data_files(spark, dirs), encoding)
-    extra = sorted({c for names in by_layout for c in names} - set(RAW_COLUMNS))
-    names = [*RAW_COLUMNS, *extra]
     month = T.StructField(PERIOD_DIR, T.IntegerType())
-    out = None
-    for layout, files in sorted(by_layout.items()):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in layout])
-        reader = spark.read.options(**csv_options(encoding, multi_line))
-        if base is not None:
-            reader, schema = reader.option("basePath", base), schema.add(month)
-        # one layout: the folders name its files
-        part = reader.schema(schema).csv(dirs if len(by_layout) == 1 else files)
-        columns = [F.col(c) if c in layout else F.lit(None).cast("string").alias(c) for c in names]
-        tail = [F.col(PERIOD_DIR)] if base is not None else []
-        # _metadata does not outlive a union: what the audit needs goes along
-        part = part.select(*columns, *tail, F.col("_metadata.file_path").alias(FILE_PATH))
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    tail = [PERIOD_DIR, FILE_PATH] if base is not None else [FILE_PATH]
+    if not dirs:
         fields = [T.StructField(c, T.StringType()) for c in RAW_COLUMNS] + ([month] if base is not None else [])
         return spark.createDataFrame([], T.StructType([*fields, T.StructField(FILE_PATH, T.StringType())]))
-    return out
+    lines = Q.read_lines(spark, dirs, FILE_PATH, base, month)
+    facts = _written(file_facts(lines, encoding, breaks=multi_line is None))
+    by_header = layouts(facts)
+    names = [*RAW_COLUMNS, *sorted({c for n in by_header.values() for c in n} - set(RAW_COLUMNS))]
+    width = max(map(len, by_header.values()), default=len(RAW_COLUMNS))
+    n_files, n_spans = facts.agg(F.count("*"), F.coalesce(F.sum(F.col("spans").cast("int")), F.lit(0))).first()
+    kinds = sorted(set(map(tuple, by_header.values())))
+    short = facts if n_files > BROADCAST_FILES else F.broadcast(facts)
+    kind = F.coalesce(*(F.when(F.col("header") == h, F.lit(kinds.index(tuple(n)))) for h, n in by_header.items())) if by_header else F.lit(0)
+    place = short.select(F.col("path").alias(FILE_PATH), "spans", kind.alias("__kind"))
+
+    positions = [f"__c{i}" for i in range(width)]
+    ddl = ", ".join(f"{c} string" for c in positions)
+
+    def bound(rows: DataFrame, mixed: bool) -> DataFrame:
+        """Columns by name, from the position each row's layout (``__kind``) has them at."""
+        out = []
+        for c in names:
+            at = [(k, n.index(c)) for k, n in enumerate(kinds) if c in n]
+            value = F.lit(None).cast("string")
+            for k, i in at:
+                value = F.when(F.col("__kind") == k, F.col(positions[i])).otherwise(value) if mixed else F.col(positions[i])
+            out.append(value.alias(c))
+        return rows.select(*out, *tail)
+
+    reader = spark.read.options(**csv_options(encoding, bool(multi_line)))
+    if base is not None:
+        reader = reader.option("basePath", base)
+    plain = reader.schema(f"{ddl}, {PERIOD_DIR} int" if base is not None else ddl).csv(dirs)
+    plain = plain.select(*positions, *tail[:-1], F.col("_metadata.file_path").alias(FILE_PATH))
+    mixed = len(kinds) > 1
+    if mixed or n_spans:
+        plain = plain.join(place, FILE_PATH)
+    if not n_spans:
+        return bound(plain, mixed)
+    broken = F.broadcast(place.where("spans").select(FILE_PATH)) if n_files <= BROADCAST_FILES else place.where("spans").select(FILE_PATH)
+    records = Q.read_records(lines.join(broken, FILE_PATH, "left_semi"), FILE_PATH, encoding)
+    parsed = F.from_csv(Q.LINE, ddl, csv_options(encoding))
+    records = records.select(parsed.alias("r"), *tail).select("r.*", *tail).join(place, FILE_PATH)
+    return bound(plain.where("NOT spans"), mixed).unionByName(bound(records, mixed))
+
+
+def _written(facts: DataFrame) -> DataFrame:
+    """``facts`` as a table in the shared folder: a row per file, used by several plans."""
+    from ledgerline.settings import work_dir
+
+    path = work_dir(facts.sparkSession, f"files-{uuid.uuid4().hex[:12]}")
+    schema = facts.schema
+    facts.write.mode("overwrite").parquet(path)
+    return facts.sparkSession.read.schema(schema).parquet(path)
 
 
 def landed_periods(spark: SparkSession, landing: str) -> list[tuple[int, int]]:
@@ -195,7 +224,7 @@ def read_landing(
     periods: list[tuple[int, int]] | None = None,
     *,
     encoding: str = "ISO-8859-1",
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Raw rows of the requested months (all months when ``periods`` is None),
     with the file's period and path as the last two columns."""

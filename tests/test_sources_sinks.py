@@ -187,7 +187,7 @@ def test_jdbc_options_truncate():
     assert opts["truncate"] == "true" and opts["dbtable"] == "gold.t"
 
 
-def test_quoted_newline_needs_multiline(spark, tmp_lake):
+def test_quoted_newline_in_one_task(spark, tmp_lake):
     land = tmp_lake + "/landing"
     _land(land, "202301", ['202301;SP;1;"SAO\nPAULO";c;1;N;10,00', "202301;RJ;2;RIO;c;2;N;20,00"])
     df = R.read_landing(spark, land, multi_line=True)
