@@ -13,8 +13,9 @@ seeded by language) and count them; a bitmap of fixed size per length (a few MB,
 the corpus) leaves out most phrases with an inactive subphrase, and a join of the
 counts with the table of the phrases that reached the threshold decides exactly and gives
 the step each phrase became active. Steps write their counts; the table of
-reached phrases is an aggregation over the last circle of them. At the end the texts of the
-phrases that stay are read from the corpus in one more scan.
+reached phrases is an aggregation over the last circle of them, of the phrases that one of
+its steps counted threshold / shards times (no other can have reached it). At the end the texts of the
+phrases that stay are looked up in the corpus, in growing parts of it.
 
 All results are per language. Scores are integers by decimal arithmetic of 38 digits. The best
 phrases of a language are picked per salted part first, so no task sorts a language.
@@ -26,6 +27,7 @@ columns, whatever their names, are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -40,8 +42,10 @@ from .shared import forget, release, settle, small, table
 
 THRESHOLD = 30
 LONGEST = 4
-SHARDS = 4
-BITMAP = 25  # bits of a hash that pick its place: 4 MB a bitmap
+SHARDS = 3
+BITMAP = 24  # bits of a hash that pick its place: 2 MB a bitmap
+NARROW_ROWS = 2_000_000  # rows of two numbers that a broadcast may hold (about 50 MB); beyond it the join shuffles
+ROUNDS = (0, 1, 8, 64, 512)  # parts of the corpus, in 512ths, that are searched for spellings one after the other
 _FLUSH = 1 << 20
 SCORE = "(CAST(2000000 AS DECIMAL(19,0)) * CAST(a AS DECIMAL(19,0))) div (CAST(l AS DECIMAL(20,0)) + CAST(r AS DECIMAL(20,0)))"
 _SALT = 32
@@ -219,11 +223,14 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
     """(phrases: k, lang, phrase, f of every word and phrase of up to ``longest`` words that occurs ``threshold``
     times or more; totals: lang, n words) of ``docs`` (lang, text)."""
     spark = docs.sparkSession
-    dealt = docs.select("lang", "text", F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
-    corpus = settle(dealt, "shards", by="shard")
+    row = F.monotonically_increasing_id()
+    slot = F.floor(row / shards) % ROUNDS[-1]
+    corpus = settle(docs.select("lang", "text", slot.cast("int").alias("slot"), (row % shards).cast("int").alias("shard")), "shards", by="shard")
     reached, n_reached = spark.createDataFrame([], "k int, h long, reach int"), 0
     last = {0: 0}  # the last step at which a phrase of k words reached the threshold (words are active from the start)
     steps: list[DataFrame] = []
+    often: list[DataFrame] = []  # phrases counted so often in one step that they may have reached the threshold in a circle
+    n_often: list[int] = []
     step = 0
     while True:
         lengths = [k for k in range(1, longest + 1) if k - 1 in last and step <= last[k - 1] + shards - (k == 1)]
@@ -233,7 +240,7 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
         inner = reached.where(F.col("k").isin([k - 1 for k in lengths]))
         bitmaps = spark.sparkContext.broadcast(_bitmaps(inner, f"reach >= {step - shards}") if max(lengths) > 1 else {})
         rows = corpus.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_count(lengths, bitmaps), COUNTS)
-        known = small(reached.select("h", "reach"), n_reached)
+        known = small(reached.select("h", "reach"), n_reached, NARROW_ROWS)
         sides = [known.select(F.col("h").alias(s), F.col("reach").alias(f"{s}_reach")) for s in ("left", "right")]
         active = F.when(F.col("k") > 1, F.greatest("left_reach", "right_reach") + 1).otherwise(F.lit(0))
         both = F.col("left_reach").isNotNull() & F.col("right_reach").isNotNull()
@@ -244,38 +251,53 @@ def frequent(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST
         )
         steps.append(settle(counted, "counts"))
         bitmaps.destroy()
-        # counts of the last circle: older ones are of phrases whose circle is over
-        circle = steps[max(0, step - shards + 1)]
-        for more in steps[max(0, step - shards + 1) + 1 :]:
-            circle = circle.unionByName(more)
-        old = reached.select("k", "h", F.lit(0).cast("long").alias("c"), "reach")
-        sums = circle.where("k > 0").select("k", "h", "c", F.lit(None).cast("int").alias("reach")).unionByName(old)
-        sums = sums.groupBy("k", "h").agg(F.sum("c").alias("c"), F.min("reach").alias("reach"))
-        before, reached = reached, settle(
-            sums.where((F.col("c") >= threshold) | F.col("reach").isNotNull()).select("k", "h", F.coalesce("reach", F.lit(step)).alias("reach")), "reached"
-        )
+        # the last circle's counts (older ones are of phrases whose circle is over) of the phrases that one
+        # of its steps counted threshold / shards times: others cannot have reached the threshold
+        often.append(settle(steps[-1].where((F.col("k") > 0) & (F.col("c") * shards >= threshold)).select("h"), "often"))
+        n_often.append(often[-1].count())
+        at = slice(max(0, step - shards + 1), step + 1)
+        circle = union(steps[at]).where("k > 0").join(small(union(often[at]), sum(n_often[at]), NARROW_ROWS), "h", "left_semi")
+        new = circle.groupBy("k", "h").agg(F.sum("c").alias("c")).where(F.col("c") >= threshold).select("k", "h", F.lit(step).alias("reach"))
+        before, reached = reached, settle(reached.unionByName(new).groupBy("k", "h").agg(F.min("reach").alias("reach")), "reached")
         n_reached = 0
         for k, at, n in reached.groupBy("k").agg(F.max("reach"), F.count("*")).collect():
             last[k] = at
             n_reached += n
         forget(before)
         step += 1
-    every = steps[0]
-    for more in steps[1:]:
-        every = every.unionByName(more)
-    kept = every.join(small(reached.select("h"), n_reached), "h", "left_semi")
+    every = union(steps)
+    kept = every.join(small(reached.select("h"), n_reached, NARROW_ROWS), "h", "left_semi")
     sums = settle(kept.groupBy("k", "h").agg(F.sum("c").alias("f")), "frequent")
-    wanted = spark.sparkContext.broadcast({k: maps[0] for k, maps in _bitmaps(reached, "true").items()})
-    spelled = corpus.select("lang", "text").mapInArrow(_spell(wanted, longest), "h long, lang string, phrase string")
-    spelled = spelled.join(small(sums, n_reached), "h").groupBy("k", "h").agg(
-        F.first("lang").alias("lang"), F.first("phrase").alias("phrase"), F.first("f").alias("f")
-    )
+    spelled = _spelled(corpus, reached, n_reached, longest)
+    spelled = sums.join(small(spelled, n_reached), "h")
     phrases = settle(spelled.select("k", "lang", "phrase", "f"), "phrases")
     totals = settle(every.where("k = 0").groupBy("lang").agg(F.sum("c").alias("n")), "totals")
-    forget(corpus, reached, sums, *steps)
+    forget(corpus, reached, sums, *steps, *often)
     return phrases, totals
 
 
+def union(parts: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _spelled(corpus: DataFrame, wanted: DataFrame, count: int, longest: int) -> DataFrame:
+    """(h, lang, phrase) of the phrases ``wanted`` (k, h, reach), from growing parts of the corpus: a part is only
+    searched for the phrases that the parts before do not have, so few occurrences of a phrase are written."""
+    found = []
+    for low, high in zip(ROUNDS, ROUNDS[1:]):
+        maps = {k: two[0] for k, two in _bitmaps(wanted, "true").items()}
+        if not maps:
+            break
+        bitmaps = corpus.sparkSession.sparkContext.broadcast(maps)
+        part = corpus.where((F.col("slot") >= low) & (F.col("slot") < high)).select("lang", "text")
+        rows = part.mapInArrow(_spell(bitmaps, longest), "h long, lang string, phrase string")
+        rows = rows.join(small(wanted.select("h"), count, NARROW_ROWS), "h", "left_semi")
+        found.append(settle(rows.groupBy("h").agg(F.min(F.struct("lang", "phrase")).alias("p")).select("h", "p.*"), "spelled"))
+        bitmaps.destroy()
+        wanted = settle(wanted.join(small(found[-1].select("h"), count, NARROW_ROWS), "h", "left_anti"), "unspelled")
+    return union(found) if found else corpus.sparkSession.createDataFrame([], "h long, lang string, phrase string")
+
+
 def collocations(docs: DataFrame, threshold: int = THRESHOLD, longest: int = LONGEST, shards: int = SHARDS, top: int = 2000) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` collocations of each language of ``docs`` (lang, text)."""
     phrases, totals = frequent(docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), "text"), threshold, longest, shards)
