@@ -120,6 +120,28 @@ def with_silver_audit(df: DataFrame, run_ts: _dt.datetime | None = None) -> Data
     ).select(*SILVER_COLUMNS)
 
 
+def _fate(periods: list[tuple[int, int]] | None) -> F.Column:
+    """What becomes of a typed row before the dedup: foreign, invalid, null or ok."""
+    foreign = ~in_periods(periods) if periods else F.lit(False)
+    return (
+        F.when(foreign, F.lit("foreign"))
+        .when(~F.coalesce(valid_row(), F.lit(False)), F.lit("invalid"))
+        .when(~complete_row(), F.lit("null"))
+        .otherwise(F.lit("ok"))
+    )
+
+
+def fates(raw: DataFrame, periods: list[tuple[int, int]] | None = None) -> DataFrame:
+    """One row: raw, foreign_period, invalid, nulls, ok.
+
+    Every partition sends one row of counts through a shuffle, and a shuffle holds one attempt of
+    each partition, so a map task that is run again replaces its counts instead of adding to them.
+    """
+    fate = prepare(raw).select(_fate(periods).alias("fate"))
+    named = {"foreign_period": "foreign", "invalid": "invalid", "nulls": "null", "ok": "ok"}
+    return fate.agg(F.count(F.lit(1)).alias("raw"), *(F.count_if(F.col("fate") == v).alias(k) for k, v in named.items()))
+
+
 def funnel(raw: DataFrame, periods: list[tuple[int, int]] | None = None) -> DataFrame:
     """One row of counts: raw, foreign period, invalid, null, duplicate, kept.
 
@@ -127,15 +149,7 @@ def funnel(raw: DataFrame, periods: list[tuple[int, int]] | None = None) -> Data
     count (partial aggregation combines a hot key map-side, no row is
     gathered per key).
     """
-    typed = prepare(raw)
-    foreign = ~in_periods(periods) if periods else F.lit(False)
-    fate = (
-        F.when(foreign, F.lit("foreign"))
-        .when(~F.coalesce(valid_row(), F.lit(False)), F.lit("invalid"))
-        .when(~complete_row(), F.lit("null"))
-        .otherwise(F.lit("ok"))
-    )
-    staged = typed.select(*NATURAL_KEY, fate.alias("_fate"))
+    staged = prepare(raw).select(*NATURAL_KEY, _fate(periods).alias("_fate"))
     per_key = (
         staged.groupBy(*NATURAL_KEY, "_fate")
         .agg(F.count(F.lit(1)).alias("_n"))

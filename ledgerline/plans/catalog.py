@@ -21,7 +21,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.operators import silver as S
 from ledgerline.plans import pipeline as P
 from ledgerline.plans import reports as RP
-from ledgerline.schemas import RAW_COLUMNS
+from ledgerline.schemas import BRONZE_SCHEMA, RAW_COLUMNS
 from ledgerline.settings import Layout, work_dir
 from ledgerline.sinks.tables import _fs, read_table
 from ledgerline.sources import raw_csv as R
@@ -284,7 +284,7 @@ def q_bronze_schema_evolution(spark, sf):
     for part in ([p for p in periods if p[0] < EVOLVED_SINCE], [p for p in periods if p[0] >= EVOLVED_SINCE]):
         if part:
             P.ingest_bronze(spark, lay, part)
-    return read_table(spark, lay.bronze).select(*RAW_COLUMNS, "LOTE", "ano", "mes")
+    return read_table(spark, lay.bronze, schema=BRONZE_SCHEMA, extra=True).select(*RAW_COLUMNS, "LOTE", "ano", "mes")
 
 
 def _bronze_all(spark, sf) -> tuple[Layout, list]:
@@ -360,8 +360,7 @@ def q_gold_mixed_scopes(spark, sf):
 
 
 def q_silver_funnel_observed(spark, sf):
-    """The funnel counts the Silver job collects on its own write
-    (Observation metrics, no extra pass), as a one-row frame."""
+    """The funnel counts that a Silver write reports, as a one-row frame."""
     lay, periods = _bronze_all(spark, sf)
     _, m = P.transform_silver(spark, lay, periods, overwrite=True)
     cols = ["raw", "foreign_period", "invalid", "nulls", "duplicates", "kept"]

@@ -14,8 +14,7 @@ import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ledgerline.operators import gold as G
@@ -27,8 +26,9 @@ from ledgerline.sinks.tables import (
     child_dirs,
     delete_path,
     existing_periods,
+    forget_columns,
+    note_columns,
     read_periods,
-    read_table,
     stored_periods,
     write_jdbc,
     write_partitioned,
@@ -47,11 +47,11 @@ def scan_periods(
     spark: SparkSession, path: str, periods: list[Period], fmt: str = "parquet", schema: T.StructType | None = None
 ) -> DataFrame:
     """Layer rows of the given months, listing only their partition folders;
-    an empty frame with the layer's declared schema when none of them exists."""
-    df = read_periods(spark, path, periods, fmt)
-    if df is None:
-        return spark.createDataFrame([], schema or (SILVER_SCHEMA if "/silver/" in path else BRONZE_SCHEMA))
-    return df
+    an empty frame with the layer's declared schema when none of them exists.
+    ``schema`` (by default the layer's) and the columns noted for the months say what is read."""
+    schema = schema or (SILVER_SCHEMA if "/silver/" in path else BRONZE_SCHEMA)
+    df = read_periods(spark, path, periods, fmt, schema, extra=schema is BRONZE_SCHEMA)
+    return spark.createDataFrame([], schema) if df is None else df
 
 
 def scan_year(spark: SparkSession, path: str, year: int, month: int | None = None, fmt: str = "parquet") -> DataFrame:
@@ -94,7 +94,10 @@ def ingest_bronze(
             spark, raw, layout.landing, todo, run_ts=run_ts or _utc_now(),
             source_label=source_label, file_hash=file_hash,
         )
+        extra = [c for c in bronze.columns if c not in BRONZE_SCHEMA.names]
+        noted = note_columns(spark, layout.bronze, todo, extra)
         write_partitioned(bronze, layout.bronze, fmt=layout.fmt, periods=todo, rebalance=rebalance)
+        forget_columns(spark, layout.bronze, noted)
     return scan_periods(spark, layout.bronze, periods, layout.fmt, BRONZE_SCHEMA)
 
 
@@ -116,34 +119,22 @@ class SilverMetrics:
         return dict(self.__dict__)
 
 
-def silver_plan(bronze: DataFrame, periods: list[Period], run_ts: _dt.datetime | None = None):
-    """Silver rows of ``bronze`` plus observations filled by the first action.
+def silver_plan(bronze: DataFrame, periods: list[Period], run_ts: _dt.datetime | None = None) -> DataFrame:
+    """Silver rows of ``bronze``.
 
     Rows whose own period (from ``MES_COMPETENCIA``) is not among the
-    requested months are dropped and counted: under partition overwrite they
+    requested months are dropped (and counted, see ``funnel_counts``): under partition overwrite they
     would otherwise replace a month nobody asked to rewrite.
     """
-    tag = uuid.uuid4().hex[:12]
-    obs = {k: Observation(f"silver_{k}_{tag}") for k in ("raw", "period", "valid", "complete", "kept")}
-    count = F.count(F.lit(1)).alias("n")
-    typed = S.prepare(bronze.drop("ano", "mes")).observe(obs["raw"], count)
-    in_period = typed.filter(S.in_periods(periods)).observe(obs["period"], count)
-    valid = S.filter_invalid_values(in_period).observe(obs["valid"], count)
-    complete = S.filter_nulls(valid).observe(obs["complete"], count)
-    kept = S.deduplicate(complete).observe(obs["kept"], count)
-    return S.with_silver_audit(kept, run_ts), obs
-
-
-def _metrics(obs: dict[str, Observation]) -> SilverMetrics:
-    n = {k: int(o.get.get("n", 0)) for k, o in obs.items()}
-    return SilverMetrics(
-        raw=n["raw"],
-        foreign_period=n["raw"] - n["period"],
-        invalid=n["period"] - n["valid"],
-        nulls=n["valid"] - n["complete"],
-        duplicates=n["complete"] - n["kept"],
-        kept=n["kept"],
-    )
+    typed = S.prepare(bronze.drop("ano", "mes")).filter(S.in_periods(periods))
+    return S.with_silver_audit(S.deduplicate(S.filter_nulls(S.filter_invalid_values(typed))), run_ts)
+
+
+def funnel_counts(bronze: DataFrame, periods: list[Period], kept: int) -> SilverMetrics:
+    """The funnel of a Silver write that left ``kept`` rows: one narrow scan of Bronze. Counts are
+    aggregated, not accumulated, so tasks that run twice count once."""
+    n = S.fates(bronze.drop("ano", "mes"), periods).first()
+    return SilverMetrics(n["raw"], n["foreign_period"], n["invalid"], n["nulls"], n["ok"] - kept, kept)
 
 
 def transform_silver(
@@ -162,8 +153,7 @@ def transform_silver(
     months are written. Requested months that Bronze does not hold are
     reported and keep what Silver holds.
 
-    Returns the Silver rows of those months and the funnel counts, which are
-    collected by the write itself (no extra counting jobs).
+    Returns the Silver rows of those months and the funnel counts (``funnel_counts``).
     """
     periods = sorted(set(periods))
     skipped: list[Period] = []
@@ -176,14 +166,15 @@ def transform_silver(
     metrics = SilverMetrics()
     if todo:
         bronze = scan_periods(spark, layout.bronze, todo, layout.fmt, BRONZE_SCHEMA)
-        silver, obs = silver_plan(bronze, todo, run_ts or _utc_now())
+        silver = silver_plan(bronze, todo, run_ts or _utc_now())
         # many months: size the files by month instead of one per task and month
         several = rebalance if rebalance is not None else len(todo) > 1
         # before: a write that dies half way; after: a Gold refresh that ran meanwhile
         note_rewritten(spark, layout, todo)
         write_partitioned(silver, layout.silver, fmt=layout.fmt, periods=todo, rebalance=several)
         note_rewritten(spark, layout, todo)
-        metrics = _metrics(obs)
+        written = scan_periods(spark, layout.silver, todo, layout.fmt, SILVER_SCHEMA)
+        metrics = funnel_counts(bronze, todo, written.count())
     metrics.skipped_periods, metrics.absent_periods = skipped, absent
     return scan_periods(spark, layout.silver, periods, layout.fmt, SILVER_SCHEMA), metrics
 

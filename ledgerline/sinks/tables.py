@@ -10,10 +10,12 @@ replaced whole.
 from __future__ import annotations
 
 import uuid
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PARTITION_COLUMNS = ["ano", "mes"]
 
@@ -95,17 +97,58 @@ def write_table(df: DataFrame, path: str, *, fmt: str = "parquet") -> None:
     w.save(path)
 
 
-def _reader(spark: SparkSession, fmt: str):
-    """Reader that shows every column any stored file has (months written
-    before or after a column appeared read together)."""
-    reader = spark.read.format(fmt)
-    return reader.option("mergeSchema", "true") if fmt in ("parquet", "orc") else reader
+COLUMNS_DIR = "_columns"  # folders YYYYMM and YYYYMM.<column>: months with noted columns, and their extra ones
+
+
+def noted_columns(spark: SparkSession, path: str) -> dict[int, set[str]]:
+    """Extra (text) columns by month, as noted by the writes (one listing)."""
+    out: dict[int, set[str]] = {}
+    for name in child_dirs(spark, f"{path.rstrip('/')}/{COLUMNS_DIR}"):
+        month, _, column = name.partition(".")
+        out.setdefault(int(month), set()).update([unquote(column)] if column else [])
+    return out
+
+
+def note_columns(spark: SparkSession, path: str, periods: list[tuple[int, int]], extra: list[str]) -> list[str]:
+    """Note before a write which extra columns the months will have, so that no reader has to merge file
+    footers. Returns the notes this makes stale, for ``forget_columns`` after the write: in between a month
+    shows the columns of both versions."""
+    root = f"{path.rstrip('/')}/{COLUMNS_DIR}"
+    there = set(child_dirs(spark, root))
+    months = {str(y * 100 + m) for y, m in periods}
+    wanted = months | {f"{m}.{quote(c, safe='')}" for m in months for c in extra}
+    for name in sorted(wanted - there):
+        fs, p = _fs(spark, f"{root}/{name}")
+        fs.mkdirs(p)
+    return sorted(n for n in there - wanted if n.partition(".")[0] in months)
+
 
+def forget_columns(spark: SparkSession, path: str, names: list[str]) -> None:
+    for name in names:
+        delete_path(spark, f"{path.rstrip('/')}/{COLUMNS_DIR}/{name}")
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The table at ``path``, or None when nothing was written there yet."""
+
+def _reader(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None, extra: bool, periods: list[tuple[int, int]] | None):
+    """Reader of the columns that the months of ``periods`` (all stored ones for None) have: ``schema``, and with
+    ``extra`` the columns noted for them. Without a schema, or where a month has no notes, the file footers are merged."""
+    reader = spark.read.format(fmt)
+    if fmt not in ("parquet", "orc"):
+        return reader
+    if schema is not None and not extra:
+        return reader.schema(schema)
+    if schema is not None:
+        noted = noted_columns(spark, path)
+        months = {y * 100 + m for y, m in (stored_periods(spark, path) if periods is None else periods)}
+        if months <= set(noted):
+            more = sorted({c for m in months for c in noted[m]})
+            return reader.schema(T.StructType([*schema.fields, *(T.StructField(c, T.StringType()) for c in more)]))
+    return reader.option("mergeSchema", "true")
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None, extra: bool = False) -> DataFrame | None:
+    """The table at ``path``, or None when nothing was written there yet. ``schema``, ``extra``: see ``read_periods``."""
     try:
-        return _reader(spark, fmt).load(path)
+        return _reader(spark, path, fmt, schema, extra, None).load(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc) or "is not a Delta table" in str(exc):
             return None
@@ -157,10 +200,18 @@ def partition_dirs(spark: SparkSession, path: str, periods: list[tuple[int, int]
 
 
 def read_periods(
-    spark: SparkSession, path: str, periods: list[tuple[int, int]], fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    periods: list[tuple[int, int]],
+    fmt: str = "parquet",
+    schema: T.StructType | None = None,
+    extra: bool = False,
 ) -> DataFrame | None:
     """Rows of the requested months, listing only their folders (any number of months).
 
+    ``schema``: the layer's declared columns; ``extra``: its months may have more (noted) columns. With them no
+    file footer is read to find the columns out.
+
     File formats read the month folders directly (``basePath`` keeps ``ano``
     and ``mes`` as columns); delta reads the table and prunes by its log.
     Returns None when none of the months exists.
@@ -173,7 +224,7 @@ def read_periods(
     dirs = partition_dirs(spark, path, periods)
     if not dirs:
         return None
-    return _reader(spark, fmt).option("basePath", path).load(list(dirs.values())).filter(cond)
+    return _reader(spark, path, fmt, schema, extra, list(dirs)).option("basePath", path).load(list(dirs.values())).filter(cond)
 
 
 def existing_periods(
