@@ -3,7 +3,8 @@
 Training counts words per language over a bounded sample of labelled documents
 (``DOCS_PER_LANG`` documents of each language, the first in the order of a hash
 of the text) and character n-grams over the words counted. The model keeps at
-most ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each length per language,
+most ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams of each length per language, and no words of
+more than 64 characters, nor words and n-grams that the sample has once,
 so it has a fixed size bound and is broadcast; it does not grow with the corpus.
 
 Prediction reads every word (run of letters, lower-cased) of the whole text. A
@@ -26,6 +27,7 @@ columns of the input are carried along untouched.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,13 +36,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import table
+from .shared import release, table
 
 DOCS_PER_LANG = 1000
 MAX_WORDS = 50_000
 MAX_GRAMS = 20_000
 MAX_N = 5
-LETTERS = r"[^\W\d_]+"
+# letters (\\p{L}): the word characters of Python's expressions without digits and other numbers such as ½ or Ⅷ
+_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+LETTERS = rf"[^\W\d_{_NUMBERS}]+"
 UNKNOWN = "und"
 _MEMO = 200_000
 
@@ -124,6 +128,7 @@ def _backoff(word: str, tables: list, zero: np.ndarray) -> tuple[np.ndarray, int
 
 def _predictor(broadcast, text: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         model = broadcast.value
         langs, tables = model["langs"], model["tables"]
         zero = np.zeros(len(langs))

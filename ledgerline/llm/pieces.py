@@ -28,8 +28,8 @@ columns are kept.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -44,7 +44,7 @@ from .blocks import mix
 from .shared import kept, table
 
 SPACE = "▁"
-MEMO = 700_000
+MEMO_BYTES = 100 << 20  # of a worker's memo, by estimate
 BATCH = 1 << 19
 LONG = 48
 _NEVER = np.int64(1 << 60)
@@ -220,6 +220,7 @@ class Encoder(dict):
         self._chunk = re.compile(f"{SPACE}*+[{alpha}]++(?![{joined}])|{SPACE}*+[{known}]++|{SPACE}++|[^{SPACE}{known}]++")
         self._pairs = np.full(1 << 21, -1, dtype=np.int64)
         self._verdict = np.zeros(1 << 21, dtype=bool)
+        self._bytes = 0
 
     def chunks(self, text: str) -> list[str]:
         if not text:
@@ -228,8 +229,9 @@ class Encoder(dict):
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        if len(self) > MEMO:
+        if self._bytes > MEMO_BYTES:
             self.clear()
+            self._bytes = 0
         cut = [self.chunks(t) for t in texts]
         new = set().union(*cut).difference(self) if cut else set()
         by_length: dict[int, list[str]] = {}
@@ -246,6 +248,7 @@ class Encoder(dict):
                 for w, ids in zip(part, self._viterbi(part, n)):
                     self[w] = ids
         get = self.__getitem__
+        self._bytes += sum(130 + 2 * len(c) + len(get(c)) for c in new)
         return [b"".join(map(get, c)) for c in cut]
 
     def _unknown(self, c: str) -> bytes:
@@ -317,9 +320,7 @@ class Encoder(dict):
             if len(p) > LONG:
                 out.append(self._scalar(p))
             else:
-                if p not in self:
-                    self[p] = self._viterbi([p], len(p))[0]
-                out.append(self[p])
+                out.append(self.get(p) or self._viterbi([p], len(p))[0])
         return b"".join(out)
 
     def _scalar(self, c: str) -> bytes:
@@ -368,16 +369,16 @@ def _groups(texts: list, limit: int = 1 << 22) -> Iterator[tuple[int, int]]:
 
 
 class Loaded(NamedTuple):
-    """A broadcast model and the name its tables have in the workers."""
+    """A broadcast model and the digest of its file, the name its encoder has in the workers."""
 
     broadcast: object
     key: str
 
     def model(self) -> Model:
-        return kept(("pieces model", self.key), lambda: Model.of(self.broadcast.value))
+        return self.encoder().m
 
     def encoder(self) -> Encoder:
-        return kept(("pieces encoder", self.key), lambda: Encoder(self.model()))
+        return kept(("pieces", self.key), lambda: Encoder(Model.of(self.broadcast.value)))
 
 
 def _encoder(loaded: Loaded, position: int):
@@ -409,7 +410,9 @@ def _decoder(loaded: Loaded, position: int):
 
 
 def load(spark: SparkSession, model_file: str) -> Loaded:
-    return Loaded(spark.sparkContext.broadcast(Model(model_file).__dict__), uuid.uuid4().hex)
+    with open(model_file, "rb") as f:
+        digest = hashlib.file_digest(f, "sha256").hexdigest()
+    return Loaded(spark.sparkContext.broadcast(Model(model_file).__dict__), digest)
 
 
 def encode(docs: DataFrame, model, text: str = "text") -> DataFrame:

@@ -47,7 +47,7 @@ from .shared import kept, table
 MAGIC = b"LEDGTOK1"
 HEAD = "<8sII"
 HEAD_SIZE = 16
-MEMO = 400_000
+MEMO_BYTES = 80 << 20  # of a worker's memo, by estimate
 END_ID = 2
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
 _ODD = re.compile("[\x1c-\x1f]")
@@ -97,6 +97,7 @@ class _Chunks(dict):
         from tokenizers import Tokenizer
 
         super().__init__()
+        self._bytes = 0
         tokenizer = Tokenizer.from_file(tokenizer_file)
         self._whole = not _by_words(tokenizer_file)
         self._pack = lambda ids: np.array(ids, dtype=dtype).tobytes()
@@ -114,13 +115,15 @@ class _Chunks(dict):
             low = chunk.lower()
             out = self._word(low) if low == chunk else self[low]
         self[chunk] = out
+        self._bytes += 130 + 2 * len(chunk) + len(out)
         return out
 
     def text(self, s: str) -> bytes:
         if self._whole or _ODD.search(s):
             return self._encode(s)
-        if len(self) > MEMO:
+        if self._bytes > MEMO_BYTES:
             self.clear()
+            self._bytes = 0
         return b"".join(map(self.__getitem__, s.split()))
 
 

@@ -47,6 +47,12 @@ def test_unseen_words_fall_back_to_ngrams(spark, model):
     assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "en", 2: "fr"}
 
 
+def test_numbers_are_no_letters(spark, model):
+    rows = docs(spark, [(1, "² ½"), (2, "①②③ Ⅷ ٣"), (3, "½the and"), (4, "一")])
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(rows, model).collect()}
+    assert got[1] == got[2] == ("und", 0.0) and got[3][0] == "en" and got[4][0] != "und"
+
+
 def test_nothing_to_learn(spark):
     none = docs(spark, [(1, "the and", None), (2, None, "en")])
     assert {(r["lang_pred"], r["score"]) for r in langid.predict(none, langid.train(none)).collect()} == {("und", 0.0)}

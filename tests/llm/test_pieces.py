@@ -67,3 +67,32 @@ def test_frames_keep_columns_and_round_trip(spark):
 def test_query_round_trips_every_text(spark):
     got = pieces.op3_pieces(spark, "/root/testdata/sf0.001")
     assert got.count() == 200 and got.where(~F.col("round_trip")).count() == 0
+
+
+def test_a_worker_keeps_one_encoder(spark):
+    """Two loads of one model share it; another operator's task lets go of it."""
+    import sys
+    import types
+
+    from ledgerline.llm import shared
+
+    first, second = pieces.load(spark, FILE), pieces.load(spark, FILE)
+    assert first.key == second.key
+    encoder = first.encoder()
+    assert second.encoder() is encoder
+    state = sys.modules["_ledgerline_kept"].__dict__
+    assert [k for k, v in state.items() if isinstance(v, pieces.Encoder)] == ["value"]
+    shared.kept(("other",), lambda: 1)
+    assert state["value"] == 1
+    shared.release()
+    assert state["value"] is None and isinstance(sys.modules["_ledgerline_kept"], types.ModuleType)
+
+
+def test_memo_is_bounded_in_bytes(monkeypatch):
+    encoder = pieces.Encoder(pieces.Model(FILE))
+    monkeypatch.setattr(pieces, "MEMO_BYTES", 20_000)
+    lib = sentencepiece.SentencePieceProcessor(model_file=FILE)
+    for k in range(6):
+        text = " ".join(f"word{k}x{i}" for i in range(200)) + " " + "q" * 5_000
+        assert np.frombuffer(encoder.texts([text])[0], "<i4").tolist() == lib.encode(text)
+        assert len(encoder) < 500
