@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import n_words, settle, small, table
+from .shared import free_names, n_words, settle, small, table
 
 WEIGHTS = (5, 2, 1)
 
@@ -103,17 +103,18 @@ def emit(docs: DataFrame, share: float = 1.5, cap: float = 2.0, text: str = "tex
     """The mix itself: every row of ``docs`` as often as it is taken (0 to ``cap`` times)."""
     taken = _mix(docs, share, cap, text).groupBy("doc_id", "text_hash", "row_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     taken = settle(taken, "taken")
-    rows = docs.withColumn("__h", F.xxhash64(text)).withColumn("__r", row_hash(docs, text))
+    i, k, o, c, n, h, r = free_names(docs, "id", "key", "other", "copies", "nth", "hash", "rest")
+    rows = docs.withColumn(h, F.xxhash64(text)).withColumn(r, row_hash(docs, text))
 
     def copied(part: DataFrame, of: DataFrame) -> DataFrame:
-        part = part.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__k"), F.col("row_hash").alias("__o"), "copies")
-        part = small(part, part.count()).withColumnRenamed("copies", "__copies")
-        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__h") == F.col("__k")) & (F.col("__r") == F.col("__o"))
-        met = of.join(part, same).withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        return met.select(*docs.columns)
+        part = part.where("copies > 0").select(F.col("doc_id").alias(i), F.col("text_hash").alias(k), F.col("row_hash").alias(o), F.col("copies").alias(c))
+        part = small(part, part.count())
+        same = F.col("doc_id").eqNullSafe(F.col(i)) & (F.col(h) == F.col(k)) & (F.col(r) == F.col(o))
+        met = of.join(part, same).withColumn(n, F.explode(F.sequence(F.lit(1), F.col(c))))
+        return met.select(*(F.col(f"`{x}`") for x in docs.columns))
 
     # rows equal in every column are brought together and emitted as often as all of them are taken
-    return copied(taken.where("rows = 1"), rows).unionByName(copied(taken.where("rows > 1"), rows.dropDuplicates(["doc_id", "__h", "__r"])))
+    return copied(taken.where("rows = 1"), rows).unionByName(copied(taken.where("rows > 1"), rows.dropDuplicates(["doc_id", h, r])))
 
 
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

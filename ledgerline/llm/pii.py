@@ -32,13 +32,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import let, table
+from .shared import free_names, let, table
 
-KEY = "change-me"
+TEST_KEY = "key of the test query"  # anybody who has the key can undo the numbers
 ROUNDS = 10
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,24}+"
-SECRET = r"""(?i:(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)["']?\s{0,3}+[=:]\s{0,3}+["']?[A-Za-z0-9+/_.-]{8,}+)"""
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-][\p{L}\p{N}.!$%'*+^_`~-]{0,63}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,126}(?:(?i:xn--)[A-Za-z0-9-]{1,59}(?<!-)|\p{L}{2,24}+)"
+# a label, also inside a longer name, and a value up to its closing quote or white space
+SECRET = (
+    r"""(?i:(?:password|passwd|pwd|token|secret(?:[_-]?key)?|api[_-]?key|access[_-]?key)["']?\s{0,40}+[=:]\s{0,40}+)"""
+    r"""(?:"[^"\n]{8,300}+(?=")|'[^'\n]{8,300}+(?=')|["'][^\s"']{8,}+|[^\s"']\S{7,}+)"""
+)
 IP = r"(?<![0-9])(?<![0-9][.])(?:[0-9]{1,3}+\.){3}+[0-9]{1,3}+(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
@@ -195,8 +199,11 @@ def pseudonym(m: Column, key: str) -> Column:
     return F.when(whole(EMAIL), email).when(whole(SECRET), secret).otherwise(numbers)
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFrame:
-    """``docs`` with the personal data in ``text`` replaced, and ``n_pii``, the number of replacements."""
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
+    """``docs`` with the personal data in ``text`` replaced, and ``n_pii``, the number of replacements (an
+    input column of that name is replaced). ``key``: a secret of the caller; one key keeps equal values linked."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     t = F.col(text)
 
     def replaced(found: Column) -> Column:
@@ -215,9 +222,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, text: str = "text") -> DataFra
     maybe = t.rlike(r"[0-9@]|(?i:passw|pwd|token|secret|key)")
     done = F.when(maybe, let(F.regexp_extract_all(t, F.lit(ANY), F.lit(0)), joined)).otherwise(F.struct(t.alias("text"), F.lit(0).alias("n")))
     names = [c for c in docs.columns if c != "n_pii"]
-    out = docs.select(*names, done.alias("__pii"))
-    return out.select(*[F.col("__pii.text").alias(c) if c == text else F.col(c) for c in names], F.col("__pii.n").cast("long").alias("n_pii"))
+    (made,) = free_names(docs, "pii")
+    out = docs.select(*(F.col(f"`{c}`") for c in names), done.alias(made))
+    return out.select(*[F.col(f"{made}.text").alias(c) if c == text else F.col(f"`{c}`") for c in names], F.col(f"{made}.n").cast("long").alias("n_pii"))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), TEST_KEY)

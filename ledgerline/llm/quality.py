@@ -8,7 +8,7 @@ A document fails the base rules with fewer than 20 words, or if more than
 
 Host level: the source is the host. Failures are counted per host; the rates
 are shrunk towards the rate of all documents with a beta prior whose strength
-is fitted to the spread of the hosts' rates (method of moments), so a small host
+is fitted to the spread of the hosts' rates beyond the chance of their document counts, so a small host
 is not judged by a few documents. A host whose shrunk rate is over
 ``HOST_LIMIT`` is rejected with all its documents. All of it is DataFrame code;
 the metrics are computed once, in one pass without a shuffle, and written, and
@@ -22,6 +22,8 @@ are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,17 +85,35 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     ).select("doc_id", "source", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words")
 
 
+def prior_strength(hosts: int, n: int, failed: int, squares: float, ratios: float) -> float:
+    """alpha + beta of the beta prior of the hosts' failure rates: 1 / rho - 1, rho the correlation of two documents
+    of one host, from the analysis of variance between and within hosts. Infinite where the rates differ by no more
+    than chance (one-document hosts show nothing else). ``squares``: sum of n * n, ``ratios``: of failed * failed / n."""
+    if hosts < 2 or n <= hosts:
+        return math.inf
+    between = (ratios - failed * failed / n) / (hosts - 1)
+    within = (failed - ratios) / (n - hosts)
+    size = (n - squares / n) / (hosts - 1)
+    if between <= within:
+        return math.inf
+    rho = (between - within) / (between + (size - 1) * within)
+    return 1 / rho - 1
+
+
 def host_rates(judged: DataFrame) -> DataFrame:
     """source, n, failed, and the shrunk failure rate."""
     hosts = judged.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    prior = hosts.agg(
-        (F.sum("failed") / F.sum("n")).alias("mean"), F.var_pop(F.col("failed") / F.col("n")).alias("spread")
+    f, n = F.col("failed"), F.col("n")
+    total = hosts.agg(
+        F.count("*").alias("hosts"), F.sum(n).alias("n"), F.sum(f).alias("failed"),
+        F.sum(n.cast("double") * n).alias("squares"), F.sum(f.cast("double") * f / n).alias("ratios"),
     ).first()
-    mean, spread = prior["mean"], prior["spread"]
-    if not spread:  # hosts that all agree are one host: the mean holds
-        return hosts.withColumn("rate", F.lit(mean).cast("double"))
-    strength = max(mean * (1 - mean) / spread - 1, 0.0)
-    return hosts.withColumn("rate", (F.col("failed") + F.lit(mean * strength)) / (F.col("n") + F.lit(strength)))
+    if not total["n"]:
+        return hosts.withColumn("rate", F.lit(None).cast("double"))
+    mean, strength = total["failed"] / total["n"], prior_strength(*total)
+    if math.isinf(strength):
+        return hosts.withColumn("rate", F.lit(mean))
+    return hosts.withColumn("rate", (f + F.lit(mean * strength)) / (n + F.lit(strength)))
 
 
 def judge(docs: DataFrame, text: str = "text", host_limit: float = HOST_LIMIT) -> DataFrame:
@@ -131,15 +151,24 @@ WITH d AS (
   FROM d LEFT JOIN cover c USING (k)
 ), j AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
-), h AS (
-  SELECT source, count(*) AS n, sum(CAST(base_failed AS INTEGER)) AS failed FROM j GROUP BY source
+), x AS (
+  SELECT source, CAST(CAST(base_failed AS INTEGER) AS DOUBLE) AS y,
+         avg(CAST(base_failed AS INTEGER)) OVER (PARTITION BY source) AS host_mean, avg(CAST(base_failed AS INTEGER)) OVER () AS mean,
+         count(*) OVER (PARTITION BY source) AS n
+  FROM j
+), v AS (
+  SELECT any_value(mean) AS mean, count(*) AS total, sum(1.0 / n) AS hosts,
+         sum((host_mean - mean) * (host_mean - mean)) AS between_squares, sum((y - host_mean) * (y - host_mean)) AS within_squares, avg(n) AS weighted
+  FROM x
+), u AS (
+  SELECT mean, (total - weighted) / (round(hosts) - 1) AS size, between_squares / (round(hosts) - 1) AS b, within_squares / (total - round(hosts)) AS w,
+         round(hosts) > 1 AND total > round(hosts) AS known
+  FROM v
 ), p AS (
-  SELECT sum(failed) / sum(n) AS mean, var_pop(failed / n) AS spread FROM h
+  SELECT mean, CASE WHEN known AND b > w THEN (b + (size - 1) * w) / (b - w) - 1 END AS strength FROM u
 ), r AS (
-  SELECT source, CASE WHEN spread > 0
-    THEN (failed + mean * greatest(mean * (1 - mean) / spread - 1, 0)) / (n + greatest(mean * (1 - mean) / spread - 1, 0))
-    ELSE mean END AS rate
-  FROM h, p
+  SELECT source, any_value(CASE WHEN strength IS NULL THEN p.mean ELSE (n * host_mean + p.mean * strength) / (n + strength) END) AS rate
+  FROM x, p GROUP BY source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rate <= 0.5 AS kept

@@ -154,6 +154,31 @@ def test_metrics_equal_brute_force(spark):
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == brute_metrics(t), i
 
 
+def judged(spark, hosts):
+    """hosts: (n, failed) -> rows of (source, base_failed)."""
+    return spark.createDataFrame([(f"h{k}", i < f) for k, (n, f) in enumerate(hosts) for i in range(n)], "source string, base_failed boolean")
+
+
+def test_one_document_hosts_are_judged_by_all(spark):
+    rates = quality.host_rates(judged(spark, [(1, int(k % 5 == 0)) for k in range(100)])).collect()
+    assert {r["rate"] for r in rates} == {0.2}
+
+
+def test_prior_is_recovered_from_a_simulation():
+    import random
+
+    rng = random.Random(3)
+    for alpha, beta in ((2.0, 6.0), (0.5, 1.5), (8.0, 8.0)):
+        hosts = []
+        for _ in range(20_000):
+            n = rng.randrange(1, 25)
+            p = rng.betavariate(alpha, beta)
+            hosts.append((n, sum(rng.random() < p for _ in range(n))))
+        n, f = sum(h[0] for h in hosts), sum(h[1] for h in hosts)
+        got = quality.prior_strength(len(hosts), n, f, sum(h[0] ** 2 for h in hosts), sum(h[1] ** 2 / h[0] for h in hosts))
+        assert abs(got - (alpha + beta)) < 0.1 * (alpha + beta) and abs(f / n - alpha / (alpha + beta)) < 0.01
+
+
 def test_host_verdicts_are_shrunk(spark):
     good, bad = " ".join(words(40, 1)), "too short"
     rows = [(i, good, None, "clean") for i in range(50)] + [(100 + i, bad, None, "junk") for i in range(50)] + [(150, good, None, "junk")]

@@ -9,7 +9,7 @@ from ledgerline.llm import pii
 from .helpers import docs
 
 
-def feistel(kind, x, y, a, b, key=pii.KEY):
+def feistel(kind, x, y, a, b, key=pii.TEST_KEY):
     def f(i, v, m):
         return int(hashlib.sha256(f"{key}|{kind}|{i}|{m}|{v}".encode()).hexdigest()[:15], 16) % m
 
@@ -23,7 +23,7 @@ def feistel(kind, x, y, a, b, key=pii.KEY):
 
 def run(spark, texts):
     rows = docs(spark, list(enumerate(texts)))
-    return [r["text"] for r in pii.pseudonymise(rows).orderBy("doc_id").collect()]
+    return [r["text"] for r in pii.pseudonymise(rows, pii.TEST_KEY).orderBy("doc_id").collect()]
 
 
 def luhn(d):
@@ -35,7 +35,7 @@ def luhn(d):
 
 
 def test_permutation_is_a_bijection_and_equals_python(spark):
-    got = spark.range(13 * 7).select("id", pii.permute("t", F.floor(F.col("id") / 7), F.col("id") % 7, 13, 7, pii.KEY).alias("p")).collect()
+    got = spark.range(13 * 7).select("id", pii.permute("t", F.floor(F.col("id") / 7), F.col("id") % 7, 13, 7, pii.TEST_KEY).alias("p")).collect()
     assert {(r["p"]["x"], r["p"]["y"]) for r in got} == {(i, j) for i in range(13) for j in range(7)}
     assert all((r["p"]["x"], r["p"]["y"]) == feistel("t", r["id"] // 7, r["id"] % 7, 13, 7) for r in got)
 
@@ -123,10 +123,10 @@ def test_invalid_or_clean_text_is_left_alone(spark, text):
 def test_long_text_repeats_and_other_columns(spark):
     long = ("word " * 30000) + "8.8.8.8" + ("." * 20000) + ("7" * 20000) + ("a" * 20000) + "@x"
     rows = docs(spark, [(1, long, "en", "s"), (1, long, "en", "s"), (None, "8.8.8.8")]).withColumn("n_pii", F.lit("x"))
-    got = pii.pseudonymise(rows)
+    got = pii.pseudonymise(rows, pii.TEST_KEY)
     assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_pii"]
     assert [r["n_pii"] for r in got.collect()] == [1, 1, 1]
-    assert pii.pseudonymise(rows.limit(0)).collect() == []
+    assert pii.pseudonymise(rows.limit(0), pii.TEST_KEY).collect() == []
 
 
 def test_query_leaves_no_value(spark):
@@ -134,3 +134,25 @@ def test_query_leaves_no_value(spark):
     found = [m for r in spark.read.parquet(f"{sf}/documents.parquet").collect() for m in re.findall(r"[\w.]+@[\w.]+|\b4\d{15}\b|\b\d+\.\d+\.\d+\.\d+\b|\(\d{3}\) 555-\d{4}", r["text"])]
     out = "\n".join(r["text"] for r in pii.op7_pii(spark, sf).collect())
     assert len(found) > 20 and not [m for m in found if m in out]
+
+
+def test_nothing_of_a_planted_value_is_left(spark):
+    values = ["abcdefgh!rest9", "eyJhbGciOi~abcdef", "Tr0ub4d&r3xyz", "p@ss:w=rd;12345", "Zürich-geheim-ß9", "(hunter2)hunter2"]
+    forms = ["password={}", "token: {}", 'authToken = "{}"', "pwd      :   '{}'", '{{"api_key":"{}","n":1}}', "MY_SECRET_KEY={} next", "x.accessKey={}"]
+    planted = [(v, f.format(v)) for v in values for f in forms]
+    mails = ["jane@münchen.de", "jane@example.xn--p1ai", "o'neil@example.org", "josé.a+b@ex-bank.co.uk", "用户@例子.中国"]
+    planted += [(m, f"mail {m}, please") for m in mails]
+    rows = docs(spark, [(i, f"before {t} after") for i, (_, t) in enumerate(planted)])
+    got = {r["doc_id"]: r for r in pii.pseudonymise(rows, "k").collect()}
+    for i, (value, text) in enumerate(planted):
+        out = got[i]["text"]
+        parts = [p for p in __import__("re").split(r"[^\w]+", value) if len(p) > 3 and p not in ("example", "mail")]
+        assert got[i]["n_pii"] >= 1 and value not in out and not any(p in out for p in parts), (text, out)
+        assert out.startswith("before ") and out.endswith(" after")
+
+
+def test_a_key_is_required(spark):
+    import pytest
+
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymise(docs(spark, []), "")

@@ -35,3 +35,30 @@ def test_stages_take_empty_and_odd_tables(spark):
     for rows in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, rows, SF).count() >= 0
+
+
+CLASHING = "doc_id long, text string, lang string, source string, n_chars long, __h string, __id int, id_ string, key_ string, copies int, n_pii int, ids string"
+
+
+def clashing(spark):
+    text = " ".join(words(60, 3))
+    rows = [(i // 3, text if i < 6 else f"{text} tail{i}", "en" if i % 2 else "de", f"s{i % 3}", i, "x", i, "i", "k", 7, 8, "z") for i in range(12)]
+    return spark.createDataFrame(rows, CLASHING)
+
+
+def test_stages_keep_clashing_columns(spark):
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        rows = clashing(spark)
+        out = stage(spark, rows, SF)
+        assert out.columns == rows.columns or out.columns == [c for c in rows.columns if c != "n_pii"]
+        assert out.count() > 0
+
+
+def test_kept_row_does_not_depend_on_the_order(spark):
+    from ledgerline.llm import jaccard
+
+    text = " ".join(words(60, 4))
+    rows = [(1, text, "en", "a"), (1, text, "de", "b"), (2, text, "fr", "c")]
+    one = jaccard.keep_one(docs(spark, rows)).collect()
+    two = jaccard.keep_one(docs(spark, rows[::-1]).repartition(2)).collect()
+    assert len(one) == 1 and one == two and one[0]["doc_id"] == 1
