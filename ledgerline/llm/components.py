@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import settle
+from .shared import forget, settle
 
 
 def _star(edges: DataFrame, larger: bool) -> DataFrame:
@@ -35,7 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = settle(e, "edges")
     mark = None
     while True:
-        e = settle(_star(_star(e, True), False), "edges")
+        before, e = e, settle(_star(_star(e, True), False), "edges")
+        forget(before)
         now = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark:
             break

@@ -18,8 +18,8 @@ them with the prefix of any set it links to.
 3. Candidates of short posting lists are pairs, filtered by size and by the
    number of rare tokens they share, and verified on the whole sets.
    Combinations with long lists are not expanded: classes that share any are one
-   bundle; a bundle is cut into blocks by hash and each pair of blocks is
-   verified by matrix products in one task, which returns a spanning forest of
+   bundle; a bundle is cut by set size, into steps of the factor 100 / percent, and by hash into blocks, and each
+   pair of blocks of one step or of neighbouring ones is verified by matrix products in one task, which returns a spanning forest of
    its links, so a bundle of any size never meets in one task, and its pairs
    are never rows.
 
@@ -35,21 +35,24 @@ NULL component and link nothing; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocks, shingle_sets
 from .components import components
-from .shared import settle, small, table
+from .mix import row_hash
+from .shared import free_names, release, settle, small, table
 
 RARE = 16
 HAS_WORD = r"[^\x20\x09-\x0D]"
 BLOCK_CLASSES = 512
 BLOCK_TOKENS = 200_000
+MAX_CELL_TASKS = 20_000
 _COLUMNS = 4096
 
 
@@ -67,6 +70,7 @@ def _sets(size: int, percent: int, whole: bool):
     """Map function: (doc_id, h, text) -> doc_id, h, n, fp and the screening prefix or the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for first, data, off in blocks(batch.column(2)):
                 ns, fps, tokens, lengths = [], [], [], []
@@ -240,18 +244,39 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
 
     bundles = components_of_keys(postings.where(F.col("c") > RARE))
     if bundles is not None:
-        held = bundles.join(sets, "fp")
-        loads = held.groupBy("bundle").agg(F.count("*").alias("classes"), F.sum("n").alias("load"))
+        # sets of linked classes differ in size by the factor 100 / percent at most, so a class meets those of its own
+        # size step and of the next ones only (the step is a little wider, against rounding)
+        step = F.floor(F.log("n") / (math.log(100 / percent) * 1.0001)).cast("int") if percent < 100 else F.col("n").cast("int")
+        held = bundles.join(sets, "fp").withColumn("step", step)
+        loads = held.groupBy("bundle", "step").agg(F.count("*").alias("classes"), F.sum("n").alias("load"))
         n_blocks = F.ceil(F.greatest(F.col("classes") / BLOCK_CLASSES, F.col("load") / BLOCK_TOKENS)).cast("int")
-        placed = held.join(loads.select("bundle", n_blocks.alias("blocks")), "bundle").withColumn(
-            "block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+        # at most a few hundred steps a bundle
+        order = Window.partitionBy("bundle").orderBy("step")
+        near = lambda f, way: F.when(f("step").over(order) == F.col("step") + way, f("blocks").over(order)).otherwise(F.lit(0))
+        loads = settle(
+            loads.select("bundle", "step", n_blocks.alias("blocks")).withColumns({"above": near(F.lead, 1), "below": near(F.lag, -1)}), "blocks"
         )
-        other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-        cells = placed.select("bundle", "fp", "tokens", "block", other).select(
-            "bundle", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").alias("side"), "fp", "tokens"
+        placed = held.join(loads, ["bundle", "step"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        mine = F.col("block")
+
+        def cells_with(count: str, cell: Callable[[Column], list[Column]]) -> Column:
+            names = ("low", "i", "high", "j", "side")
+            others = F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>"))
+            return F.transform(others, lambda y: F.struct(*(c.cast("int").alias(x) for c, x in zip(cell(y), names))))
+
+        here = F.col("step")
+        # the cell of a block with itself has it once: `y` takes its number once
+        met = F.concat(
+            cells_with("blocks", lambda y: [here, F.least(mine, y), here, F.greatest(mine, y), mine]),
+            cells_with("above", lambda y: [here, mine, here + 1, y, F.lit(0)]),
+            cells_with("below", lambda y: [here - 1, y, here, mine, F.lit(1)]),
         )
-        # the cell (i, i) has its block once: `other` takes the value i once
-        dense = cells.groupBy("bundle", "i", "j").applyInArrow(_block_links(percent), "a binary, b binary")
+        cells = placed.select("bundle", "fp", "tokens", F.explode(met).alias("cell")).select("bundle", "cell.*", "fp", "tokens")
+        # cells are dealt by their number, as partitions sized by compressed bytes would put many into one task
+        pairs_of = F.col("blocks").cast("long") * (F.col("blocks") + 1) / 2 + F.col("blocks").cast("long") * F.col("above")
+        n_cells = int(loads.agg(F.coalesce(F.sum(pairs_of), F.lit(0))).first()[0])
+        key = ["bundle", "low", "i", "high", "j"]
+        dense = cells.repartition(max(1, min(n_cells, MAX_CELL_TASKS)), *key).groupBy(*key).applyInArrow(_block_links(percent), "a binary, b binary")
         out = out.unionByName(settle(dense, "dense-links", free=True))
     return rows, out.distinct()
 
@@ -288,22 +313,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one row of each component: the smallest doc_id, then text hash. Rows that link
-    nothing (no words, NULL doc_id) stay."""
+    """``docs`` with one row of each component: the smallest doc_id, then text hash, then hash of the other columns.
+    Rows that link nothing (no words, NULL doc_id) stay. Columns stay as they are, whatever their names."""
     labelled = settle(_labelled(docs, size, percent), "labelled")
     first = labelled.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*")
     # how many rows repeat the kept one: only those need to be brought together
     rows = labelled.where("label is not null").groupBy("doc_id", "h").agg(F.count("*").alias("k"))
     keys = settle(first.join(rows, ["doc_id", "h"]), "kept")
     apart = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(HAS_WORD), F.lit(False))
-    alone, others = docs.where(apart), docs.where(~apart).withColumn("__h", F.xxhash64("text"))
+    i, k, h, r, n = free_names(docs, "id", "key", "hash", "rest", "nth")
+    alone, others = docs.where(apart), docs.where(~apart).withColumn(h, F.xxhash64("text"))
 
     def held(part: DataFrame) -> DataFrame:
-        part = small(part.select(F.col("doc_id").alias("__id"), F.col("h").alias("__k")), part.count())
-        return others.join(part, (F.col("doc_id") == F.col("__id")) & (F.col("__h") == F.col("__k")), "left_semi")
-
-    once, repeated = held(keys.where("k = 1")), held(keys.where("k > 1")).dropDuplicates(["doc_id", "__h"])
-    return alone.unionByName(once.drop("__h")).unionByName(repeated.drop("__h"))
+        part = small(part.select(F.col("doc_id").alias(i), F.col("h").alias(k)), part.count())
+        return others.join(part, (F.col("doc_id") == F.col(i)) & (F.col(h) == F.col(k)), "left_semi")
+
+    once, repeated = held(keys.where("k = 1")), held(keys.where("k > 1"))
+    # rows equal in all columns are interchangeable
+    nth = F.row_number().over(Window.partitionBy("doc_id", h).orderBy(r))
+    one = repeated.withColumn(r, row_hash(docs, "text")).withColumn(n, nth).where(F.col(n) == 1)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return alone.unionByName(once.select(*columns)).unionByName(one.select(*columns))
 
 
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
