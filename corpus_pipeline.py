@@ -16,30 +16,47 @@ from ledgerline.llm.shared import settle, table
 #: No SQL for Feistel pseudonyms and piece ids; tested against brute force instead.
 ORACLE_SQL = None
 
+#: For test data; a real run brings its own secret.
+PII_KEY = "key of the test pipeline"
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; the others go."""
+    """Documents in a language that the labelled ones teach; the others go.
+
+    NULL text and text without a letter are rejected; repeated rows are judged alike; nothing to learn from
+    rejects all; an empty table stays empty; columns stay as they are.
+    """
     model = langid.train(docs.where(~langid.held_out()))
     return langid.accepted(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles."""
+    """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles.
+
+    The smallest doc_id stays, then text hash, then hash of the other columns; rows without words or doc_id link
+    nothing and stay; columns stay as they are.
+    """
     return jaccard.keep_one(docs, size=5, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by pseudonyms."""
-    return pii.pseudonymise(docs).drop("n_pii")
+    """Personal data replaced by pseudonyms.
+
+    Same rows and columns; NULL and empty texts stay as they are, repeated rows get the same pseudonyms.
+    """
+    return pii.pseudonymise(docs, PII_KEY).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights; a document occurs 0, 1 or 2 times."""
+    """Sources at their target weights; a document occurs 0, 1 or 2 times.
+
+    NULL source is a source of its own; documents without words have size 0; columns stay as they are.
+    """
     return mix.emit(docs)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids."""
+    """doc_id, source, n_tokens, ids: NULL text has NULL ids and no tokens, empty text no ids."""
     import public_tokenizers
 
     model = pieces.load(spark, public_tokenizers.path("piece_bpe_32k.model"))
