@@ -3,17 +3,21 @@
 All three Gold tables are roll-ups of one pre-aggregate at the grain
 ``(ano, mes, uf, codigo_municipio, nome_municipio)``: Silver is scanned and
 shuffled once (partial + final hash aggregation), and what survives is
-bounded by months x municipalities, not by payments. Rankings and the
-month-over-month change run on those small results.
+bounded by months x municipalities, not by payments. The month-over-month change
+runs on one row per month; municipalities, whose names are free text, are ranked by
+range partitions (``ranking.numbered``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline.functions import ano_mes_label, exact_sum, pct_change, round_half_up, to_double, total_money
+from ledgerline.operators.ranking import numbered
 from ledgerline.schemas import GOLD_SCHEMAS, column_names
 
 GRAIN = ["ano", "mes", "uf", "codigo_municipio", "nome_municipio"]
@@ -84,8 +88,8 @@ def agg_por_uf_mes(df: DataFrame) -> DataFrame:
 def agg_top_municipios(df: DataFrame) -> DataFrame:
     """Per ``ano, nome_municipio, uf, codigo_municipio`` with national rank.
 
-    The rank restarts per year (the Gold job always runs on one year), so the
-    window is partitioned by ``ano`` rather than gathered into one task.
+    The rank restarts per year (the Gold job always runs on one year). A year's
+    municipalities are ranked by many tasks; the sorted rows are written once on the way.
     """
     agg = _rollup(df, ["ano", "nome_municipio", "uf", "codigo_municipio"]).select(
         "ano",
@@ -95,8 +99,7 @@ def agg_top_municipios(df: DataFrame) -> DataFrame:
         "total_beneficios",
         total_money(_S).alias("total_valor_brl"),
     )
-    w = Window.partitionBy("ano").orderBy(*rank_order())
-    return agg.withColumn("ranking_nacional", F.row_number().over(w))
+    return numbered(agg, "ano", rank_order(), "ranking_nacional")
 
 
 def agg_serie_temporal(df: DataFrame) -> DataFrame:
@@ -113,18 +116,21 @@ def agg_serie_temporal(df: DataFrame) -> DataFrame:
     return monthly.withColumn("variacao_pct", pct_change(F.col("total_beneficios"), prev, 4))
 
 
-def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
-    """The three Gold tables from one pre-aggregate of ``silver``."""
-    return roll_up(pre_aggregate(silver))
+BUILDERS = {
+    "transferencias_por_uf_mes": agg_por_uf_mes,
+    "top_municipios_beneficios": agg_top_municipios,
+    "serie_temporal_brasil": agg_serie_temporal,
+}
+
+
+def gold_tables(silver: DataFrame, names: Iterable[str] = tuple(BUILDERS)) -> dict[str, DataFrame]:
+    """The Gold tables ``names`` from one pre-aggregate of ``silver``."""
+    return roll_up(pre_aggregate(silver), names)
 
 
-def roll_up(pre: DataFrame) -> dict[str, DataFrame]:
-    """The three Gold tables from the pre-aggregate."""
-    return {
-        "transferencias_por_uf_mes": agg_por_uf_mes(pre),
-        "top_municipios_beneficios": agg_top_municipios(pre),
-        "serie_temporal_brasil": agg_serie_temporal(pre),
-    }
+def roll_up(pre: DataFrame, names: Iterable[str] = tuple(BUILDERS)) -> dict[str, DataFrame]:
+    """The Gold tables ``names`` from the pre-aggregate."""
+    return {name: BUILDERS[name](pre) for name in names}
 
 
 # Typed contract of the SQL copy (NUMERIC precision, published names).

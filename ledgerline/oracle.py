@@ -289,6 +289,7 @@ def oracle_queries() -> dict[str, str]:
         f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD}, TRUE AS has_file_hash, TRUE AS has_source, "
         "TRUE AS has_file_name FROM feed"
     )
+    q["bronze_tree_digest"] = f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD}, TRUE AS has_tree FROM feed"
     lot = "CASE WHEN CAST(MES_COMPETENCIA AS INTEGER) % 2 = 1 THEN 'lote ' || MES_COMPETENCIA END AS LOTE"
     q["bronze_mixed_layouts"] = f"{RAW_BASE} SELECT {RAW_COLS}, {lot}, {_FEED_PERIOD} FROM feed"
     lot = f"CASE WHEN MES_COMPETENCIA >= '{EVOLVED_SINCE}' THEN MES_COMPETENCIA END AS LOTE"

@@ -44,8 +44,8 @@ def feed(spark: SparkSession, sf: str) -> DataFrame:
     return payments_feed(spark, sf)
 
 
-def gold(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return G.gold_tables(S.clean(feed(spark, sf)))
+def gold(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    return G.gold_tables(S.clean(feed(spark, sf)), [table])[table]
 
 
 # ---------------------------------------------------------------- staging
@@ -151,25 +151,25 @@ def q_gold_serie_temporal(spark, sf):
 
 
 def q_gold_typed_contract(spark, sf):
-    return G.typed_contract(gold(spark, sf)["top_municipios_beneficios"], "top_municipios_beneficios")
+    return G.typed_contract(gold(spark, sf, "top_municipios_beneficios"), "top_municipios_beneficios")
 
 
 def q_gold_typed_uf_mes(spark, sf):
-    return G.typed_contract(gold(spark, sf)["transferencias_por_uf_mes"], "transferencias_por_uf_mes")
+    return G.typed_contract(gold(spark, sf, "transferencias_por_uf_mes"), "transferencias_por_uf_mes")
 
 
 def q_gold_typed_serie(spark, sf):
-    return G.typed_contract(gold(spark, sf)["serie_temporal_brasil"], "serie_temporal_brasil")
+    return G.typed_contract(gold(spark, sf, "serie_temporal_brasil"), "serie_temporal_brasil")
 
 
 def q_gold_contract_check(spark, sf):
     table = "serie_temporal_brasil"
-    return G.contract_violations(G.typed_contract(gold(spark, sf)[table], table), table)
+    return G.contract_violations(G.typed_contract(gold(spark, sf, table), table), table)
 
 
 def _g(name):
     def pick(spark, sf):
-        return gold(spark, sf)[name]
+        return gold(spark, sf, name)
 
     return pick
 
@@ -248,6 +248,12 @@ def q_bronze_quoted_newlines(spark, sf):
     return P.ingest_bronze(spark, lay, all_periods(spark, path)).select(*RAW_COLUMNS, "ano", "mes")
 
 
+def q_bronze_tree_digest(spark, sf):
+    landing = landed(spark, sf)
+    b = R.with_bronze_audit(spark, R.read_landing(spark, landing), landing, None, file_hash="tree")
+    return b.select(*RAW_COLUMNS, "ano", "mes", F.col("_file_hash").rlike("^tree:[0-9a-f]{64}:[1-9][0-9]*$").alias("has_tree"))
+
+
 def q_bronze_audit(spark, sf):
     landing = landed(spark, sf)
     raw = R.read_landing(spark, landing)
@@ -429,6 +435,7 @@ def queries() -> dict[str, Query]:
             "bronze_csv_roundtrip": q_bronze_csv_roundtrip,
             "bronze_quoted_newlines": q_bronze_quoted_newlines,
             "bronze_audit": q_bronze_audit,
+            "bronze_tree_digest": q_bronze_tree_digest,
             "bronze_mixed_layouts": q_bronze_mixed_layouts,
             "bronze_schema_evolution": q_bronze_schema_evolution,
             "bronze_partial_landing": q_bronze_partial_landing,

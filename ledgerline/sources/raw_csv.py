@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 from ledgerline.functions import canonical_header
 from ledgerline.schemas import RAW_COLUMNS
 from ledgerline.sources import quoted as Q
+from ledgerline.sources.digest import tree_digests
 
 PERIOD_DIR = "competencia"
 FILE_PATH = "__file_path"  # path of the file a raw row came from
@@ -239,7 +240,7 @@ def file_hashes(spark: SparkSession, landing: str, periods: list[tuple[int, int]
 
     Same file set as the CSV reader (Spark skips ``_``/``.`` files). Each
     file is read whole into one row, so this suits monthly files below 2 GB;
-    the default ``file_hash="rows"`` of ``with_bronze_audit`` has no such bound.
+    the modes ``"rows"`` and ``"tree"`` of ``with_bronze_audit`` have no such bound.
     """
     files = spark.read.format("binaryFile").option("basePath", landing).load(month_dirs(spark, landing, periods))
     return files.select(F.col("_metadata.file_path").alias("_hash_path"), F.md5("content").alias("_file_hash"))
@@ -287,8 +288,9 @@ def with_bronze_audit(
     ``ano``, ``mes``; drop the folder column.
 
     ``file_hash``: ``"rows"`` (parallel row fingerprint, any file size, see
-    ``row_fingerprints``), ``"md5"`` (MD5 of the original bytes; each file is
-    read whole by one task, so files must stay below 2 GB) or None.
+    ``row_fingerprints``), ``"tree"`` (SHA-256 tree of the original bytes and their
+    number, any file size, see ``digest``), ``"md5"`` (MD5 of the original bytes; each
+    file is read whole by one task, so files must stay below 2 GB) or None.
     """
     mode = "md5" if file_hash is True else (None if file_hash is False else file_hash)
     ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -302,9 +304,14 @@ def with_bronze_audit(
             "mes": F.expr(f"CAST({PERIOD_DIR} AS INT) % 100").cast("int"),
         }
     )
-    if mode in ("md5", "rows"):
+    if mode in ("md5", "rows", "tree"):
         # one short row per file; AQE picks the join from its measured size
-        hashes = file_hashes(spark, landing, periods) if mode == "md5" else row_fingerprints(raw)
+        if mode == "tree":
+            hashes = tree_digests(spark, month_dirs(spark, landing, periods)).select(
+                F.col("path").alias("_hash_path"), F.concat(F.lit("tree:"), "digest", F.lit(":"), "size").alias("_file_hash")
+            )
+        else:
+            hashes = file_hashes(spark, landing, periods) if mode == "md5" else row_fingerprints(raw)
         df = df.join(hashes, df[FILE_PATH] == hashes["_hash_path"], "left").drop("_hash_path")
     elif mode is None:
         df = df.withColumn("_file_hash", F.lit(None).cast("string"))
