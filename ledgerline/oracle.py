@@ -319,6 +319,7 @@ def oracle_queries() -> dict[str, str]:
     q["bronze_partition_replace"] = (
         f"{RAW_BASE} SELECT {marked}, {_FEED_PERIOD}, MES_COMPETENCIA NOT IN ({again}) AS first_run FROM feed"
     )
+    q["bronze_content_skip"] = q["bronze_partition_replace"]
     q["bronze_partial_landing"] = q["bronze_partition_replace"]
     q["bronze_idempotent"] = f"{RAW_BASE} SELECT {RAW_COLS}, {_FEED_PERIOD}, TRUE AS first_run FROM feed"
     y, m = REPLACED_PERIODS[0]

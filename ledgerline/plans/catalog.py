@@ -23,7 +23,7 @@ from ledgerline.plans import pipeline as P
 from ledgerline.plans import reports as RP
 from ledgerline.schemas import BRONZE_SCHEMA, RAW_COLUMNS
 from ledgerline.settings import Layout, work_dir
-from ledgerline.sinks.tables import _fs, read_table
+from ledgerline.sinks.tables import _fs, delete_path, read_table
 from ledgerline.sources import raw_csv as R
 from ledgerline.sources.feed import payments_feed
 
@@ -334,6 +334,25 @@ def q_bronze_idempotent(spark, sf):
     return _rerun(spark, sf, REPLACED_PERIODS, overwrite=False)
 
 
+def q_bronze_content_skip(spark, sf):
+    """The landing has two months delivered again beside the old files of the others: those two are replaced
+    without being named, the others are not written again."""
+    path = work_dir(spark) + "/landing"
+    rows = feed(spark, sf)
+    R.write_landing(rows, path)
+    lay = Layout(root=work_dir(spark), landing_dir=path)
+    periods = all_periods(spark, path)
+    P.ingest_bronze(spark, lay, periods, run_ts=FIRST_RUN)
+    name = F.concat(F.lit(MARK), "NOME_FAVORECIDO")
+    for y, m in REPLACED_PERIODS:
+        delete_path(spark, f"{path}/{R.PERIOD_DIR}={y * 100 + m}")
+    replaced = rows.filter(F.col("MES_COMPETENCIA").isin([str(y * 100 + m) for y, m in REPLACED_PERIODS]))
+    R.write_landing(replaced.withColumn("NOME_FAVORECIDO", name), path, mode="append")
+    P.ingest_bronze(spark, lay, periods, by_content=True)
+    first = F.col("_ingested_at") == F.lit(FIRST_RUN.isoformat())
+    return spark.read.parquet(lay.bronze).select(*RAW_COLUMNS, "ano", "mes", first.alias("first_run"))
+
+
 def q_bronze_partial_landing(spark, sf):
     """All months are asked for again while only two are in the landing: the rest stay."""
     return _rerun(spark, sf, None, overwrite=True)
@@ -436,6 +455,7 @@ def queries() -> dict[str, Query]:
             "bronze_quoted_newlines": q_bronze_quoted_newlines,
             "bronze_audit": q_bronze_audit,
             "bronze_tree_digest": q_bronze_tree_digest,
+            "bronze_content_skip": q_bronze_content_skip,
             "bronze_mixed_layouts": q_bronze_mixed_layouts,
             "bronze_schema_evolution": q_bronze_schema_evolution,
             "bronze_partial_landing": q_bronze_partial_landing,

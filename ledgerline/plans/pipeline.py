@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ledgerline.operators import gold as G
 from ledgerline.operators import silver as S
+from ledgerline.plans.deliveries import redelivered
 from ledgerline.schemas import BRONZE_SCHEMA, GOLD_TABLES, SILVER_SCHEMA
 from ledgerline.settings import Layout
 from ledgerline.sinks.tables import (
@@ -74,17 +75,26 @@ def ingest_bronze(
     file_hash: str | bool | None = "rows",
     multi_line: bool | None = None,
     rebalance: bool = False,
+    by_content: bool = False,
 ) -> DataFrame:
     """Land the requested months into Bronze and return their Bronze rows.
 
-    Months already in Bronze are skipped unless ``overwrite``; the others are
+    Months already in Bronze are skipped unless ``overwrite``. With ``by_content``
+    (whatever ``overwrite`` is) they are skipped when their landed files are the
+    stored ones, by name and fingerprint (``deliveries``); it needs a ``file_hash``. The others are
     read from ``layout.landing`` and written with dynamic partition overwrite.
     Months that nothing landed for keep what Bronze holds; when that is
     nothing for every requested month, it is an error.
     """
     periods = sorted(set(periods))
     done = existing_periods(spark, layout.bronze, periods, layout.fmt)
-    todo = periods if overwrite else [p for p in periods if p not in done]
+    if by_content:
+        if not isinstance(file_hash, str):
+            raise ValueError("by_content compares fingerprints: file_hash must name their kind")
+        again = redelivered(spark, layout, sorted(done), file_hash=file_hash, multi_line=multi_line)
+        todo = [p for p in periods if p not in done or p in again]
+    else:
+        todo = periods if overwrite else [p for p in periods if p not in done]
     todo, absent = R.split_landed(spark, layout.landing, todo)
     if not todo and not done:
         raise ValueError(f"nothing landed for {absent} under {layout.landing}")
@@ -300,6 +310,7 @@ def run(
     multi_line: bool | None = None,
     source_label: str | None = None,
     rebalance: bool | None = None,
+    by_content: bool = False,
     jdbc: dict | None = None,
 ) -> dict:
     """Run the chosen layers for a set of months.
@@ -323,7 +334,7 @@ def run(
             if layer == "bronze":
                 df = ingest_bronze(
                     spark, layout, periods, overwrite=overwrite, run_ts=run_ts, source_label=source_label,
-                    file_hash=file_hash, multi_line=multi_line, rebalance=bool(rebalance),
+                    file_hash=file_hash, multi_line=multi_line, rebalance=bool(rebalance), by_content=by_content,
                 )
                 absent = R.split_landed(spark, layout.landing, periods)[1]
                 result["layers"]["bronze"] = {"rows": df.count(), "not_landed": absent, "status": "ok"}

@@ -250,12 +250,15 @@ def row_fingerprints(raw: DataFrame) -> DataFrame:
     """``(path, fingerprint)`` per file from its rows, computed in parallel.
 
     The fingerprint is the exact (decimal) sum of a 64-bit hash of every row
-    (all columns, NULL-aware) plus the row count: independent of row order and
+    (the contract's columns, NULL-aware, and extra ones where they have a value, so it does not
+    depend on the files read along) plus the row count: independent of row order and
     split boundaries, so a very large file is hashed by many tasks with a
     map-side partial sum. It identifies content, but it is not an MD5.
     """
-    cols = [c for c in raw.columns if c not in (PERIOD_DIR, FILE_PATH)]
-    h = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in cols], F.lit(len(cols)))
+    extra = sorted(c for c in raw.columns if c not in (*RAW_COLUMNS, PERIOD_DIR, FILE_PATH))
+    # a NULL leaves xxhash64 as it is
+    named = [F.concat(F.lit(f"{c}\u0000"), F.col(f"`{c}`")) for c in extra]
+    h = F.xxhash64(*[F.coalesce(F.col(c), F.lit("\u0000")) for c in RAW_COLUMNS], *named)
     return (
         raw.select(F.col(FILE_PATH).alias("_hash_path"), h.alias("_h"))
         .groupBy("_hash_path")
