@@ -1,29 +1,27 @@
-"""Removal of repeated byte strings (the suffix-array criterion) by anchors and fingerprints.
+"""Removal of repeated byte strings (the suffix-array criterion) by prefix doubling over thinned positions.
 
 A byte is removed if it is covered by a 200-byte string that starts anywhere else
-too. A suffix array, or prefix doubling, answers that by the ranks of all positions at
-length 200. Neither is built here: only equality is asked for, so 200-byte strings are
-compared by fingerprints, in one round. Two things keep the number of fingerprinted
-positions small, without losing any repeat:
+too. Prefix doubling answers that by ranks of positions: by their first 25 bytes, then by the
+pairs (rank at i, rank at i + h) for h = 25, 50 and 100; a position whose rank is unique is dropped,
+and ranks by 200 bytes end it. Two things keep the number of ranked positions small, without losing any repeat:
 
-* Hashes of 64 bytes are taken only at anchors: of the 137 64-byte strings
+* Anchors: of the 137 64-byte strings
   that start in a 200-byte string, the leftmost of those with the smallest hash. Equal 200-byte
   strings have equal anchors at the same offset, so all starts whose anchor is unique are
   unique themselves. A run is the consecutive starts that share an anchor.
-* Runs whose whole context (all their 200-byte strings) is equal are one rank: a run
+* Runs whose whole context (all their 200-byte strings) is equal are one: a run
   whose context occurs twice is repeated throughout, and for the comparison with other
   contexts one of the copies stands for all.
 
-Only starts of runs that have the anchor but not the context in common with others are
-compared singly, by the pair (hash of 100 bytes at i, hash of 100 bytes at
-i + 100), called a rank pair below. The 64-bit hashes are read from the text (equal
-for equal strings), not ranks of an earlier round. Spark shuffles and groups by anchor,
-context and pair and joins the counts back, with partial aggregation before each shuffle
-and joins that AQE can split. In the last step the contexts of one anchor meet in a task, many anchors at once. An anchor with
+Only starts of runs that have the anchor but not the context in common with others are ranked.
+As equal strings have equal anchors, Spark shuffles and sorts the contexts by anchor, and each task doubles over
+the anchors it holds, some thousand contexts at a time: the rank pairs are sorted there, not in a shuffle a
+round. Spark groups by anchor and context and joins the counts back, with partial aggregation before each shuffle
+and joins that AQE can split. An anchor with
 more than ``TOGETHER`` contexts, such as one at the edge of a passage that very many
-documents hold, is dealt out by salt: each share settles the rank pairs that repeat
-within it, and only its other pairs and one of each repeated kind go on to be
-grouped by rank pair across shares.
+documents hold, is dealt out by salt: each share settles the strings that repeat
+within it, and only its other strings and one of each repeated kind go on to be
+grouped by Spark across shares, by the pair of the hashes of their 100-byte halves.
 
 Defined results: NULL text is empty (0 bytes, SHA-256 of nothing); texts below 200
 bytes are kept whole; repeated rows are documents of their own (each repeats the
@@ -41,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import Hasher, blocks, mix
+from .blocks import Hasher, blocks
 from .shared import settle, small, table
 
 LENGTH = 200
 GRAM = 64
+FIRST = 25  # LENGTH is FIRST doubled three times
 TOGETHER = 4096
+NONE = -1
 SHIFT = 10  # a run is packed as start << SHIFT | number of starts (at most LENGTH - GRAM + 1)
 _POS = np.uint64((1 << 31) - 1)
 
@@ -120,38 +120,60 @@ def _snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows, out, size = [], [], 0
 
 
-def _rank_pairs(runs_: np.ndarray, contexts: list[bytes]):
-    """Of every start in the contexts: its row, its place in the text, and its rank pair."""
-    half = LENGTH // 2
+def _reranked(size: int, at: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """Ranks of the positions ``at`` by their ``names``; NONE where the name is unique, and elsewhere."""
+    out = np.full(size, NONE)
+    _, rank, n = np.unique(names, return_inverse=True, return_counts=True)
+    many = n[rank] > 1
+    out[at[many]] = rank[many]
+    return out
+
+
+def _ranks(runs_: np.ndarray, contexts: list[bytes]):
+    """Of every start in the contexts: its row, its place in the text, its rank among the strings of ``LENGTH``
+    bytes at all starts (NONE: unique), and the hashes of the two halves of its string.
+
+    Prefix doubling: positions are ranked by ``FIRST`` bytes, then by pairs (rank at i, rank at i + h) for
+    h = ``FIRST``, twice that, ... A position goes once one of its ranks is unique.
+    """
     count = runs_ & ((1 << SHIFT) - 1)
-    h = Hasher(np.frombuffer(b"".join(contexts), np.uint8)).grams(half)
     size = count + LENGTH - 1
+    data = np.frombuffer(b"".join(contexts), np.uint8)
+    end = np.cumsum(size)
+    left = np.repeat(end, size) - np.arange(len(data))  # bytes of the context from here on
     row = np.repeat(np.arange(len(runs_)), count)
     within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    pos = np.repeat(np.cumsum(size) - size, count) + within
-    return row, (runs_ >> SHIFT)[row] + within, h[pos], h[pos + half]
+    starts = (end - size)[row] + within
+    hasher = Hasher(data)
+    at = np.flatnonzero(left >= FIRST)
+    rank, known = _reranked(len(data), at, hasher.grams(FIRST)[at]), FIRST
+    while known < LENGTH:
+        at = starts if 2 * known >= LENGTH else np.flatnonzero(left >= 2 * known)
+        at = at[(rank[at] != NONE) & (rank[at + known] != NONE)]
+        rank, known = _reranked(len(data), at, rank[at] * len(data) + rank[at + known]), 2 * known
+    half = hasher.grams(LENGTH // 2)
+    return row, (runs_ >> SHIFT)[row] + within, rank[starts], half[starts], half[starts + LENGTH // 2]
 
 
 PAIRS = "doc_id long, h long, run long, r1 long, r2 long"
 
 
 def _within_shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by anchor and share -> runs of starts whose rank pair repeats in the share (r1 and
+    """Contexts sorted by anchor and share -> runs of starts whose string repeats in the share (r1 and
     r2 NULL), and of anchors with several shares the starts to compare across them."""
 
     def settled(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        runs_ = part.column(2).to_numpy()
-        row, start, r1, r2 = _rank_pairs(runs_, part.column(5).to_pylist())
-        # a name of anchor and rank pair; a start differs from the other starts of its own run
-        name = mix(mix(part.column(3).to_numpy().view(np.uint64)[row] + r1) + r2)
-        _, one, back, n = np.unique(name, return_index=True, return_inverse=True, return_counts=True)
-        at = np.flatnonzero(n[back] > 1)
+        row, start, rank, r1, r2 = _ranks(part.column(2).to_numpy(), part.column(5).to_pylist())
+        # equal strings have equal anchors, so they meet here or in another share of their anchor;
+        # a start differs from the other starts of its own run
+        at = np.flatnonzero(rank != NONE)
         new = np.ones(len(at), dtype=bool)
         new[1:] = (row[at[1:]] != row[at[:-1]]) | (start[at[1:]] != start[at[:-1]] + 1)
         first = np.flatnonzero(new)
         length = np.diff(np.append(first, len(at)))
         yield batch_of(part, row[at[first]], (start[at[first]] << SHIFT) | length, None, None)
-        # one of each pair: unsettled ones, and partners for those of other shares
+        # one of each string: unsettled ones, and partners for those of other shares
+        one = np.concatenate([np.flatnonzero(rank == NONE), at[np.unique(rank[at], return_index=True)[1]]])
         open_ = one[part.column(4).to_numpy()[row[one]] > 1]
         if len(open_):
             yield batch_of(part, row[open_], (start[open_] << SHIFT) | 1, r1[open_].view(np.int64), r2[open_].view(np.int64))

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from ledgerline.llm import repeats
@@ -51,3 +53,27 @@ def test_nulls_repeated_rows_and_empty_table(spark):
 def test_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     assert table(repeats.op5_repeats(spark, "/root/testdata/sf0.001"), *COLUMNS) == sorted(brute_repeats(rows), key=repr)
+
+
+def test_ranks_by_doubling_equal_the_strings():
+    rng = random.Random(4)
+    base = bytes(rng.choice(b"ab") for _ in range(300))
+    contexts, runs = [], []
+    for k in range(60):
+        n = rng.randrange(1, 60)
+        at = rng.randrange(0, 300 - 199 - n)
+        own = bytearray(base[at : at + n + 199])
+        if k % 3:  # some strings equal, others off by one byte near either end
+            own[rng.choice([0, 24, 25, 100, 199, len(own) - 1])] ^= 1
+        contexts.append(bytes(own))
+        runs.append((7 * k << repeats.SHIFT) | n)
+    row, start, rank, _, _ = repeats._ranks(np.array(runs), contexts)
+    strings = [contexts[r][s - 7 * r :][:200] for r, s in zip(row.tolist(), start.tolist())]
+    assert [len(s) for s in strings] == [200] * len(strings)
+    many = Counter(strings)
+    names = {}
+    for s, r in zip(strings, rank.tolist()):
+        assert (r == repeats.NONE) == (many[s] == 1)
+        assert r == repeats.NONE or names.setdefault(s, r) == r
+    assert len(set(names.values())) == len(names) > 20
+    assert min(many.values()) == 1
