@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import Hasher, blocks
-from .shared import settle, small, table
+from .shared import forget, settle, small, table
 
 LENGTH = 200
 GRAM = 64
@@ -233,9 +233,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def repeated(docs: DataFrame) -> DataFrame:
     """(doc_id, h, runs): the runs of starts of repeated strings, of each text that has any."""
     texts = _keyed(docs).where(F.octet_length("text") >= LENGTH)
-    ranked = texts.mapInArrow(_run_rows, "doc_id long, h long, run long, g long, c long")
-    anchors = ranked.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    found = settle(ranked.join(anchors, "g"), "runs", free=True)
+    # written once: both the count of the anchors and the join read it
+    every_run = settle(texts.mapInArrow(_run_rows, "doc_id long, h long, run long, g long, c long"), "every-run")
+    anchors = every_run.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    found = settle(every_run.join(anchors, "g"), "runs", free=True)
+    forget(every_run)
 
     contexts = settle(
         found.groupBy("g", "c").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "h", "run")).alias("first")), "contexts"
