@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import release, table
+from .shared import release, settle, small, table
 
 DOCS_PER_LANG = 1000
 MAX_WORDS = 50_000
@@ -60,15 +60,15 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_
     frequencies in the order of the languages."""
     spark = labelled.sparkSession
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang is not null and text is not null")
+    hashes = settle(rows.select("lang", F.xxhash64("text").alias("h")).distinct(), "label-hashes")
+    counts = hashes.groupBy("lang").agg(F.count("*").alias("n"))
+    # hashes are spread evenly: twice the expected share of a language holds its first ones, and is all that meets in a task
+    place = F.col("h").cast("double") / 2.0**64 + 0.5
+    near = hashes.join(small(counts, counts.count()), "lang").where(place * F.col("n") <= 2 * docs_per_lang + 100)
     order = Window.partitionBy("lang").orderBy("h")
-    chosen = (
-        rows.select("lang", F.xxhash64("text").alias("h"))
-        .distinct()
-        .withColumn("r", F.row_number().over(order))
-        .where(F.col("r") <= docs_per_lang)
-        .select("lang", "h")
-    )
-    sample = rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
+    chosen = settle(near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_lang).select("lang", "h"), "labels-chosen")
+    keys = small(chosen, chosen.count())
+    sample = rows.withColumn("h", F.xxhash64("text")).join(keys, ["lang", "h"]).dropDuplicates(["lang", "h"])
     words = (
         sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("key"))
         .where(F.length("key") <= 64)

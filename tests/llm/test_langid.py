@@ -63,3 +63,14 @@ def test_sample_bound_holds(spark):
     rows = docs(spark, [(i, f"alpha{chr(97 + i % 26)}x beta", "xx") for i in range(60)] + [(99, "beta gamma beta", "yy")])
     model = langid.train(rows, docs_per_lang=5)
     assert model["langs"] == ["xx", "yy"]
+
+
+def test_the_sample_is_the_first_texts_by_hash(spark, monkeypatch):
+    rows = docs(spark, [(i, f"word{i % 900} text number {i % 900}", "en" if i % 10 else "de") for i in range(3000)])
+    written = {}
+    settle = langid.settle
+    monkeypatch.setattr(langid, "settle", lambda df, name: written.setdefault(name, settle(df, name)))
+    langid.train(rows, docs_per_lang=5)
+    hashes = rows.select("lang", F.xxhash64("text").alias("h")).distinct().collect()
+    want = {(x, h) for x in ("de", "en") for h in sorted(r["h"] for r in hashes if r["lang"] == x)[:5]}
+    assert {tuple(r) for r in written["labels-chosen"].collect()} == want
