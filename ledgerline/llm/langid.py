@@ -27,7 +27,6 @@ columns of the input are carried along untouched.
 from __future__ import annotations
 
 import re
-import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -42,9 +41,8 @@ DOCS_PER_LANG = 1000
 MAX_WORDS = 50_000
 MAX_GRAMS = 20_000
 MAX_N = 5
-# letters (\\p{L}): the word characters of Python's expressions without digits and other numbers such as ½ or Ⅷ
-_NUMBERS = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-LETTERS = rf"[^\W\d_{_NUMBERS}]+"
+# letters (\\p{L}) and, as Python's expressions count them to the word characters, other numbers such as ½ or Ⅷ
+_LETTERS_AND_NUMBERS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 _MEMO = 200_000
 
@@ -110,6 +108,15 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", docs_per_
     return {"langs": langs, "broadcast": spark_model}
 
 
+def _words(text: str) -> list[str]:
+    """The runs of letters (``str.isalpha``), lower-cased. An expression that excludes the other numbers one by one
+    compares every letter with hundreds of them, so only runs that hold such a number are cut further."""
+    found = _LETTERS_AND_NUMBERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
+
+
 def _backoff(word: str, tables: list, zero: np.ndarray) -> tuple[np.ndarray, int]:
     keys, logs = tables[0]
     i = keys.get(word)
@@ -132,14 +139,13 @@ def _predictor(broadcast, text: str) -> Callable[[Iterator[pa.RecordBatch]], Ite
         model = broadcast.value
         langs, tables = model["langs"], model["tables"]
         zero = np.zeros(len(langs))
-        find = re.compile(LETTERS).findall
         memo: dict[str, int] = {}
         rows = np.zeros((1 << 12, len(langs) + 1))
         for batch in batches:
             pred, score = [], []
             for value in batch.column(batch.schema.get_field_index(text)):
                 value = value.as_py()
-                words = find(value.lower()) if value else []
+                words = _words(value) if value else []
                 if not words or not langs:
                     pred.append(UNKNOWN)
                     score.append(0.0)
