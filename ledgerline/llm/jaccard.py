@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .blocks import blocks, shingle_sets
 from .components import components
 from .mix import row_hash
-from .shared import free_names, release, settle, small, table
+from .shared import forget, free_names, release, settle, small, table
 
 RARE = 16
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -106,17 +106,17 @@ def shingled(docs: DataFrame, size: int, percent: int, whole: bool) -> DataFrame
     return rows.mapInArrow(_sets(size, percent, whole), SET_SCHEMA)
 
 
-def _screen(classes: DataFrame, need) -> DataFrame:
-    """``classes``: fp, n, tokens, rep. Keeps those with ``need`` tokens that another class holds
-    too; ``tokens`` becomes the array of those, with ``c``, the number of classes holding each."""
-    tokens = classes.select("fp", "n", "rep", F.explode("tokens").alias("t"))
-    shared = tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
-    return (
-        tokens.join(shared, "t")
-        .groupBy("fp")
-        .agg(F.first("n").alias("n"), F.first("rep").alias("rep"), F.array_sort(F.collect_list(F.struct("t", "c"))).alias("tokens"))
-        .where(F.size("tokens") >= need)
-    )
+def _screen(classes: DataFrame, heads: DataFrame, columns: list[str]) -> DataFrame:
+    """``classes``: row, tokens; ``heads``: row, fp, n, rep. The ``columns`` of the classes with s tokens that another class
+    holds too (s of the screening prefix); ``tokens`` are these. Tokens travel with the number of their row alone."""
+    tokens = classes.select("row", F.explode("tokens").alias("t"))
+    # written, so that the shuffle of the counts is gone before the tokens are dealt out themselves
+    shared = settle(tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t"), "shared", free=True)
+    found = tokens.join(shared, "t").groupBy("row").agg(F.collect_list("t").alias("tokens"))
+    enough = F.size("tokens") >= F.greatest(F.lit(1), F.floor(F.col("n") / 20))
+    out = settle(found.join(heads, "row").where(enough).select(*columns), "screened", free=True)
+    forget(shared)
+    return out
 
 
 def _block_links(percent: int):
@@ -186,25 +186,30 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     """(membership: doc_id, h (hash of the text), n, fp of every row; links: a, b between classes). The links connect
     all classes that links connect; of a long posting list's links only a spanning forest is kept."""
     members = settle(shingled(docs, size, percent, whole=False).withColumn("row", F.monotonically_increasing_id()), "sets")
-    rows = members.select("doc_id", "h", "n", "fp")
+    rows = settle(members.select("doc_id", "h", "n", "fp"), "rows")
     # one row stands for its class; only the numbers of these rows are brought together, not the tokens
     usable = members.where("fp is not null and doc_id is not null")
-    heads = settle(usable.groupBy("fp").agg(F.min(F.struct("doc_id", "row")).alias("k")).select("k.row"), "heads")
-    classes = usable.join(small(heads, heads.count()), "row", "left_semi").select("fp", F.col("doc_id").alias("rep"), "n", "tokens")
-    least = F.greatest(F.lit(1), F.floor(F.col("n") / 20))  # s of the screening prefix
-    first = settle(_screen(classes, least).select("fp", "n", "rep", F.col("tokens.t").alias("tokens")), "screened", free=True)
-    second = settle(_screen(first, least).select("fp", "n", "rep"), "screened", free=True)
+    heads = settle(
+        usable.groupBy("fp").agg(F.min(F.struct("doc_id", "row", "n")).alias("k")).select("k.row", "fp", "k.n", F.col("k.doc_id").alias("rep")), "heads"
+    )
+    classes = usable.join(small(heads.select("row"), heads.count()), "row", "left_semi").select("row", "tokens")
+    # tables are deleted after their last reader: the prefixes of all rows are the largest of them
+    first = _screen(classes, heads, ["row", "tokens"])
+    forget(members)
+    second = _screen(first, heads, ["fp", "n", "rep"])
+    forget(first, heads)
     count = second.count()
 
     # whole sets of the survivors, from their texts
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = small(second.select(F.col("rep").alias("doc_id")).distinct(), count)
     found = shingled(texts.join(wanted, "doc_id", "left_semi"), size, percent, whole=True)
-    sets = settle(
-        found.join(small(second.select("fp"), count), "fp", "left_semi").groupBy("fp").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")),
-        "survivors",
-        free=True,
-    )
+    sets = settle(found.join(small(second.select("fp"), count), "fp", "left_semi").select("fp", "n", "tokens"), "survivors", free=True)
+    if sets.count() > count:  # rows that repeat both number and set: only then whole sets are brought together
+        every = sets
+        sets = settle(every.groupBy("fp").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "survivors", free=True)
+        forget(every)
+    forget(second)
 
     # extended prefixes: e + (tokens only one side has) + 2 shared ones
     missing = _missing_sql(F.col("n"), percent)
@@ -240,9 +245,12 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     by_couple = _pairs(postings.where(F.col("c") <= RARE), "key", percent).select("a", "b")
     # one after the other, each with its shuffles gone before the next
     pairs = settle(by_token.unionByName(by_couple).distinct(), "pairs", free=True)
+    forget(indexed)
     out = settle(_verified(pairs, sets, percent), "links", free=True)
+    forget(pairs)
 
     bundles = components_of_keys(postings.where(F.col("c") > RARE))
+    forget(postings)
     if bundles is not None:
         # sets of linked classes differ in size by the factor 100 / percent at most, so a class meets those of its own
         # size step and of the next ones only (the step is a little wider, against rounding)
@@ -278,6 +286,8 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
         key = ["bundle", "low", "i", "high", "j"]
         dense = cells.repartition(max(1, min(n_cells, MAX_CELL_TASKS)), *key).groupBy(*key).applyInArrow(_block_links(percent), "a binary, b binary")
         out = out.unionByName(settle(dense, "dense-links", free=True))
+        forget(loads)
+    forget(sets)
     return rows, out.distinct()
 
 

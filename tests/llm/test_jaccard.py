@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -47,6 +48,54 @@ def test_null_and_repeated_ids(spark):
     assert jaccard.near_duplicates(docs(spark, []), 4, 85).collect() == []
 
 
+def settled(monkeypatch):
+    """(name, plan, reader) of each table that jaccard writes from now on."""
+    written, settle = [], jaccard.settle
+
+    def spy(df, name, *args, **kwargs):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        written.append((name, plan, settle(df, name, *args, **kwargs)))
+        return written[-1][2]
+
+    monkeypatch.setattr(jaccard, "settle", spy)
+    return written
+
+
+def near_texts(seed):
+    rng = random.Random(seed)
+    a, b = words(120, 1), words(60, 2)
+    texts = [edited(a, rng.randrange(0, 9), rng) for _ in range(24)] + [edited(b, rng.randrange(0, 4), rng) for _ in range(12)]
+    return texts + [" ".join(words(50, 200 + i)) for i in range(6)]
+
+
+def test_tables_are_deleted_after_their_last_reader(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "RARE", 4)
+    written, rows = settled(monkeypatch), list(enumerate(near_texts(5), 1))
+    assert run(spark, rows, 4, 85) == brute_components(rows, 4, 85)
+    left = {name for name, _, df in written if os.path.exists(df.settled_at.removeprefix("file:"))}
+    assert {"sets", "screened", "survivors", "prefixes", "dense-links"} <= {name for name, _, _ in written}
+    assert left <= {"rows", "links", "dense-links"}
+
+
+def test_whole_sets_meet_only_where_ids_repeat(spark, monkeypatch):
+    texts = near_texts(6)
+    rows = list(enumerate(texts, 1))
+    written = settled(monkeypatch)
+    assert run(spark, rows, 4, 85) == brute_components(rows, 4, 85)
+    assert ["first(tokens" in plan for name, plan, _ in written if name == "survivors"] == [False]
+    # the same rows twice
+    want = brute_components(rows, 4, 85)
+    got = jaccard.near_duplicates(docs(spark, rows + rows), 4, 85).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == sorted((i, *want[i]) for i in want for _ in (0, 1))
+
+
+def test_screening_deals_tokens_with_their_row_alone(spark, monkeypatch):
+    written = settled(monkeypatch)
+    run(spark, list(enumerate(near_texts(7), 1)), 4, 85)
+    table = next(df for name, _, df in written if name == "shared")
+    assert table.columns == ["t"]
+
+
 def test_keep_one_keeps_all_columns_and_apart_rows(spark):
     t, u = " ".join(words(60, 1)), " ".join(words(60, 2))
     rows = [(5, t, "en", "s"), (2, t, "en", "s"), (2, t, "en", "s"), (8, u, "de", None), (None, t), (None, t), (1, ""), (1, ""), (4, None)]
