@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from .blocks import blocks, shingle_sets
 from .components import components
 from .mix import row_hash
-from .shared import forget, free_names, release, settle, small, table
+from .shared import forget, free_names, handing_back, release, settle, small, table
 
 RARE = 16
 HAS_WORD = r"[^\x20\x09-\x0D]"
@@ -103,7 +103,7 @@ SET_SCHEMA = "doc_id long, h long, n long, fp binary, tokens array<long>"
 
 def shingled(docs: DataFrame, size: int, percent: int, whole: bool) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    return rows.mapInArrow(_sets(size, percent, whole), SET_SCHEMA)
+    return rows.mapInArrow(handing_back(_sets(size, percent, whole)), SET_SCHEMA)
 
 
 def _screen(classes: DataFrame, heads: DataFrame, columns: list[str]) -> DataFrame:

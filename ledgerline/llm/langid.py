@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import release, settle, small, table
+from .shared import handing_back, release, settle, small, table
 
 DOCS_PER_LANG = 1000
 MAX_WORDS = 50_000
@@ -177,7 +177,7 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """All columns of ``docs`` plus lang_pred and score (columns of those names in the input are replaced)."""
     docs = docs.drop("lang_pred", "score")
     schema = T.StructType(docs.schema.fields + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    return docs.mapInArrow(_predictor(model["broadcast"], text), schema)
+    return docs.mapInArrow(handing_back(_predictor(model["broadcast"], text)), schema)
 
 
 #: A text whose words speak for no language more than this share is rejected.

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import mix
-from .shared import kept, table
+from .shared import handing_back, kept, table
 
 SPACE = "▁"
 MEMO_BYTES = 100 << 20  # of a worker's memo, by estimate
@@ -419,7 +419,7 @@ def encode(docs: DataFrame, model, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` array<int> (a column of that name is replaced). ``model``: from ``load``."""
     docs = docs.drop("ids")
     schema = T.StructType(docs.schema.fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(_encoder(model, docs.columns.index(text)), schema)
+    return docs.mapInArrow(handing_back(_encoder(model, docs.columns.index(text))), schema)
 
 
 def decode(rows: DataFrame, model, ids: str = "ids") -> DataFrame:
