@@ -10,18 +10,22 @@ them with the prefix of any set it links to.
 1. Screening. Prefixes with s = 5 % of the set are indexed, tokens held by one
    class only are dropped, and a class with fewer than s tokens left links to
    nothing. The survivors are screened once more among themselves.
-2. Extended prefixes of the survivors (whole sets are now at hand): rare tokens
-   (held by at most ``RARE`` classes) are indexed singly; runs of two consecutive
-   frequent tokens are indexed as combinations. The shared tokens of a linked pair
-   outnumber the tokens that only one side has by two or more, so either a rare token
-   is shared, or two shared frequent tokens are neighbours on both sides.
-3. Candidates of short posting lists are pairs, filtered by size and by the
-   number of rare tokens they share, and verified on the whole sets.
-   Combinations with long lists are not expanded: classes that share any are one
+2. Whole sets of the survivors, screened once more: of the tokens of a linked set at
+   least ceil(percent * n / 100) are held by another class. The classes that hold so many
+   are counted again, and their tokens ordered by the number of these classes that hold
+   them, so a passage that many unlike documents quote stands at the end of their sets.
+3. The order by number gives shorter prefixes: of m tokens that others hold, the first
+   m - ceil(percent * n / 100) + 1 have the first token that a linked pair shares. Rare
+   tokens (held by at most ``RARE`` classes) of it are indexed singly. Where that first token
+   is frequent, so are all shared ones: runs of two consecutive frequent tokens are indexed
+   as combinations, in prefixes so long that the shared tokens of a linked pair outnumber the
+   tokens that only one side has by two or more; two are neighbours on both sides then.
+4. Candidates of short posting lists are pairs, filtered by size and verified on the
+   sets. Combinations with long lists are not expanded: classes that share any are one
    bundle; a bundle is cut by set size, into steps of the factor 100 / percent, and by hash into blocks, and each
    pair of blocks of one step or of neighbouring ones is verified by matrix products in one task, which returns a spanning forest of
    its links, so a bundle of any size never meets in one task, and its pairs
-   are never rows.
+   are never rows. Pairs of one bundle are verified there alone.
 
 Components over the links and class membership give each document its smallest
 reachable doc_id. No partner or candidate is capped.
@@ -106,12 +110,24 @@ def shingled(docs: DataFrame, size: int, percent: int, whole: bool) -> DataFrame
     return rows.mapInArrow(handing_back(_sets(size, percent, whole)), SET_SCHEMA)
 
 
+def _part(df: DataFrame, own: DataFrame, rest: DataFrame, on: str | Column) -> DataFrame:
+    """The rows of ``df`` that ``own`` names, where ``own`` and ``rest`` name every row: by a join with the shorter of them,
+    so that wide rows stay where they are as long as one of them can be broadcast."""
+    n_own, n_rest = own.count(), rest.count()
+    return df.join(small(own, n_own), on, "left_semi") if n_own <= n_rest else df.join(small(rest, n_rest), on, "left_anti")
+
+
+def _shared(tokens: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of t (a token) and c (how many classes hold it) for the tokens of more than one class."""
+    # written, so that the shuffle of the counts is gone before the tokens are dealt out themselves
+    return settle(tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select(*columns), "shared", free=True)
+
+
 def _screen(classes: DataFrame, heads: DataFrame, columns: list[str]) -> DataFrame:
     """``classes``: row, tokens; ``heads``: row, fp, n, rep. The ``columns`` of the classes with s tokens that another class
     holds too (s of the screening prefix); ``tokens`` are these. Tokens travel with the number of their row alone."""
     tokens = classes.select("row", F.explode("tokens").alias("t"))
-    # written, so that the shuffle of the counts is gone before the tokens are dealt out themselves
-    shared = settle(tokens.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t"), "shared", free=True)
+    shared = _shared(tokens, "t")
     found = tokens.join(shared, "t").groupBy("row").agg(F.collect_list("t").alias("tokens"))
     enough = F.size("tokens") >= F.greatest(F.lit(1), F.floor(F.col("n") / 20))
     out = settle(found.join(heads, "row").where(enough).select(*columns), "screened", free=True)
@@ -128,9 +144,9 @@ def _block_links(percent: int):
         sets = group.column("tokens").combine_chunks()
         if isinstance(sets, pa.ChunkedArray):
             sets = sets.chunk(0)
-        n = np.diff(sets.offsets.to_numpy()).astype(np.int64)
+        n = group.column("n").to_numpy()  # of the whole set; the tokens are those that others hold
         flat = sets.flatten().to_numpy()
-        owner = np.repeat(np.arange(len(fps)), n)
+        owner = np.repeat(np.arange(len(fps)), np.diff(sets.offsets.to_numpy()))
         _, token, count = np.unique(flat, return_inverse=True, return_counts=True)
         held = count[token] > 1
         owner, token = owner[held], np.unique(token[held], return_inverse=True)[1]
@@ -167,19 +183,19 @@ def _block_links(percent: int):
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    x = sets.select(F.col("fp").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("fp").alias("b"), F.col("tokens").alias("y"))
+    x = sets.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("x"))
+    y = sets.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("y"))
     inter = F.size(F.array_intersect("x", "y"))
-    both = pairs.join(x, "a").join(y, "b").select("a", "b", inter.alias("i"), (F.size("x") + F.size("y")).alias("s"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", inter.alias("i"), (F.col("na") + F.col("nb")).alias("s"))
     return both.where(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
 
 
 def _pairs(postings: DataFrame, key: str, percent: int) -> DataFrame:
     """All pairs of short posting lists that pass the size filter; a < b."""
-    left = postings.select(key, F.col("fp").alias("a"), F.col("n").alias("na"), F.col("need").alias("da"), F.col("f").alias("fa"))
-    right = postings.select(key, F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("need").alias("db"), F.col("f").alias("fb"))
+    left = postings.select(key, F.col("fp").alias("a"), F.col("n").alias("na"))
+    right = postings.select(key, F.col("fp").alias("b"), F.col("n").alias("nb"))
     met = left.join(right, key).where("a < b")
-    return met.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    return met.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
 
 
 def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -192,10 +208,11 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     heads = settle(
         usable.groupBy("fp").agg(F.min(F.struct("doc_id", "row", "n")).alias("k")).select("k.row", "fp", "k.n", F.col("k.doc_id").alias("rep")), "heads"
     )
-    classes = usable.join(small(heads.select("row"), heads.count()), "row", "left_semi").select("row", "tokens")
+    others = settle(usable.select("row").join(heads.select("row"), "row", "left_anti"), "others")
+    classes = _part(usable, heads.select("row"), others, "row").select("row", "tokens")
     # tables are deleted after their last reader: the prefixes of all rows are the largest of them
     first = _screen(classes, heads, ["row", "tokens"])
-    forget(members)
+    forget(members, others)
     second = _screen(first, heads, ["fp", "n", "rep"])
     forget(first, heads)
     count = second.count()
@@ -204,53 +221,65 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     wanted = small(second.select(F.col("rep").alias("doc_id")).distinct(), count)
     found = shingled(texts.join(wanted, "doc_id", "left_semi"), size, percent, whole=True)
-    sets = settle(found.join(small(second.select("fp"), count), "fp", "left_semi").select("fp", "n", "tokens"), "survivors", free=True)
+    row = F.monotonically_increasing_id().alias("row")
+    sets = settle(found.join(small(second.select("fp"), count), "fp", "left_semi").select("fp", "n", "tokens", row), "survivors", free=True)
     if sets.count() > count:  # rows that repeat both number and set: only then whole sets are brought together
         every = sets
-        sets = settle(every.groupBy("fp").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")), "survivors", free=True)
+        sets = every.groupBy("fp").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
+        sets = settle(sets.select("fp", "n", "tokens", row), "survivors", free=True)
         forget(every)
     forget(second)
 
-    # extended prefixes: e + (tokens only one side has) + 2 shared ones
-    missing = _missing_sql(F.col("n"), percent)
-    either = F.floor((100 - percent) * F.col("n") / percent)
-    length = F.least(F.col("n"), missing + F.least(F.col("n") - missing, either + 2))
-    prefixes = sets.select("fp", "n", (length - missing).alias("need"), F.slice("tokens", F.lit(1), length.cast("int")).alias("tokens"))
-    spread = prefixes.select("fp", "n", "need", F.explode("tokens").alias("t"))
-    held = spread.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
+    # of a linked set's tokens another class holds so many; here the tokens are counted alone, without being collected
+    need = F.col("n") - _missing_sql(F.col("n"), percent)
+    tokens = sets.select("row", F.explode("tokens").alias("t"))
+    shared = _shared(tokens, "t")
+    held = tokens.join(shared, "t").groupBy("row").agg(F.count("*").alias("m")).join(sets.select("row", "n"), "row")
+    full = settle(held.where(F.col("m") >= need).select("row"), "screened", free=True)
+    forget(shared)
+    whole = settle(sets.join(small(full, full.count()), "row", "left_semi"), "whole", free=True)
+    forget(sets, full)
+
+    # in the order of the number of classes that hold them; the tokens that no other class holds any more go
+    spread = whole.select("row", F.explode("tokens").alias("t"))
+    held = _shared(spread, "t", "c")
+    ordered = spread.join(held, "t").groupBy("row").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("o"))
+    m, k, either = F.size("o"), F.size(F.filter("o", lambda x: x["c"] <= RARE)), F.floor((100 - percent) * F.col("n") / percent)
+    # neighbours among the frequent tokens; where a prefix cannot promise two, single tokens
+    more = either + 2 if percent >= 75 else F.lit(1)
+    length = F.least(m, m - need + more)
     indexed = settle(
-        spread.join(held, "t").groupBy("fp").agg(
-            F.first("n").alias("n"),
-            F.first("need").alias("need"),
-            F.array_sort(F.collect_list(F.when(F.col("c") <= RARE, F.col("t")))).alias("rare"),
-            F.array_sort(F.collect_list(F.when(F.col("c") > RARE, F.col("t")))).alias("frequent"),
-        ).where(F.size("rare") + F.size("frequent") >= F.col("need")).withColumn("f", F.size("frequent")),
+        ordered.join(whole.select("row", "fp", "n"), "row").where(m >= need).select(
+            "fp",
+            "n",
+            F.col("o.t").alias("tokens"),
+            F.slice(F.col("o.t"), F.lit(1), F.least(k, m - need + 1).cast("int")).alias("rare"),
+            F.slice(F.col("o.t"), k + 1, F.greatest(length - k, F.lit(0)).cast("int")).alias("frequent"),
+        ),
         "prefixes",
         free=True,
     )
-    head = ["fp", "n", "need", "f"]
-    by_token = _pairs(indexed.select(*head, F.explode("rare").alias("t")), "t", percent)
-    by_token = (
-        by_token.groupBy("a", "b").agg(F.count("*").alias("k"), F.first("da").alias("da"), F.first("db").alias("db"), F.first("fa").alias("fa"), F.first("fb").alias("fb"))
-        .where(F.col("k") + F.least("fa", "fb") >= F.least("da", "db"))
-        .select("a", "b")
-    )
-    # combinations: neighbours among the frequent tokens; where a prefix cannot promise two, single tokens
+    forget(whole, held)
+    sets = indexed.select("fp", "n", "tokens")
     f = F.col("frequent")
     couples = F.transform(F.slice(f, 2, F.greatest(F.size(f) - 1, F.lit(0))), lambda t, i: F.xxhash64(F.get(f, i), t))
-    keys = couples if percent >= 75 else f
-    postings = indexed.where("f > 0").select(*head, F.explode(keys).alias("key"))
+    postings = indexed.where(F.size(f) > 0).select("fp", "n", F.explode(couples if percent >= 75 else f).alias("key"))
     lengths = postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     postings = settle(postings.join(lengths, "key"), "combinations", free=True)
-    by_couple = _pairs(postings.where(F.col("c") <= RARE), "key", percent).select("a", "b")
+    bundles = components_of_keys(postings.where(F.col("c") > RARE))
+    by_token = _pairs(indexed.select("fp", "n", F.explode("rare").alias("t")), "t", percent)
+    by_couple = _pairs(postings.where(F.col("c") <= RARE), "key", percent)
+    pairs = by_token.unionByName(by_couple).distinct()
+    if bundles is not None:
+        one, other = (bundles.select(F.col("fp").alias(x), F.col("bundle").alias(f"of_{x}")) for x in "ab")
+        apart = ~F.coalesce(F.col("of_a") == F.col("of_b"), F.lit(False))
+        pairs = pairs.join(one, "a", "left").join(other, "b", "left").where(apart).select("a", "b")
     # one after the other, each with its shuffles gone before the next
-    pairs = settle(by_token.unionByName(by_couple).distinct(), "pairs", free=True)
-    forget(indexed)
+    pairs = settle(pairs, "pairs", free=True)
+    forget(postings)
     out = settle(_verified(pairs, sets, percent), "links", free=True)
     forget(pairs)
 
-    bundles = components_of_keys(postings.where(F.col("c") > RARE))
-    forget(postings)
     if bundles is not None:
         # sets of linked classes differ in size by the factor 100 / percent at most, so a class meets those of its own
         # size step and of the next ones only (the step is a little wider, against rounding)
@@ -279,7 +308,7 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
             cells_with("above", lambda y: [here, mine, here + 1, y, F.lit(0)]),
             cells_with("below", lambda y: [here - 1, y, here, mine, F.lit(1)]),
         )
-        cells = placed.select("bundle", "fp", "tokens", F.explode(met).alias("cell")).select("bundle", "cell.*", "fp", "tokens")
+        cells = placed.select("bundle", "fp", "n", "tokens", F.explode(met).alias("cell")).select("bundle", "cell.*", "fp", "n", "tokens")
         # cells are dealt by their number, as partitions sized by compressed bytes would put many into one task
         pairs_of = F.col("blocks").cast("long") * (F.col("blocks") + 1) / 2 + F.col("blocks").cast("long") * F.col("above")
         n_cells = int(loads.agg(F.coalesce(F.sum(pairs_of), F.lit(0))).first()[0])
@@ -287,7 +316,7 @@ def links(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFram
         dense = cells.repartition(max(1, min(n_cells, MAX_CELL_TASKS)), *key).groupBy(*key).applyInArrow(_block_links(percent), "a binary, b binary")
         out = out.unionByName(settle(dense, "dense-links", free=True))
         forget(loads)
-    forget(sets)
+    forget(indexed)
     return rows, out.distinct()
 
 

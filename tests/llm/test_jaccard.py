@@ -111,3 +111,23 @@ def test_components_of_long_paths_and_stars(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 150)}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_common_passage_makes_no_candidates(spark, monkeypatch):
+    """Texts that share most of their words through one passage, but less than the linked similarity, are told apart before
+    sets are dealt to pairs or blocks: these grow with the square of such a group."""
+    monkeypatch.setattr(jaccard, "RARE", 4)
+    rng, passage = random.Random(8), words(140, 4)
+    texts = [" ".join(passage + [f"own{i}x{j}" for j in range(60)]) for i in range(30)]
+    texts += [edited(words(120, 5), 2, rng) for _ in range(6)]
+    rows, candidates, settle = list(enumerate(texts, 1)), [], jaccard.settle
+
+    def spy(df, name, *args, **kwargs):
+        out = settle(df, name, *args, **kwargs)
+        if name == "prefixes":
+            candidates.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "settle", spy)
+    assert run(spark, rows, 4, 85) == brute_components(rows, 4, 85)
+    assert candidates == [6]
