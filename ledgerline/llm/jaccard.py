@@ -358,16 +358,21 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     first = labelled.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "h")).alias("k")).select("k.*")
     # how many rows repeat the kept one: only those need to be brought together
     rows = labelled.where("label is not null").groupBy("doc_id", "h").agg(F.count("*").alias("k"))
-    keys = settle(first.join(rows, ["doc_id", "h"]), "kept")
+    keys = first.join(rows, ["doc_id", "h"])
+    single = settle(keys.where("k = 1").select("doc_id", "h"), "kept")
+    many = settle(keys.where("k > 1").select("doc_id", "h"), "kept-of-many")
+    rest = settle(rows.select("doc_id", "h").join(single, ["doc_id", "h"], "left_anti"), "not-kept")
     apart = F.col("doc_id").isNull() | ~F.coalesce(F.col("text").rlike(HAS_WORD), F.lit(False))
     i, k, h, r, n = free_names(docs, "id", "key", "hash", "rest", "nth")
     alone, others = docs.where(apart), docs.where(~apart).withColumn(h, F.xxhash64("text"))
 
-    def held(part: DataFrame) -> DataFrame:
-        part = small(part.select(F.col("doc_id").alias(i), F.col("h").alias(k)), part.count())
-        return others.join(part, (F.col("doc_id") == F.col(i)) & (F.col(h) == F.col(k)), "left_semi")
+    def named(part: DataFrame) -> DataFrame:
+        return part.select(F.col("doc_id").alias(i), F.col("h").alias(k))
 
-    once, repeated = held(keys.where("k = 1")), held(keys.where("k > 1"))
+    on = (F.col("doc_id") == F.col(i)) & (F.col(h) == F.col(k))
+    # single and rest name every row of the others; the texts stay where they are while one of them can be broadcast
+    once = _part(others, named(single), named(rest), on)
+    repeated = others.join(small(named(many), many.count()), on, "left_semi")
     # rows equal in all columns are interchangeable
     nth = F.row_number().over(Window.partitionBy("doc_id", h).orderBy(r))
     one = repeated.withColumn(r, row_hash(docs, "text")).withColumn(n, nth).where(F.col(n) == 1)

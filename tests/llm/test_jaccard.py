@@ -131,3 +131,15 @@ def test_a_common_passage_makes_no_candidates(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "settle", spy)
     assert run(spark, rows, 4, 85) == brute_components(rows, 4, 85)
     assert candidates == [6]
+
+
+def test_keep_one_names_the_shorter_list(spark, monkeypatch):
+    """Whole rows are joined with the keys of the rows that go where these are fewer than those that stay."""
+    rows = [(i, " ".join(words(30, 400 + i))) for i in range(1, 13)]
+    rows += [(20, rows[0][1]), (21, rows[3][1]), (None, rows[5][1]), (22, ""), (5, rows[4][1]), (23, None)]
+    joined, small = [], jaccard.small
+    monkeypatch.setattr(jaccard, "links", lambda *args, f=jaccard.links: (joined.clear(), f(*args), joined.clear())[1])
+    monkeypatch.setattr(jaccard, "small", lambda df, n, *args: joined.append(n) or small(df, n, *args))
+    kept = jaccard.keep_one(docs(spark, rows))
+    assert joined == [3, 1]  # 20, 21 and the row that 5 repeats; 5
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect()) == sorted([*rows[:12], (0, rows[5][1]), (22, ""), (23, "")])
